@@ -56,8 +56,8 @@ def seconds_between(start: str | Column, end: str | Column) -> Column:
     return F.timestamp_diff("SECOND", col(start), col(end))
 
 
-def minutes_between(start: str | Column, end: str | Column) -> Column:
-    return seconds_between(start, end) / F.lit(60.0)
+def minutes_between(start: str | Column, end: str | Column, digits: int = 2) -> Column:
+    return rounded_ratio(seconds_between(start, end), F.lit(60), digits)
 
 
 def whole_days(start: str | Column, end: str | Column) -> Column:
@@ -85,9 +85,14 @@ def parse_timestamp(c: str | Column, fmt: str | None = None) -> Column:
     return parsed.cast("timestamp_ntz")
 
 
+def rounded_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+    """Quotient in exact decimals, rounded half away from zero; a zero denominator gives NULL."""
+    return F.round(F.try_divide(numerator.cast("decimal(20,4)"), denominator.cast("decimal(15,2)")), digits)
+
+
 def percent(part: Column, whole: Column, digits: int) -> Column:
     """Share of a whole in percent; an empty whole gives NULL."""
-    return F.round(F.try_divide(part.cast("double") * F.lit(100.0), whole.cast("double")), digits)
+    return rounded_ratio(part * 100, whole, digits)
 
 
 def ratio(numerator: str | Column, denominator: str | Column) -> Column:

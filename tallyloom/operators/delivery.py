@@ -9,7 +9,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyloom.functions.exprs import minutes_between, percent, ratio
+from tallyloom.functions.exprs import minutes_between, percent, rounded_ratio, seconds_between
 from tallyloom.operators.lists import list_size
 
 # fixed values: price by pizza id, fee per extra topping, runner pay per kilometre
@@ -72,22 +72,22 @@ def minutes_to_arrive(customer_orders: DataFrame, runner_orders: DataFrame, per_
     As written every pizza row counts, so large orders weigh more; `per_order` weighs orders equally.
     """
     orders = pizzas_per_order(customer_orders, "order_time").join(runner_orders.select("order_id", "runner_id", "pickup_time"), "order_id")
-    wait = F.timestamp_diff("SECOND", F.col("order_time"), F.col("pickup_time"))
+    wait = seconds_between("order_time", "pickup_time")
     weight = F.lit(1) if per_order else F.col("pizzas")
     seconds = F.sum(wait * weight)
     counted = F.sum(F.when(wait.isNotNull(), weight))
-    return orders.groupBy("runner_id").agg(F.round(ratio(seconds, counted * 60), 2).alias("avg_minutes_to_arrive"))
+    return orders.groupBy("runner_id").agg(rounded_ratio(seconds, counted * 60, 2).alias("avg_minutes_to_arrive"))
 
 
 def prep_time(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:
     """Pizzas and minutes to pickup per delivered order."""
     orders = pizzas_per_order(customer_orders, "order_time").join(delivered(runner_orders), "order_id")
-    minutes = minutes_between("order_time", "pickup_time")
+    seconds = seconds_between("order_time", "pickup_time")
     return orders.select(
         "order_id",
         F.col("pizzas").alias("pizzas_ordered"),
-        F.round(minutes, 2).alias("prep_time_minutes"),
-        F.round(minutes / F.col("pizzas"), 2).alias("prep_time_per_pizza"),
+        minutes_between("order_time", "pickup_time").alias("prep_time_minutes"),
+        rounded_ratio(seconds, F.col("pizzas") * 60, 2).alias("prep_time_per_pizza"),
     )
 
 
@@ -95,8 +95,8 @@ def distance_per_customer(customer_orders: DataFrame, runner_orders: DataFrame)
     """Mean distance per customer over delivered orders, each order once."""
     orders = customer_orders.select("customer_id", "order_id").distinct()
     done = delivered(runner_orders).select("order_id", "distance")
-    mean = ratio(F.sum("distance"), F.count("distance"))
-    return orders.join(done, "order_id").groupBy("customer_id").agg(F.round(mean, 2).alias("avg_distance_km"))
+    mean = rounded_ratio(F.sum("distance"), F.count("distance"), 2)
+    return orders.join(done, "order_id").groupBy("customer_id").agg(mean.alias("avg_distance_km"))
 
 
 def delivery_spread(runner_orders: DataFrame) -> DataFrame:
@@ -105,7 +105,7 @@ def delivery_spread(runner_orders: DataFrame) -> DataFrame:
 
 def speed() -> Column:
     """Kilometres per hour from kilometres and minutes."""
-    return F.round(ratio(F.col("distance") * 60, F.col("duration")), 2)
+    return rounded_ratio(F.col("distance") * 60, F.col("duration"), 2)
 
 
 def delivery_speeds(runner_orders: DataFrame) -> DataFrame:
@@ -158,7 +158,7 @@ def delivery_summary(customer_orders: DataFrame, runner_orders: DataFrame, ratin
             "rating",
             "order_time",
             "pickup_time",
-            F.round(minutes_between("order_time", "pickup_time"), 2).alias("minutes_between_order_and_pickup"),
+            minutes_between("order_time", "pickup_time").alias("minutes_between_order_and_pickup"),
             F.col("duration").alias("delivery_duration_minutes"),
             speed().alias("avg_speed_kmh"),
             "total_pizzas",

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyloom.functions.exprs import concat_skip_null, month_start, percent
+from tallyloom.functions.exprs import concat_skip_null, month_start, percent, rounded_ratio
 from tallyloom.operators.sequence import HOT_KEY_ROWS, nth_rows, with_neighbors
 
 # fixed values: plan ids
@@ -141,7 +141,7 @@ def mean_days_between(events: DataFrame, from_plan: int, to_plan: int) -> DataFr
 
     days = F.sum(wide("n_from") * wide("sum_to") - wide("n_to") * wide("sum_from"))
     pairs = F.sum(wide("n_from") * wide("n_to"))
-    return sums.agg(F.round(F.try_divide(days.cast("double"), pairs.cast("double")), 2).alias("avg_days"))
+    return sums.agg(rounded_ratio(days, pairs, 2).alias("avg_days"))
 
 
 def days_histogram(events: DataFrame, from_plan: int, to_plan: int, low: int = 0, high: int = 360, buckets: int = 12) -> DataFrame:

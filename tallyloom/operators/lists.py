@@ -62,15 +62,16 @@ def most_common_list_item(df: DataFrame, list_col: str, dictionary: DataFrame, t
     return list_item_counts(df, list_col, dictionary, dict_name=dict_name).orderBy(F.col("times").desc(), F.col(dict_name)).limit(top)
 
 
-def fits_in_map(dictionary: DataFrame, limit: int = MAX_MAP_ENTRIES) -> bool:
-    """Whether the dictionary has few enough rows for a map literal; reads at most limit + 1 rows."""
-    return dictionary.limit(limit + 1).count() <= limit
+def small_dictionary(dictionary: DataFrame, dict_id: str, dict_name: str, limit: int = MAX_MAP_ENTRIES) -> dict[int, str] | None:
+    """The dictionary's entries if there are at most `limit`, else None; reads at most limit + 1 rows."""
+    rows = dictionary.select(dict_id, dict_name).limit(limit + 1).collect()
+    entries = {r[0]: r[1] for r in rows}
+    return entries if len(rows) <= limit and len(entries) == len(rows) else None
 
 
-def _names_by_map(list_col: str, dictionary: DataFrame, dict_id: str, dict_name: str) -> Column:
-    """Row-local lookup: ids to names through a one-row map, ordered and joined; no name at all gives NULL."""
-    entries = F.collect_list(F.struct(F.col(dict_id), F.col(dict_name)))
-    lookup = dictionary.agg(F.map_from_entries(entries)).scalar()
+def _names_by_map(list_col: str, entries: dict[int, str]) -> Column:
+    """Row-local lookup: ids to names through a literal map, ordered and joined; no name at all gives NULL."""
+    lookup = F.create_map(*[F.lit(x) for item in entries.items() for x in item])
     names = F.array_sort(F.array_compact(F.transform(split_ids(list_col), lambda i: F.try_element_at(lookup, i))))
     return F.when(F.size(names) > 0, F.array_join(names, ", "))
 
@@ -94,10 +95,11 @@ def with_list_names(
 
     A small dictionary is looked up inside the row, without a shuffle. The join is the way for any size.
     """
-    if by_map is None:
-        by_map = fits_in_map(dictionary)
+    entries = small_dictionary(dictionary, dict_id, dict_name) if by_map is not False else None
+    if entries:
+        return df.withColumns({out: _names_by_map(src, entries) for out, src in columns.items()})
     if by_map:
-        return df.withColumns({out: _names_by_map(src, dictionary, dict_id, dict_name) for out, src in columns.items()})
+        raise ValueError("the dictionary is too large, or its ids are not unique, for a row-local lookup")
     for out, src in columns.items():
         df = _names_by_join(df, src, out, dictionary, dict_id, dict_name)
     return df

@@ -125,6 +125,12 @@ def _with_needs(names: list[str]) -> list[str]:
     return ordered
 
 
+def half_up(numerator: str, denominator: str, digits: int) -> str:
+    """A non-negative quotient of whole numbers rounded half up, without floating point."""
+    unit = 10**digits
+    return f"(2 * CAST({numerator} AS HUGEINT) * {unit} + ({denominator})) // (2 * CAST({denominator} AS HUGEINT)) / {unit}.0::DOUBLE"
+
+
 def check(tables: str, body: str) -> str:
     """A statement over adapted tables. `body` is a SELECT, or `name AS (...), ... SELECT ...` after a leading comma."""
     ctes = ",\n".join(f"{n} AS ({TABLES[n].strip()})" for n in _with_needs(tables.split()))
