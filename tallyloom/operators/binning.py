@@ -91,15 +91,15 @@ def quantile_edges(df: DataFrame, value: str, tie: str, probabilities: Sequence[
     return edges
 
 
-def rank_cuts(df: DataFrame, value: str, tie: str, bins: int) -> list[Row]:
-    """The last row of each rank bin but the last, when rows are ranked by value and then by the tie column."""
+def rank_cuts(df: DataFrame, value: str, tie: str, bins: int) -> list[tuple]:
+    """The (value, tie) pair that closes each rank bin but the last, when rows are ranked by value and then by the tie column."""
     rows = SortedRows(df, value, tie)
     if not rows.total:
         return []
     # Ranks run from 1; a quantile edge of the ranks closes its bin.
     places = [math.floor((rows.total - 1) * p) for p in inner_probabilities(bins)]
     found = rows.at(places)
-    return [found[p] for p in places]
+    return [(found[p][value], found[p][tie]) for p in places]
 
 
 def bin_by_cuts(value: str | Column, tie: str | Column, cuts: Sequence[tuple]) -> Column:

@@ -42,7 +42,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, delimiter: st
 
 def parse_csv_lines(df: DataFrame, line: str, schema: T.StructType, delimiter: str = ",") -> DataFrame:
     """Parse a column of delimited text lines into typed columns."""
-    parsed = F.from_csv(F.col(line), schema.simpleString().removeprefix("struct<").removesuffix(">"), {"sep": delimiter})
+    declared = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    parsed = F.from_csv(F.col(line), declared, {"sep": delimiter})
     return df.select(parsed.alias("row")).select("row.*")
 
 
