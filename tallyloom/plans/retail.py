@@ -310,7 +310,13 @@ _POP = ", pop AS (SELECT country, count(DISTINCT customer_id) AS number_of_custo
 _RATIO = """, totals AS (
     SELECT country, CAST(sum(revenue) AS DOUBLE) AS total_revenue, count(DISTINCT customer_id) AS unique_customers FROM retail_clean GROUP BY 1)
     , rated AS (SELECT *, total_revenue / nullif(unique_customers, 0) AS r FROM totals)"""
-_RFM = """, bounds AS (SELECT max(invoice_date) + INTERVAL 1 DAY AS ref FROM retail_clean)
+def _above(value: str, edges: str) -> str:
+    """How many of four edges lie below a value."""
+    return "(" + " + ".join(f"CAST({value} > {edges}[{k}] AS INTEGER)" for k in range(1, 5)) + ")"
+
+
+_RFM = (
+    """, bounds AS (SELECT max(invoice_date) + INTERVAL 1 DAY AS ref FROM retail_clean)
     , rfm AS (
         SELECT customer_id, CAST(floor(date_diff('second', max(invoice_date), any_value(ref)) / 86400) AS INTEGER) AS recency,
                count(DISTINCT invoice) AS frequency, sum(revenue) AS monetary
@@ -320,11 +326,10 @@ _RFM = """, bounds AS (SELECT max(invoice_date) + INTERVAL 1 DAY AS ref FROM ret
         SELECT quantile_cont(CAST(recency AS DOUBLE), [0.2, 0.4, 0.6, 0.8]) AS re, quantile_cont(m, [0.2, 0.4, 0.6, 0.8]) AS me,
                quantile_cont(CAST(place AS DOUBLE), [0.2, 0.4, 0.6, 0.8]) AS fe
         FROM ranked)
-    , scored AS (
-        SELECT ranked.*, CAST(5 - len(list_filter(re, x -> recency > x)) AS INTEGER) AS r_score,
-               CAST(1 + len(list_filter(fe, x -> place > x)) AS INTEGER) AS f_score,
-               CAST(1 + len(list_filter(me, x -> m > x)) AS INTEGER) AS m_score
-        FROM ranked, cuts)"""
+    , scored AS ("""
+    + f"SELECT ranked.*, 5 - {_above('recency', 're')} AS r_score, 1 + {_above('place', 'fe')} AS f_score, 1 + {_above('m', 'me')} AS m_score"
+    + " FROM ranked, cuts)"
+)
 _SEGMENT = (
     _RFM
     + """, grouped AS (
