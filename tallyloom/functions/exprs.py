@@ -85,9 +85,14 @@ def parse_timestamp(c: str | Column, fmt: str | None = None) -> Column:
     return parsed.cast("timestamp_ntz")
 
 
-def rounded_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
-    """Quotient in exact decimals, rounded half away from zero; a zero denominator gives NULL."""
-    return F.round(F.try_divide(numerator.cast("decimal(20,4)"), denominator.cast("decimal(15,2)")), digits)
+def ratio(numerator: str | Column, denominator: str | Column) -> Column:
+    """Quotient in exact decimals; a zero denominator gives NULL."""
+    return F.try_divide(col(numerator).cast("decimal(20,4)"), col(denominator).cast("decimal(15,2)"))
+
+
+def rounded_ratio(numerator: str | Column, denominator: str | Column, digits: int) -> Column:
+    """The quotient rounded half away from zero."""
+    return F.round(ratio(numerator, denominator), digits)
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:
@@ -95,11 +100,6 @@ def percent(part: Column, whole: Column, digits: int) -> Column:
     return rounded_ratio(part * 100, whole, digits)
 
 
-def ratio(numerator: str | Column, denominator: str | Column) -> Column:
-    """Quotient as double; a zero denominator gives NULL."""
-    return F.try_divide(col(numerator).cast("double"), col(denominator).cast("double"))
-
-
 def money(c: str | Column) -> Column:
     """An exact amount as a double with two decimals, for reports."""
     return F.round(col(c).cast("double"), 2)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.functions.exprs import month_start, week_number, weekday_label
+from tallyloom.functions.exprs import month_start, ratio, week_number, weekday_label
 
 
 def volume_by_hour(df: DataFrame, ts: str = "order_time", out: str = "pizzas_ordered") -> DataFrame:
@@ -35,5 +35,5 @@ def monthly_revenue(df: DataFrame, ts: str = "invoice_date", measure: str = "rev
 
 def with_overall_mean(series: DataFrame, measure: str = "revenue", out: str = "mean_revenue") -> DataFrame:
     """The series with its mean as a reference line."""
-    mean = series.agg(F.avg(F.col(measure).cast("double")).alias(out)).scalar()
+    mean = series.agg(ratio(F.sum(measure), F.count(F.lit(1))).alias(out)).scalar()
     return series.withColumn(out, mean)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.exprs import money, parse_timestamp
 from tallyloom.operators import binning as B, calendar as C, cohort as H, quality as Q, ranking as R, segments as G
-from tallyloom.plans.check_tables import check
+from tallyloom.plans.check_tables import check, half_up
 from tallyloom.sources.fixtures import HOME_MARKET, Fixtures
 from tallyloom.sources.readers import RETAIL_CSV_SCHEMA, parse_csv_lines, preview
 
@@ -287,9 +287,15 @@ _TOP_SPENDER = """, spender AS (
     , lines AS (SELECT retail_clean.* FROM retail_clean JOIN spender USING (customer_id)
         ORDER BY invoice_date, invoice, description NULLS LAST, quantity, price LIMIT 20)
     SELECT invoice, description, quantity, CAST(price AS DOUBLE) AS price, CAST(revenue AS DOUBLE) AS revenue FROM lines"""
-_MEAN_SPEND = """SELECT CAST(customer_id AS VARCHAR) AS customer_id, round(CAST(sum(revenue) AS DOUBLE) / {per}, 2) AS average_spend
-    FROM retail_clean WHERE customer_id IS NOT NULL GROUP BY retail_clean.customer_id
-    ORDER BY CAST(sum(revenue) AS DOUBLE) / {per} DESC, retail_clean.customer_id LIMIT 10"""
+
+
+def _mean_spend_check(per: str) -> str:
+    return check(
+        "retail_clean",
+        f"""SELECT CAST(customer_id AS VARCHAR) AS customer_id, {half_up("sum(revenue) * 100", f"{per} * 100", 2)} AS average_spend
+        FROM retail_clean WHERE customer_id IS NOT NULL GROUP BY retail_clean.customer_id
+        ORDER BY CAST(sum(revenue) AS DOUBLE) / {per} DESC, retail_clean.customer_id LIMIT 10""",
+    )
 
 
 def _tier(value: str, edges: str, labels) -> str:
@@ -307,9 +313,11 @@ def _customer_tier_check(table: str) -> str:
 
 
 _POP = ", pop AS (SELECT country, count(DISTINCT customer_id) AS number_of_customers FROM retail WHERE customer_id IS NOT NULL GROUP BY 1)"
-_RATIO = """, totals AS (
+_RATIO = f""", totals AS (
     SELECT country, CAST(sum(revenue) AS DOUBLE) AS total_revenue, count(DISTINCT customer_id) AS unique_customers FROM retail_clean GROUP BY 1)
-    , rated AS (SELECT *, total_revenue / nullif(unique_customers, 0) AS r FROM totals)"""
+    , rated AS (
+        SELECT *, total_revenue / nullif(unique_customers, 0) AS r,
+               {half_up("round(total_revenue * 100)", "nullif(unique_customers, 0) * 100", 2)} AS shown FROM totals)"""
 def _above(value: str, edges: str) -> str:
     """How many of four edges lie below a value."""
     return "(" + " + ".join(f"CAST({value} > {edges}[{k}] AS INTEGER)" for k in range(1, 5)) + ")"
@@ -394,7 +402,9 @@ ORACLE = {
             SELECT last_day(CAST(d AS DATE)) AS month_end
             FROM (SELECT unnest(generate_series(date_trunc('month', min(month_end)), date_trunc('month', max(month_end)), INTERVAL 1 MONTH)) AS d FROM booked) s)
         , filled AS (SELECT spine.month_end, CAST(coalesce(total, 0) AS DOUBLE) AS revenue FROM spine LEFT JOIN booked USING (month_end))
-        SELECT strftime(month_end, '%Y-%m-%d') AS month_end, round(revenue, 2) AS revenue, round((SELECT avg(revenue) FROM filled), 2) AS mean_revenue FROM filled""",
+        SELECT strftime(month_end, '%Y-%m-%d') AS month_end, round(revenue, 2) AS revenue, (SELECT """
+        + half_up("sum(CAST(revenue AS DECIMAL(18, 2))) * 100", "count(*) * 100", 2)
+        + " FROM filled) AS mean_revenue FROM filled",
     ),
     "retail_top_products_raw": check(
         "retail_clean",
@@ -420,8 +430,8 @@ ORACLE = {
         f"""SELECT {_CUSTOMER}, count(DISTINCT invoice) AS number_of_invoices FROM retail_clean WHERE customer_id IS NOT NULL
         GROUP BY retail_clean.customer_id ORDER BY 2 DESC, retail_clean.customer_id LIMIT 10""",
     ),
-    "retail_top_customers_by_mean": check("retail_clean", _MEAN_SPEND.format(per="count(*)")),
-    "retail_top_customers_by_mean_corrected": check("retail_clean", _MEAN_SPEND.format(per="count(DISTINCT invoice)")),
+    "retail_top_customers_by_mean": _mean_spend_check("count(*)"),
+    "retail_top_customers_by_mean_corrected": _mean_spend_check("count(DISTINCT invoice)"),
     "retail_drilldown_first": check("retail_clean", _TOP_SPENDER.format(skip=0)),
     "retail_drilldown_second": check("retail_clean", _TOP_SPENDER.format(skip=1)),
     "retail_country_revenue_tiers": check(
@@ -447,12 +457,12 @@ ORACLE = {
         _RATIO
         + f""", low AS (SELECT min(r) AS least_r FROM rated)
         , cut AS (SELECT quantile_cont(r, [0.25, 0.5, 0.75]) AS e FROM rated, low WHERE r > least_r)
-        SELECT country, total_revenue, unique_customers, round(r, 2) AS avg_revenue_per_customer,
+        SELECT country, total_revenue, unique_customers, shown AS avg_revenue_per_customer,
                if(coalesce(r = least_r, false), 'Very Low', {_tier("r", "e", B.TIER_LABELS[1:])}) AS revenue_tier
         FROM rated, low, cut""",
     ),
     "retail_top_revenue_per_customer": check(
-        "retail_clean", _RATIO + "SELECT country, round(r, 2) AS avg_revenue_per_customer FROM rated WHERE r IS NOT NULL ORDER BY r DESC, 1 LIMIT 10"
+        "retail_clean", _RATIO + "SELECT country, shown AS avg_revenue_per_customer FROM rated WHERE r IS NOT NULL ORDER BY r DESC, 1 LIMIT 10"
     ),
     "retail_rfm_values": check("retail_clean", _RFM + "SELECT customer_id, recency, frequency, CAST(monetary AS DOUBLE) AS monetary FROM rfm"),
     "retail_rfm_scores": check(
