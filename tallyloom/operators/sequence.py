@@ -95,7 +95,8 @@ def with_neighbors(
     hot = F.broadcast(hot_keys(df, key, hot_rows))
     small = _plain(df.join(hot, key, "left_anti"), key, order, following, preceding, position)
     large = _bucketed(df.join(hot, key, "left_semi"), key, order, buckets, following, preceding, position)
-    return small.unionByName(large)
+    added = [*following, *preceding, *([position] if position else [])]
+    return small.unionByName(large).select(*df.columns, *added)
 
 
 def nth_rows(df: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
