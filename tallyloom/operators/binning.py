@@ -31,7 +31,8 @@ def label_of(number: Column, labels: Sequence[str]) -> Column:
 def quantile_tiers(df: DataFrame, value: str, labels: Sequence[str], out: str, lowest: tuple[Column, str] | None = None) -> DataFrame:
     """Label rows by quantile bins of a value, with exact edges interpolated between neighbours.
 
-    For tables with few distinct values, such as one row per country: the edges come from one aggregate.
+    For tables with few distinct values, such as one row per country: the edges come from one aggregate. The
+    table is read twice; cut its lineage first if it is costly.
     `lowest` is a rule and a label for rows that are set apart before the edges are computed.
     """
     apart, apart_label = lowest or (F.lit(False), "")
@@ -73,7 +74,8 @@ class SortedRows:
 
     def with_ordinal(self, out: str = "ordinal") -> DataFrame:
         """All rows with their place, counted from 1."""
-        starts = F.create_map(*[F.lit(x) for item in self.starts.items() for x in item])
+        by_part = [self.starts.get(k, 0) for k in range(max(self.starts, default=0) + 1)]
+        starts = F.expr("array(" + ", ".join(f"{s}L" for s in by_part) + ")")
         return self.rows.withColumn(out, starts[F.col("_part")] + F.col("_at") + 1).drop("_part", "_at")
 
 

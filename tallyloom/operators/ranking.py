@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions.exprs import differs_or_null, ratio
 from tallyloom.operators.binning import TIER_LABELS, quantile_tiers
+from tallyloom.session import cut_lineage
 
 
 def top_k(df: DataFrame, by: str, k: int = 10, tie: str | None = None) -> DataFrame:
@@ -62,7 +63,7 @@ def country_revenue(df: DataFrame) -> DataFrame:
 
 
 def country_revenue_tiers(df: DataFrame) -> DataFrame:
-    return quantile_tiers(country_revenue(df), "revenue", TIER_LABELS, "revenue_tier")
+    return quantile_tiers(cut_lineage(country_revenue(df)), "revenue", TIER_LABELS, "revenue_tier")
 
 
 def country_customers(df: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def total_customers(df: DataFrame) -> DataFrame:
 def country_customer_tiers(df: DataFrame) -> DataFrame:
     """A single customer is the lowest tier; the other countries fall into four quantile bins."""
     alone = (F.col("number_of_customers") == 1, TIER_LABELS[0])
-    return quantile_tiers(country_customers(df), "number_of_customers", TIER_LABELS[1:], "customer_tier", alone)
+    return quantile_tiers(cut_lineage(country_customers(df)), "number_of_customers", TIER_LABELS[1:], "customer_tier", alone)
 
 
 def revenue_per_customer(df: DataFrame) -> DataFrame:
@@ -96,7 +97,7 @@ def revenue_per_customer(df: DataFrame) -> DataFrame:
 
 def revenue_per_customer_tiers(df: DataFrame) -> DataFrame:
     """The lowest ratio is the lowest tier; the others fall into four quantile bins; a NULL ratio has no tier."""
-    ratios = revenue_per_customer(df)
+    ratios = cut_lineage(revenue_per_customer(df))
     value = F.col("avg_revenue_per_customer")
     lowest = ratios.agg(F.min("avg_revenue_per_customer")).scalar()
     is_lowest = F.coalesce(value == lowest, F.lit(False))

@@ -25,27 +25,28 @@ BINS = 5
 def rfm_values(transactions: DataFrame) -> DataFrame:
     """Days since the last purchase, invoices and revenue per known customer.
 
-    The reference day is one day after the latest row of all, guests included.
+    The reference day is one day after the latest row of all, guests included. Invoices are made distinct per
+    (customer, invoice) first, so no customer's lines, nor the guests', meet in one task. The customer table
+    is written once; it gives the reference day and all that follows without a second pass over the lines.
     """
-    snapshot = (F.max("invoice_date") + F.expr("interval 1 day")).alias("snapshot")
-    snapshot_date = transactions.agg(snapshot).scalar()
-    known = transactions.filter(F.col("customer_id").isNotNull())
-    # Invoices are made distinct per (customer, invoice) first, so no customer's lines meet in one task.
-    invoices = known.groupBy("customer_id", "invoice").agg(F.max("invoice_date").alias("last"), F.sum("revenue").alias("revenue"))
-    per_customer = invoices.groupBy("customer_id").agg(
-        F.max("last").alias("last"), F.count("invoice").alias("frequency"), F.sum("revenue").alias("monetary")
+    invoices = transactions.groupBy("customer_id", "invoice").agg(F.max("invoice_date").alias("last"), F.sum("revenue").alias("revenue"))
+    customers = cut_lineage(
+        invoices.groupBy("customer_id").agg(
+            F.max("last").alias("last"), F.count("invoice").alias("frequency"), F.sum("revenue").alias("monetary")
+        )
     )
-    recency = whole_days("last", snapshot_date)
-    return per_customer.select("customer_id", recency.alias("recency"), "frequency", "monetary")
+    snapshot = customers.agg(F.max("last") + F.expr("interval 1 day")).scalar()
+    known = customers.filter(F.col("customer_id").isNotNull())
+    return known.select("customer_id", whole_days("last", snapshot).alias("recency"), "frequency", "monetary")
 
 
 def rfm_scores(values: DataFrame) -> DataFrame:
     """Quintile scores 1 to 5 and their combined text.
 
-    The customer table is written once. Recency has few distinct values (days), so one aggregate gives its
-    edges; frequency is ranked with ties in customer order and monetary has many values, so both are sorted.
+    Recency has few distinct values (days), so one aggregate gives its edges; frequency is ranked with ties
+    in customer order and monetary has many values, so both are sorted across all tasks. The table is read
+    several times, which is why `rfm_values` returns a written one.
     """
-    values = cut_lineage(values)
     r_edges = values.agg(F.percentile("recency", F.array(*[F.lit(p) for p in inner_probabilities(BINS)]))).scalar()
     r = F.lit(BINS + 1) - bin_number(F.col("recency").cast("double"), [F.try_element_at(r_edges, F.lit(k)) for k in range(1, BINS)])
     f = bin_by_cuts("frequency", "customer_id", rank_cuts(values, "frequency", "customer_id", BINS))

@@ -73,7 +73,7 @@ def points_with_bonus_week(fx: Fixtures):
 
 
 def membership_flag(fx: Fixtures):
-    return L.membership_flag(fx.sales(), fx.menu(), fx.members()).withColumnRenamed("customer_id", "customer").orderBy("customer", "order_date")
+    return L.membership_flag(fx.sales(), fx.menu(), fx.members()).withColumnRenamed("customer_id", "customer").orderBy("customer", "order_date", "product_name")
 
 
 def membership_rank(fx: Fixtures):

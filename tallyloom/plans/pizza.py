@@ -185,23 +185,23 @@ ORDER_NAMES = {"order_id": "order_no", "customer_id": "customer"}
 
 
 def order_items(fx: Fixtures):
-    return L.order_item_label(orders(fx), fx.pizza_names(), fx.toppings()).withColumnsRenamed(ORDER_NAMES).orderBy("order_no", "customer")
+    return L.order_item_label(orders(fx), fx.pizza_names(), fx.toppings()).withColumnsRenamed(ORDER_NAMES).orderBy("order_no", "customer", "order_item")
 
 
 def order_items_large_dictionary(fx: Fixtures):
     """The same labels from a dictionary that grows with the data, so the lists are joined."""
     labels = L.order_item_label(orders(fx), fx.pizza_names(), fx.supplier_toppings(), by_map=False)
-    return labels.withColumnsRenamed(ORDER_NAMES).orderBy("order_no", "customer")
+    return labels.withColumnsRenamed(ORDER_NAMES).orderBy("order_no", "customer", "order_item")
 
 
 def ingredient_lists(fx: Fixtures):
     texts = L.effective_ingredients(orders(fx), fx.pizza_names(), fx.pizza_recipes(), fx.toppings())
-    return texts.withColumnsRenamed(ORDER_NAMES).orderBy("order_no", "customer")
+    return texts.withColumnsRenamed(ORDER_NAMES).orderBy("order_no", "customer", "ingredient_list")
 
 
 def ingredient_lists_per_pizza(fx: Fixtures):
     texts = L.effective_ingredients_per_pizza(orders(fx), fx.pizza_names(), fx.pizza_recipes(), fx.toppings())
-    return texts.withColumnsRenamed(ORDER_NAMES).orderBy("order_no", "customer")
+    return texts.withColumnsRenamed(ORDER_NAMES).orderBy("order_no", "customer", "ingredient_list")
 
 
 def _delivered_pizzas(fx: Fixtures):

@@ -6,7 +6,7 @@ SQL engine gives the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.sources.readers import inline, read_table
 
@@ -182,8 +182,7 @@ class Fixtures:
     # ---- subscriptions ----------------------------------------------------------------------
 
     def plans(self) -> DataFrame:
-        rows = self.spark.createDataFrame(list(PLANS), "plan_id int, plan_name string, price string")
-        return rows.withColumn("price", F.col("price").cast("decimal(10,2)"))
+        return inline(self.spark, PLANS, "plan_id int, plan_name string, price decimal(10,2)")
 
     def subscriptions(self) -> DataFrame:
         """A customer's first order starts the trial; later orders start plans 1 to 4."""

@@ -48,8 +48,10 @@ def parse_csv_lines(df: DataFrame, line: str, schema: T.StructType, delimiter: s
 
 
 def inline(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:
-    """A few literal rows."""
-    return spark.createDataFrame([tuple(r) for r in rows], schema)
+    """A few literal rows. They are part of the plan, so Spark knows their size and joins them without a shuffle."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    literals = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields, strict=True)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*literals)))
 
 
 def append_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
