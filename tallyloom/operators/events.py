@@ -157,22 +157,22 @@ def days_histogram(events: DataFrame, from_plan: int, to_plan: int, low: int = 0
         .groupBy("customer_id", "plan_id", F.unix_date("start_date").alias("day"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    edges = F.sequence(F.lit(0), F.lit(buckets))
-    probes = days.filter(F.col("plan_id") == from_plan).select(
-        "customer_id", F.explode(edges).alias("edge"), "n", (F.col("day") + low).alias("day")
-    )
-    probes = probes.select("customer_id", (F.col("day") + F.col("edge") * width).alias("day"), "edge", F.col("n").alias("weight"), F.lit(0).alias("hits"))
-    # The last probe lies after every event and so counts all of them.
-    totals = days.filter(F.col("plan_id") == from_plan).select(
-        "customer_id", F.lit(2**31 - 1).alias("day"), F.lit(buckets + 1).alias("edge"), F.col("n").alias("weight"), F.lit(0).alias("hits")
-    )
-    targets = days.filter(F.col("plan_id") == to_plan).select(
-        "customer_id", "day", F.lit(None).cast("int").alias("edge"), F.lit(0).alias("weight"), F.col("n").alias("hits")
+    is_probe = F.col("plan_id") == from_plan
+    # One probe per edge; the last one lies after every event and so counts all of them.
+    edges = F.when(is_probe, F.sequence(F.lit(0), F.lit(buckets + 1))).otherwise(F.array(F.lit(None).cast("int")))
+    edge = F.col("edge")
+    at = F.when(edge.isNull(), F.col("day")).when(edge > buckets, 2**31 - 1).otherwise(F.col("day") + low + edge * width)
+    marks = days.withColumn("edge", F.explode(edges)).select(
+        "customer_id",
+        at.alias("day"),
+        "edge",
+        F.when(edge.isNotNull(), F.col("n")).alias("weight"),
+        F.when(edge.isNull(), F.col("n")).otherwise(0).alias("hits"),
     )
     # Probes come before events of the same day: an edge counts what is strictly before it.
     order = [F.col("day"), F.col("edge").asc_nulls_last()]
     w = Window.partitionBy("customer_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    running = probes.unionByName(totals).unionByName(targets).withColumn("before", F.sum("hits").over(w))
+    running = marks.withColumn("before", F.sum("hits").over(w))
     per_edge = running.filter(F.col("edge").isNotNull()).groupBy("edge").agg(F.sum(F.col("weight") * F.col("before")).alias("pairs"))
     # buckets + 2 rows from here on
     counts = per_edge.agg(F.array_sort(F.collect_list(F.struct("edge", "pairs"))).alias("edges")).select(F.posexplode("edges").alias("i", "edge"), "edges")

@@ -67,18 +67,19 @@ def nearest_event(
 ) -> DataFrame:
     """Rows on the first day after, or the last day before, a key's anchor date; ties kept.
 
-    By default the anchor day itself belongs to "after".
+    By default the anchor day itself belongs to "after". The day is found on distinct (key, day) pairs and the
+    rows are joined on both, so neither step gathers all rows of a large key.
     """
     inclusive = direction == "after" if inclusive is None else inclusive
     d, a = F.col(day), F.col(anchor)
     if direction == "after":
-        on_side, order = (d >= a) if inclusive else (d > a), d.asc_nulls_last()
+        on_side, nearest = (d >= a) if inclusive else (d > a), F.min(day)
     elif direction == "before":
-        on_side, order = (d <= a) if inclusive else (d < a), d.desc_nulls_first()
+        on_side, nearest = (d <= a) if inclusive else (d < a), F.max(day)
     else:
         raise ValueError(direction)
-    near = sales.join(anchors.select(key, anchor), key).filter(on_side)
-    return top_ranked(near, key, order)
+    days = sales.select(key, day).distinct().join(anchors.select(key, anchor), key).filter(on_side)
+    return sales.join(days.groupBy(key).agg(nearest.alias(day)), [key, day])
 
 
 def pre_anchor_totals(sales: DataFrame, menu: DataFrame, members: DataFrame, key: str = "customer_id") -> DataFrame:

@@ -165,19 +165,12 @@ def in_range(column: str, low, high) -> Rule:
 
 def violations(df: DataFrame, key: str, rules: Sequence[Rule]) -> DataFrame:
     """Keys that break a row rule or occur more than once, with the number of rows concerned."""
-    broken = F.array_compact(F.array(*[F.when(~r.ok, F.lit(r.name)) for r in rules]))
-    by_row = (
-        df.select(F.col(key).cast("string").alias("key"), F.explode(broken).alias("rule"))
-        .groupBy("rule", "key")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    repeated = (
-        df.groupBy(F.col(key).cast("string").alias("key"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") > 1)
-        .select(F.lit(f"{key} is repeated").alias("rule"), "key", "rows")
-    )
-    return by_row.unionByName(repeated)
+    counts = {r.name: F.count_if(~r.ok) for r in rules}
+    rows = F.count(F.lit(1))
+    counts[f"{key} is repeated"] = F.when(rows > 1, rows).otherwise(0)
+    per_key = df.groupBy(F.col(key).cast("string").alias("key")).agg(*[n.alias(rule) for rule, n in counts.items()])
+    found = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(f"`{rule}`").alias("rows")) for rule in counts])
+    return per_key.select("key", F.explode(found).alias("flaw")).select("flaw.rule", "key", "flaw.rows").filter(F.col("rows") > 0)
 
 
 def rating_rules() -> list[Rule]:
