@@ -12,16 +12,24 @@ from tallyloom.functions.exprs import col
 MAX_MAP_ENTRIES = 256
 
 
+# The widest dictionary whose entries are counted side by side, one aggregate per name.
+MAX_COUNTED_NAMES = 64
+
+
+def _parts(c: str | Column, sep: str) -> Column:
+    """The text split at a literal separator."""
+    return F.split(col(c), f"\\Q{sep}\\E")
+
+
 def split_ids(c: str | Column, sep: str = ", ") -> Column:
     """The ids of a delimited list; NULL for NULL, empty for empty text, entries that are no number are dropped."""
-    parts = F.split(col(c), f"\\Q{sep}\\E")
-    return F.array_compact(F.transform(parts, lambda x: x.try_cast("int")))
+    return F.array_compact(F.transform(_parts(c, sep), lambda x: x.try_cast("int")))
 
 
 def list_size(c: str | Column, sep: str = ", ") -> Column:
     """Number of list entries; 0 for NULL or empty text."""
     text = col(c)
-    return F.when(text.isNull() | (text == ""), 0).otherwise(F.size(F.split(text, f"\\Q{sep}\\E")))
+    return F.when(text.isNull() | (text == ""), 0).otherwise(F.size(_parts(text, sep)))
 
 
 def explode_ids(df: DataFrame, list_col: str, out: str, sep: str = ", ") -> DataFrame:
@@ -72,7 +80,8 @@ def small_dictionary(dictionary: DataFrame, dict_id: str, dict_name: str, limit:
 def _names_by_map(list_col: str, entries: dict[int, str]) -> Column:
     """Row-local lookup: ids to names through a literal map, ordered and joined; no name at all gives NULL."""
     lookup = F.create_map(*[F.lit(x) for item in entries.items() for x in item])
-    names = F.array_sort(F.array_compact(F.transform(split_ids(list_col), lambda i: F.try_element_at(lookup, i))))
+    parts = _parts(list_col, ", ")
+    names = F.sort_array(F.array_compact(F.transform(parts, lambda x: F.try_element_at(lookup, x.try_cast("int")))))
     return F.when(F.size(names) > 0, F.array_join(names, ", "))
 
 
@@ -143,9 +152,56 @@ def _ingredient_text(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
     return listed.withColumn("ingredient_list", F.concat("pizza_name", F.lit(": "), "texts")).drop("texts")
 
 
-def effective_ingredients(orders: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
-    """Ingredient text per (order, customer, pizza name); equal pizzas of one order are counted together."""
+def _occurrences(ids: Column, wanted: Sequence[int]) -> Column:
+    """How often any of the wanted ids occurs in an id list; 0 for NULL."""
+    return sum((F.coalesce(F.size(ids) - F.size(F.array_remove(ids, i)), F.lit(0)) for i in wanted), F.lit(0))
+
+
+def _ingredient_text_by_name(
+    orders: DataFrame, names: DataFrame, recipes: DataFrame, keys: Sequence[str], ids_of: dict[str, list[int]]
+) -> DataFrame:
+    """The same text with one counter per name of a small dictionary: no row is multiplied and one shuffle is enough.
+
+    The recipe's own counts are made once per pizza, before the join.
+    """
+    ids = {name: list(entries) for name, entries in sorted(ids_of.items())}
+    every_id = [i for entries in ids.values() for i in entries]
+    per_pizza = recipes.withColumn("recipe", split_ids("toppings"))
+    per_pizza = per_pizza.select("pizza_id", *[_occurrences(F.col("recipe"), [i]).alias(f"recipe_{i}") for i in every_id])
+    lists = orders.withColumns({"excluded": split_ids("exclusions"), "added": split_ids("extras")})
+    lists = lists.join(names, "pizza_id").join(per_pizza, "pizza_id", "left")
+
+    def amount(entries: list[int]) -> Column:
+        kept = [
+            F.when(F.array_contains("excluded", i), 0).otherwise(F.coalesce(f"recipe_{i}", F.lit(0))) for i in entries
+        ]
+        return F.sum(sum(kept, _occurrences(F.col("added"), entries)))
+
+    counted = lists.groupBy(*keys, "pizza_name").agg(*[amount(entries).alias(f"_{k}") for k, entries in enumerate(ids.values())])
+    texts = [
+        F.when(F.col(f"_{k}") > 1, F.concat(F.col(f"_{k}").cast("string"), F.lit("x" + name))).when(F.col(f"_{k}") == 1, name)
+        for k, name in enumerate(ids)
+    ]
+    listed = counted.select(*keys, "pizza_name", F.array_compact(F.array(*texts)).alias("texts")).filter(F.size("texts") > 0)
+    return listed.select(*keys, F.concat("pizza_name", F.lit(": "), F.array_join("texts", ", ")).alias("ingredient_list"))
+
+
+def effective_ingredients(
+    orders: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame, side_by_side: bool | None = None
+) -> DataFrame:
+    """Ingredient text per (order, customer, pizza name); equal pizzas of one order are counted together.
+
+    With few toppings each has its own counter. For any number of them, lists are expanded and counted.
+    """
     keys = ["order_id", "customer_id"]
+    entries = small_dictionary(toppings, "topping_id", "topping_name", MAX_COUNTED_NAMES) if side_by_side is not False else None
+    if entries:
+        ids_of: dict[str, list[int]] = {}
+        for i, name in entries.items():
+            ids_of.setdefault(name, []).append(i)
+        return _ingredient_text_by_name(orders, names, recipes, keys, ids_of)
+    if side_by_side:
+        raise ValueError("the dictionary is too large, or its ids are not unique, for counters side by side")
     counted = net_ingredients(orders.join(names, "pizza_id"), recipes, toppings, [*keys, "pizza_name"])
     return _ingredient_text(counted, keys).select(*keys, "ingredient_list")
 

@@ -199,6 +199,12 @@ def ingredient_lists(fx: Fixtures):
     return texts.withColumnsRenamed(ORDER_NAMES).orderBy("order_no", "customer", "ingredient_list")
 
 
+def ingredient_lists_large_dictionary(fx: Fixtures):
+    """The same with ingredients from a dictionary that grows with the data."""
+    texts = L.effective_ingredients(orders(fx), fx.pizza_names(), fx.pizza_recipes(), fx.supplier_toppings(), side_by_side=False)
+    return texts.withColumnsRenamed(ORDER_NAMES).orderBy("order_no", "customer", "ingredient_list")
+
+
 def ingredient_lists_per_pizza(fx: Fixtures):
     texts = L.effective_ingredients_per_pizza(orders(fx), fx.pizza_names(), fx.pizza_recipes(), fx.toppings())
     return texts.withColumnsRenamed(ORDER_NAMES).orderBy("order_no", "customer", "ingredient_list")
@@ -296,6 +302,7 @@ QUERIES = {
     "pizza_c4_order_items": order_items,
     "pizza_c4_order_items_large_dictionary": order_items_large_dictionary,
     "pizza_c5_ingredient_lists": ingredient_lists,
+    "pizza_c5_ingredient_lists_large_dictionary": ingredient_lists_large_dictionary,
     "pizza_c5_ingredient_lists_corrected": ingredient_lists_per_pizza,
     "pizza_c6_ingredient_usage": ingredient_usage,
     "pizza_d1_revenue": revenue,
@@ -332,8 +339,20 @@ _NET = """
         WHERE NOT coalesce(list_contains(string_split(exclusions, ', '), u.id), false)
         UNION ALL
         SELECT line_no, order_id, customer_id, pizza_id, CAST(u.id AS INTEGER) FROM numbered, unnest(string_split(extras, ', ')) u(id))
-    , named AS (SELECT * FROM entry JOIN toppings USING (topping_id) JOIN pizza_names USING (pizza_id))"""
+    , named AS (SELECT * FROM entry JOIN {dictionary} USING (topping_id) JOIN pizza_names USING (pizza_id))"""
 _TEXT = "string_agg(if(n = 1, '', n || 'x') || topping_name, ', ' ORDER BY topping_name)"
+
+
+def _ingredient_check(dictionary: str) -> str:
+    return check(
+        f"co pizza_names pizza_recipes {dictionary}",
+        _NET.format(source="co", dictionary=dictionary)
+        + f""", tally AS (SELECT order_id, customer_id, pizza_name, topping_name, count(*) AS n FROM named GROUP BY ALL)
+        SELECT order_id AS order_no, customer_id AS customer, pizza_name || ': ' || {_TEXT} AS ingredient_list
+        FROM tally GROUP BY order_id, customer_id, pizza_name""",
+    )
+
+
 _RECIPE_TEXT = """
     SELECT pizza_name AS pizza, string_agg(topping_name, ', ' ORDER BY topping_name) AS standard_ingredients
     FROM {dishes}, unnest(string_split(toppings, ', ')) u(id), supplier_toppings WHERE CAST(u.id AS BIGINT) = topping_id GROUP BY 1"""
@@ -433,16 +452,11 @@ ORACLE = {
     "pizza_c3_common_exclusion": check("co toppings", _TOP_ENTRY.format(name="most_common_exclusion", times="times_excluded", column="exclusions")),
     "pizza_c4_order_items": check("co pizza_names toppings", _ITEM_LABEL.format(dictionary="toppings")),
     "pizza_c4_order_items_large_dictionary": check("co pizza_names supplier_toppings", _ITEM_LABEL.format(dictionary="supplier_toppings")),
-    "pizza_c5_ingredient_lists": check(
-        "co pizza_names pizza_recipes toppings",
-        _NET.format(source="co")
-        + f""", tally AS (SELECT order_id, customer_id, pizza_name, topping_name, count(*) AS n FROM named GROUP BY ALL)
-        SELECT order_id AS order_no, customer_id AS customer, pizza_name || ': ' || {_TEXT} AS ingredient_list
-        FROM tally GROUP BY order_id, customer_id, pizza_name""",
-    ),
+    "pizza_c5_ingredient_lists": _ingredient_check("toppings"),
+    "pizza_c5_ingredient_lists_large_dictionary": _ingredient_check("supplier_toppings"),
     "pizza_c5_ingredient_lists_corrected": check(
         "co pizza_names pizza_recipes toppings",
-        _NET.format(source="co")
+        _NET.format(source="co", dictionary="toppings")
         + f""", tally AS (SELECT line_no, order_id, customer_id, pizza_name, topping_name, count(*) AS n FROM named GROUP BY ALL)
         SELECT order_id AS order_no, customer_id AS customer, pizza_name || ': ' || {_TEXT} AS ingredient_list
         FROM tally GROUP BY line_no, order_id, customer_id, pizza_name""",
@@ -450,7 +464,7 @@ ORACLE = {
     "pizza_c6_ingredient_usage": check(
         "co ro pizza_names pizza_recipes toppings",
         f", done AS (SELECT * FROM co WHERE order_id IN {_DONE})"
-        + _NET.format(source="done")
+        + _NET.format(source="done", dictionary="toppings")
         + "SELECT topping_name AS ingredient, count(*) AS total_quantity_used FROM named GROUP BY 1",
     ),
     "pizza_d1_revenue": check("co ro", f"SELECT CAST({_INCOME} AS BIGINT) AS revenue FROM co WHERE order_id IN {_DONE}"),

@@ -12,7 +12,7 @@ def present(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.DecimalType):
             c = c.cast("double")
         elif isinstance(field.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            c = c.cast("string")
         elif isinstance(field.dataType, T.TimestampNTZType):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         shown.append(c.alias(field.name))

@@ -68,8 +68,9 @@ def test_dictionary_size_is_checked(toppings, spark):
     assert L.with_list_names(one, {"names": "extras"}, many).collect()[0]["names"] == "21, 3"
 
 
-def test_ingredient_text(frame, names, recipes, toppings, rows):
-    got = rows(L.effective_ingredients(orders(frame), names, recipes, toppings), "order_id", "ingredient_list")
+@pytest.mark.parametrize("side_by_side", [True, False, None])
+def test_ingredient_text(frame, names, recipes, toppings, rows, side_by_side):
+    got = rows(L.effective_ingredients(orders(frame), names, recipes, toppings, side_by_side), "order_id", "ingredient_list")
     assert got == [
         (1, "Meaty: apple, bacon, cheese"),
         (2, "Meaty: apple, bacon"),
@@ -97,3 +98,20 @@ def test_unknown_pizza_recipe_keeps_extras(frame, recipes, toppings, rows):
     names = frame([(3, "New")], "pizza_id int, pizza_name string")
     df = frame([(1, 1, 3, None, "4")], ORDERS)
     assert rows(L.effective_ingredients(df, names, recipes, toppings), "ingredient_list") == [("New: dill",)]
+
+
+@pytest.mark.parametrize("side_by_side", [True, False])
+def test_two_ids_of_one_name_and_nothing_left(frame, names, rows, side_by_side):
+    toppings = frame([(1, "oil"), (2, "oil"), (3, "egg")], "topping_id int, topping_name string")
+    recipes = frame([(1, "1, 2, 3"), (2, "3")], "pizza_id int, toppings string")
+    df = frame([(1, 1, 1, None, None), (2, 1, 2, "3", None)], ORDERS)
+    got = L.effective_ingredients(df, names, recipes, toppings, side_by_side)
+    assert rows(got, "order_id", "ingredient_list") == [(1, "Meaty: egg, 2xoil")]
+
+
+def test_counters_need_a_small_dictionary(frame, spark, names, recipes):
+    many = spark.range(L.MAX_COUNTED_NAMES + 1).selectExpr("cast(id as int) topping_id", "cast(id as string) topping_name")
+    df = frame([(1, 1, 1, None, "64")], ORDERS)
+    with pytest.raises(ValueError):
+        L.effective_ingredients(df, names, recipes, many, side_by_side=True)
+    assert L.effective_ingredients(df, names, recipes, many).first()["ingredient_list"] == "Meaty: 1, 2, 3, 64"

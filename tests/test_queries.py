@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as contract
 from tallyloom.plans.registry import ORACLE, QUERIES
 from tests.compare import connect, rows_of
+from tests.plan_checks import check_plan
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # Checked rows may be none at the smallest scale.
@@ -27,6 +28,7 @@ def test_every_query_has_a_check():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_check(spark, duck, name):
     df = contract.queries()[name](spark, FOLDER)
+    check_plan(name, df)
     names, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     cursor = duck.execute(contract.oracle_sql()[name])
     want_names, want = rows_of([d[0] for d in cursor.description], cursor.fetchall())
