@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # A key with more rows than this is cut into buckets.
 HOT_KEY_ROWS = 1_000_000
-# Ids of one bucket differ by less than this, which bounds a bucket when the id is unique.
-BUCKET_IDS = 1 << 20
+# Ids of one bucket share all but this many low bits, which bounds a bucket when the id is unique.
+BUCKET_BITS = 20
 
 
 def hot_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
@@ -91,7 +91,7 @@ def with_neighbors(
         return _plain(df, key, order, following, preceding, position)
     if buckets is None:
         day, tie = order
-        buckets = [F.col(day).alias("day"), F.floor(F.col(tie) / F.lit(BUCKET_IDS)).alias("part")]
+        buckets = [F.col(day).alias("day"), F.shiftright(F.col(tie), BUCKET_BITS).alias("part")]
     hot = F.broadcast(hot_keys(df, key, hot_rows))
     small = _plain(df.join(hot, key, "left_anti"), key, order, following, preceding, position)
     large = _bucketed(df.join(hot, key, "left_semi"), key, order, buckets, following, preceding, position)

@@ -73,7 +73,7 @@ TABLES = {
         FROM part""",
     "supplier_toppings": "SELECT s_suppkey AS topping_id, s_name AS topping_name FROM supplier",
     "ratings": f"""
-        SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderkey % 8 + 1 AS runner_id, o_orderkey % 5 + 1 AS rating,
+        SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderkey % 8 + 1 AS INTEGER) AS runner_id, CAST(o_orderkey % 5 + 1 AS INTEGER) AS rating,
                CASE WHEN o_orderkey % 7 <> 0 THEN {_TIME} END AS rating_time
         FROM orders WHERE o_orderstatus <> 'P'""",
     "plans": f"SELECT plan_id, plan_name, CAST(price AS DECIMAL(10, 2)) AS price FROM (VALUES {_rows(fx.PLANS)}) t(plan_id, plan_name, price)",

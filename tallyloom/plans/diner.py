@@ -77,7 +77,8 @@ def membership_flag(fx: Fixtures):
 
 
 def membership_rank(fx: Fixtures):
-    return L.member_rank(fx.sales(), fx.menu(), fx.members()).withColumnsRenamed({"customer_id": "customer", "price": "product_price"})
+    ranked = L.member_rank(fx.sales(), fx.menu(), fx.members()).withColumn("ranking", F.col("ranking").cast("double"))
+    return ranked.withColumnsRenamed({"customer_id": "customer", "price": "product_price"})
 
 
 QUERIES = {
@@ -163,7 +164,7 @@ ORACLE = {
             SELECT sales.customer_id, order_date, product_name, price, if(coalesce(join_date <= order_date, false), 'Y', 'N') AS member
             FROM menu JOIN sales ON menu.product_id = sales.product_id LEFT JOIN members ON members.customer_id = sales.customer_id)
         SELECT customer_id AS customer, strftime(order_date, '%Y-%m-%d') AS order_date, product_name, CAST(price AS DOUBLE) AS product_price, member,
-               if(member = 'Y', dense_rank() OVER (PARTITION BY customer_id, member ORDER BY order_date), NULL) AS ranking
+               CAST(if(member = 'Y', dense_rank() OVER (PARTITION BY customer_id, member ORDER BY order_date), NULL) AS DOUBLE) AS ranking
         FROM flagged""",
     ),
 }

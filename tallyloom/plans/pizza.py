@@ -53,6 +53,11 @@ def profile_of(column: str, cleaned: bool):
     return run
 
 
+def duration_with_fractions(fx: Fixtures):
+    """Durations that keep a decimal point."""
+    return Q.value_profile(Q.clean_runner_orders(fx.runner_orders_raw(), duration_keep="0-9."), "duration")
+
+
 def cleaned_runs(fx: Fixtures):
     return Q.clean_runner_orders(fx.runner_orders_raw(), typed=False)
 
@@ -270,6 +275,7 @@ QUERIES = {
     "pizza_clean_distance_fixed": profile_of("distance", cleaned=True),
     "pizza_clean_duration_profile": profile_of("duration", cleaned=False),
     "pizza_clean_duration_fixed": profile_of("duration", cleaned=True),
+    "pizza_clean_duration_fixed_corrected": duration_with_fractions,
     "pizza_clean_cancellation_profile": profile_of("cancellation", cleaned=False),
     "pizza_clean_cancellation_fixed": profile_of("cancellation", cleaned=True),
     "pizza_clean_runs": cleaned_runs,
@@ -378,6 +384,7 @@ ORACLE = {
     "pizza_clean_distance_fixed": _profile_check("ro_text", "distance"),
     "pizza_clean_duration_profile": _profile_check("ro_raw", "duration"),
     "pizza_clean_duration_fixed": _profile_check("ro_text", "duration"),
+    "pizza_clean_duration_fixed_corrected": check("ro", "SELECT CAST(duration AS DOUBLE) AS duration, count(*) AS count FROM ro GROUP BY ro.duration"),
     "pizza_clean_cancellation_profile": _profile_check("ro_raw", "cancellation"),
     "pizza_clean_cancellation_fixed": _profile_check("ro_text", "cancellation"),
     "pizza_clean_runs": check("ro_text", "SELECT order_id, runner_id, pickup_time, distance, duration, cancellation FROM ro_text"),

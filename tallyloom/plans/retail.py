@@ -17,6 +17,11 @@ def clean(fx: Fixtures):
     return Q.clean_transactions(fx.retail())
 
 
+def _lines(df):
+    """Transaction lines for display: an id with gaps is shown as a double."""
+    return df.withColumn("customer_id", F.col("customer_id").cast("double"))
+
+
 # ---- loading and quality ------------------------------------------------------------------------
 
 
@@ -24,7 +29,7 @@ def load(fx: Fixtures):
     """Delimited text to the typed table, with the date parsed, the customer id whole and revenue added."""
     rows = parse_csv_lines(fx.retail_lines(), "line", RETAIL_CSV_SCHEMA)
     rows = rows.withColumn("invoice_date", parse_timestamp("invoice_date")).withColumn("customer_id", F.col("customer_id").cast("long"))
-    return Q.with_revenue(rows)
+    return _lines(Q.with_revenue(rows))
 
 
 def schema(fx: Fixtures):
@@ -44,15 +49,15 @@ def report(fx: Fixtures):
 
 
 def with_customer(fx: Fixtures):
-    return Q.present(fx.retail(), "customer_id")
+    return _lines(Q.present(fx.retail(), "customer_id"))
 
 
 def with_description(fx: Fixtures):
-    return Q.present(fx.retail(), "description")
+    return _lines(Q.present(fx.retail(), "description"))
 
 
 def deduplicated(fx: Fixtures):
-    return Q.drop_duplicates(fx.retail())
+    return _lines(Q.drop_duplicates(fx.retail()))
 
 
 def audit(fx: Fixtures):
@@ -60,21 +65,21 @@ def audit(fx: Fixtures):
 
 
 def violators(fx: Fixtures):
-    return Q.cancellation_violators(Q.drop_duplicates(fx.retail()))
+    return _lines(Q.cancellation_violators(Q.drop_duplicates(fx.retail())))
 
 
 def negative_prices(fx: Fixtures):
     rows = Q.drop_duplicates(fx.retail())
-    return rows.filter((F.col("quantity") > 0) & (F.col("price") < 0))
+    return _lines(rows.filter((F.col("quantity") > 0) & (F.col("price") < 0)))
 
 
 def cleaned(fx: Fixtures):
-    return clean(fx)
+    return _lines(clean(fx))
 
 
 def head(fx: Fixtures):
     keys = ["invoice_date", "invoice", F.col("description").asc_nulls_last(), "quantity", "price"]
-    return preview(clean(fx), 5, *keys)
+    return _lines(preview(clean(fx), 5, *keys))
 
 
 # ---- revenue and products -----------------------------------------------------------------------
@@ -266,7 +271,7 @@ QUERIES = {
 }
 
 _TS = "strftime(invoice_date, '%Y-%m-%d %H:%M:%S') AS invoice_date"
-_RAW_ROW = f"invoice, description, quantity, {_TS}, CAST(price AS DOUBLE) AS price, customer_id, country"
+_RAW_ROW = f"invoice, description, quantity, {_TS}, CAST(price AS DOUBLE) AS price, CAST(customer_id AS DOUBLE) AS customer_id, country"
 _ROW = f"{_RAW_ROW}, CAST(revenue AS DOUBLE) AS revenue"
 _COLUMNS = {
     "invoice": "string",

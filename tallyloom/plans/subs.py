@@ -21,7 +21,7 @@ def journey(fx: Fixtures):
 
 
 def sequence(fx: Fixtures):
-    return E.plan_sequence(fx.subscriptions(), fx.plans())
+    return E.plan_sequence(fx.subscriptions(), fx.plans()).withColumn("next_plan_id", F.col("next_plan_id").cast("double"))
 
 
 def sequence_preview(fx: Fixtures):
@@ -112,7 +112,7 @@ _STEPS = f"""
         FROM subs JOIN plans USING (plan_id))"""
 _ALL = "(SELECT count(DISTINCT customer_id) FROM subs)"
 _SEQUENCE = """customer_id, plan_id, plan_name, CAST(price AS DOUBLE) AS price, strftime(start_date, '%Y-%m-%d') AS start_date,
-               next_plan_id, next_plan_name, strftime(next_start_date, '%Y-%m-%d') AS next_start_date, plan_order"""
+               CAST(next_plan_id AS DOUBLE) AS next_plan_id, next_plan_name, strftime(next_start_date, '%Y-%m-%d') AS next_start_date, plan_order"""
 _MIX = f"count(*) AS customer_count, {half_up('count(*) * 100', _ALL, 1)} AS pct_of_customers"
 _CREDITED = {
     "same_day": "plan_id IN (1, 2) AND prev_plan_id = 1 AND start_date = next_start_date",

@@ -186,3 +186,25 @@ def test_payments_increase_and_keep_the_bound(frame, plans):
     assert by_event
     for dates in by_event.values():
         assert dates == sorted(set(dates)) and dates[-1] <= d("2020-06-30")
+
+
+def step(day):
+    """One month later, clamped to the month's end."""
+    year, month = divmod(day.year * 12 + day.month, 12)
+    for number in range(day.day, 27, -1):
+        try:
+            return dt.date(year, month + 1, number)
+        except ValueError:
+            continue
+    return dt.date(year, month + 1, day.day)
+
+
+def test_monthly_dates_equal_repeated_steps(frame):
+    rng = random.Random(3)
+    cases = [(dt.date(1999, 1, 1) + dt.timedelta(days=rng.randrange(3000)), rng.randrange(40)) for _ in range(800)]
+    df = frame(cases, "start date, months int").withColumn("dates", S.monthly_dates(F.col("start"), F.col("months")))
+    for r in df.collect():
+        want = [r["start"]]
+        while len(want) <= r["months"]:
+            want.append(step(want[-1]))
+        assert r["dates"] == want
