@@ -146,7 +146,9 @@ def net_ingredients(orders: DataFrame, recipes: DataFrame, toppings: DataFrame,
 def _ingredient_text(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """`name: a, 2xb, ...` ordered by ingredient name, per key. A group holds one row per ingredient."""
     text = F.concat(F.when(F.col("topping_count") > 1, F.concat(F.col("topping_count").cast("string"), F.lit("x"))).otherwise(""), "topping_name")
-    listed = counted.withColumn("text", text).groupBy(*keys, "pizza_name").agg(
+    # Moving the counted rows is cheaper than moving half-built lists, so they are placed before the lists are made.
+    placed = counted.withColumn("text", text).repartition(*keys, "pizza_name")
+    listed = placed.groupBy(*keys, "pizza_name").agg(
         F.expr("listagg(text, ', ') within group (order by topping_name, text)").alias("texts")
     )
     return listed.withColumn("ingredient_list", F.concat("pizza_name", F.lit(": "), "texts")).drop("texts")

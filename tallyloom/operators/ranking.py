@@ -68,12 +68,8 @@ def country_revenue_tiers(df: DataFrame) -> DataFrame:
 
 def country_customers(df: DataFrame) -> DataFrame:
     """Distinct known customers per country."""
-    known = df.filter(F.col("customer_id").isNotNull())
-    return total_customers(known).filter(F.col("number_of_customers") > 0)
-
-
-def total_customers(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("country").isNotNull()).groupBy("country").agg(F.count_distinct("customer_id").alias("number_of_customers"))
+    known = df.filter(F.col("customer_id").isNotNull() & F.col("country").isNotNull())
+    return known.groupBy("country").agg(F.count_distinct("customer_id").alias("number_of_customers"))
 
 
 def country_customer_tiers(df: DataFrame) -> DataFrame:
