@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import bpe, quality_rules, token_counts
+from tallyloom.llm import bpe, html_extract, pii, quality_classifier, quality_rules, secrets, token_counts
 from tallyloom.llm.shared import documents, prepare
 
 
@@ -18,17 +18,39 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(documents(spark, sf_dir))
+
+
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
 
 
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(prepare(spark).read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality_classifier.classify(docs, labels, ["doc_id"])
+    return scored.select("doc_id", quality_classifier.held_out().alias("held_out"), "score", "predicted")
+
+
 def encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
 
+def credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_quality_rules": quality,
+    "op2_pii_spans": personal_data,
     "op3_token_counts": tokens,
+    "op5_main_text": page_text,
+    "op7_quality_classifier": classes,
     "op8_bpe_round_trip": encoding,
+    "op10_secrets": credentials,
 }
 ORACLE: dict[str, str] = {}
