@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import bpe, html_extract, pii, quality_classifier, quality_rules, secrets, token_counts
+from tallyloom.llm import bpe, html_extract, near_dedup, pii, quality_classifier, quality_rules, secrets, token_counts
 from tallyloom.llm.shared import documents, prepare
 
 
@@ -26,6 +26,10 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
 
 
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), words=4)
+
+
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(prepare(spark).read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op1_quality_rules": quality,
     "op2_pii_spans": personal_data,
     "op3_token_counts": tokens,
+    "op4_near_dedup": near_copies,
     "op5_main_text": page_text,
     "op7_quality_classifier": classes,
     "op8_bpe_round_trip": encoding,
