@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import bpe, html_extract, near_dedup, pii, quality_classifier, quality_rules, secrets, token_counts
+from tallyloom.llm import bpe, decontaminate, html_extract, near_dedup, pii, quality_classifier, quality_rules, secrets, token_counts
 from tallyloom.llm.shared import documents, prepare
 
 
@@ -44,6 +44,10 @@ def encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
 
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(documents(spark, sf_dir))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op5_main_text": page_text,
     "op7_quality_classifier": classes,
     "op8_bpe_round_trip": encoding,
+    "op9_benchmark_leaks": benchmark_leaks,
     "op10_secrets": credentials,
 }
 ORACLE: dict[str, str] = {}
