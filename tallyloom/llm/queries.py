@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, decontaminate, html_extract, near_dedup, pii, quality_classifier, quality_rules, secrets, token_counts
+from tallyloom.llm import bpe, decontaminate, html_extract, near_dedup, pii, quality_classifier, quality_rules, secrets, substring_dedup, token_counts
 from tallyloom.llm.shared import documents, prepare
 
 
@@ -34,6 +35,11 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(prepare(spark).read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = substring_dedup.remove_repeats(documents(spark, sf_dir), size=13)
+    return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = quality_classifier.classify(docs, labels, ["doc_id"])
@@ -58,6 +64,7 @@ QUERIES = {
     "op3_token_counts": tokens,
     "op4_near_dedup": near_copies,
     "op5_main_text": page_text,
+    "op6_substring_dedup": passages,
     "op7_quality_classifier": classes,
     "op8_bpe_round_trip": encoding,
     "op9_benchmark_leaks": benchmark_leaks,
