@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, decontaminate, html_extract, near_dedup, pii, quality_classifier, quality_rules, secrets, substring_dedup, token_counts
+from tallyloom.llm import bpe, checks, decontaminate, html_extract, near_dedup, pii, quality_classifier, quality_rules, secrets, substring_dedup, token_counts
 from tallyloom.llm.shared import documents, prepare
 
 
@@ -70,4 +70,11 @@ QUERIES = {
     "op9_benchmark_leaks": benchmark_leaks,
     "op10_secrets": credentials,
 }
-ORACLE: dict[str, str] = {}
+# The others read trained models, vocabularies or markup; their tests compare them with plain versions.
+ORACLE = {
+    "op1_quality_rules": checks.QUALITY,
+    "op4_near_dedup": checks.NEAR,
+    "op6_substring_dedup": checks.PASSAGES,
+    "op9_benchmark_leaks": checks.LEAKS,
+    "op10_secrets": checks.SECRETS,
+}
