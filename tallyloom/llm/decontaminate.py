@@ -147,4 +147,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, radius:
 def clean(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
     """The documents that have no passage of the benchmark."""
     gone = stash(leaks(docs, benchmark, percent, radius).select(F.col("doc_id").alias("gone_id")).distinct())
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

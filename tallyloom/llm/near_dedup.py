@@ -258,4 +258,4 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those that have a near duplicate of smaller doc_id in their group."""
     gone = stash(near_duplicates(docs, words, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct())
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

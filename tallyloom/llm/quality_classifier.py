@@ -116,7 +116,7 @@ def fit(x: Inputs, labels: np.ndarray, seed: int = 7) -> Machine:
     random = np.random.default_rng(seed)
     share = float(labels.mean()) if len(labels) else 0.5
     machine = Machine(float(np.log(share / (1 - share))) if 0 < share < 1 else (30.0 if share == 1 else -30.0), np.zeros(WIDTH, np.float32), random.normal(0, 0.05, (WIDTH, RANK)).astype(np.float32))
-    if not 0 < share < 1:
+    if not (len(labels) and 0 < share < 1):
         machine.factors[:] = 0
         return machine
     past_w, past_f, past_b = np.full(WIDTH, 1e-2), np.full((WIDTH, RANK), 1e-2), 1e-2
