@@ -86,13 +86,20 @@ def parse_timestamp(c: str | Column, fmt: str | None = None) -> Column:
 
 
 def ratio(numerator: str | Column, denominator: str | Column) -> Column:
-    """Quotient in exact decimals; a zero denominator gives NULL."""
-    return F.try_divide(col(numerator).cast("decimal(20,4)"), col(denominator).cast("decimal(15,2)"))
+    """Quotient to ten decimals, for numerators below 1e26; a zero denominator gives NULL."""
+    return F.try_divide(col(numerator).cast("decimal(30,4)"), col(denominator).cast("decimal(20,2)"))
 
 
 def rounded_ratio(numerator: str | Column, denominator: str | Column, digits: int) -> Column:
-    """The quotient rounded half away from zero."""
-    return F.round(ratio(numerator, denominator), digits)
+    """The exact quotient rounded half away from zero, for values below 1e26; a zero denominator gives NULL.
+
+    Rounding is a whole division of scaled values, so no intermediate quotient is cut off.
+    """
+    n, d = (col(x).cast("decimal(30,4)") for x in (numerator, denominator))
+    whole = F.abs(n) * F.lit(2 * 10**digits).cast("decimal(6,0)") + F.abs(d)
+    twice = F.nullif(F.abs(d) * 2, F.lit(0))
+    steps = ((whole - whole % twice) / twice).cast("decimal(30,0)")
+    return steps * F.lit(10.0**-digits).cast(f"decimal({digits + 1},{digits})") * F.sign(n).cast("decimal(1,0)") * F.sign(d).cast("decimal(1,0)")
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.functions.exprs import month_start, ratio, week_number, weekday_label
-from tallyloom.session import cut_lineage
 
 
 def volume_by_hour(df: DataFrame, ts: str = "order_time", out: str = "pizzas_ordered") -> DataFrame:
@@ -28,13 +27,13 @@ def volume_by_month(df: DataFrame, day: str, out: str) -> DataFrame:
 def monthly_revenue(df: DataFrame, ts: str = "invoice_date", measure: str = "revenue") -> DataFrame:
     """Sum per calendar month from the first to the last month; months without rows are 0. Labelled by month end.
 
-    The monthly totals are needed twice and so written once: the table itself is read in one pass.
+    The monthly totals, of which there are as many as months, become one map; the months are spelled out beside it. So the table is read in one pass.
     """
-    totals = cut_lineage(df.groupBy(month_start(ts).alias("month")).agg(F.sum(measure).alias(measure)))
-    spine = totals.agg(F.explode(F.sequence(F.min("month"), F.max("month"), F.expr("interval 1 month"))).alias("month"))
-    return spine.join(totals, "month", "left").select(
-        F.last_day("month").alias("month_end"), F.coalesce(measure, F.lit(0)).alias(measure)
-    )
+    totals = df.groupBy(month_start(ts).alias("month")).agg(F.sum(measure).alias(measure)).filter(F.col("month").isNotNull())
+    known = F.map_from_entries(F.collect_list(F.struct("month", measure)))
+    months = F.sequence(F.min("month"), F.max("month"), F.expr("interval 1 month"))
+    spine = totals.agg(known.alias("known"), months.alias("months")).select("known", F.explode("months").alias("month"))
+    return spine.select(F.last_day("month").alias("month_end"), F.coalesce(F.try_element_at("known", "month"), F.lit(0)).alias(measure))
 
 
 def with_overall_mean(series: DataFrame, measure: str = "revenue", out: str = "mean_revenue") -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyloom.functions.exprs import month_gap, month_start
+from tallyloom.session import cut_lineage
 
 
 def cohort_counts(transactions: DataFrame, customer: str = "customer_id", ts: str = "invoice_date") -> DataFrame:
@@ -29,7 +28,10 @@ def cohort_retention(counts: DataFrame) -> DataFrame:
     return counts.withColumn("retention_pct", F.round(share, 1))
 
 
-def cohort_matrix(retention: DataFrame, months: Sequence[int], value: str = "retention_pct") -> DataFrame:
-    """One row per cohort and one column per elapsed month of a fixed list."""
-    wide = retention.groupBy("cohort_month").pivot("months_elapsed", list(months)).agg(F.first(value))
-    return wide.withColumnsRenamed({str(m): f"month_{m}" for m in months})
+def cohort_matrix(retention: DataFrame, value: str = "retention_pct") -> DataFrame:
+    """One row per cohort and one column for every elapsed month that occurs.
+
+    The months become columns, so they are listed first; the counts are written once and read for the list and for the matrix.
+    """
+    counted = cut_lineage(retention.withColumn("_month", F.concat(F.lit("month_"), F.col("months_elapsed").cast("string"))))
+    return counted.groupBy("cohort_month").pivot("_month").agg(F.first(value))

@@ -27,8 +27,9 @@ def deliveries_per_runner(runner_orders: DataFrame) -> DataFrame:
     return delivered(runner_orders).groupBy("runner_id").agg(F.count_distinct("order_id").alias("successful_orders"))
 
 
-def pizzas_per_order(customer_orders: DataFrame, *keys: str | Column) -> DataFrame:
-    return customer_orders.groupBy("order_id", *keys).agg(F.count("pizza_id").alias("pizzas"))
+def pizzas_per_order(customer_orders: DataFrame, *keys: str | Column, rows: bool = False) -> DataFrame:
+    """Known pizzas per order; with `rows`, lines without a pizza id count too."""
+    return customer_orders.groupBy("order_id", *keys).agg(F.count(F.lit(1) if rows else "pizza_id").alias("pizzas"))
 
 
 def deliveries_by_type(customer_orders: DataFrame, runner_orders: DataFrame, names: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def largest_order(customer_orders: DataFrame, runner_orders: DataFrame | None =
 def changes_by_customer(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:
     """Delivered pizzas with and without a change, per customer."""
     changed = F.col("exclusions").isNotNull() | F.col("extras").isNotNull()
-    counted = pizzas_per_order(customer_orders, "customer_id", F.when(changed, "YES").otherwise("NO").alias("changes"))
+    counted = pizzas_per_order(customer_orders, "customer_id", F.when(changed, "YES").otherwise("NO").alias("changes"), rows=True)
     done = delivered(runner_orders).select("order_id")
     return counted.join(done, "order_id").groupBy("customer_id", "changes").agg(F.sum("pizzas").alias("total"))
 
@@ -63,7 +64,7 @@ def both_changes(customer_orders: DataFrame, runner_orders: DataFrame, delivered
     both = customer_orders.filter(F.col("exclusions").isNotNull() & F.col("extras").isNotNull())
     state = F.col("cancellation")
     done = runner_orders.filter(state.isNull() if delivered_only else state.isNotNull()).select("order_id")
-    return pizzas_per_order(both).join(done, "order_id").agg(F.coalesce(F.sum("pizzas"), F.lit(0)).alias("count"))
+    return pizzas_per_order(both, rows=True).join(done, "order_id").agg(F.coalesce(F.sum("pizzas"), F.lit(0)).alias("count"))
 
 
 def minutes_to_arrive(customer_orders: DataFrame, runner_orders: DataFrame, per_order: bool = False) -> DataFrame:
@@ -71,7 +72,7 @@ def minutes_to_arrive(customer_orders: DataFrame, runner_orders: DataFrame, per_
 
     As written every pizza row counts, so large orders weigh more; `per_order` weighs orders equally.
     """
-    orders = pizzas_per_order(customer_orders, "order_time").join(runner_orders.select("order_id", "runner_id", "pickup_time"), "order_id")
+    orders = pizzas_per_order(customer_orders, "order_time", rows=True).join(runner_orders.select("order_id", "runner_id", "pickup_time"), "order_id")
     wait = seconds_between("order_time", "pickup_time")
     weight = F.lit(1) if per_order else F.col("pizzas")
     seconds = F.sum(wait * weight)

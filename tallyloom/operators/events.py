@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyloom.functions.exprs import concat_skip_null, month_start, percent, rounded_ratio
-from tallyloom.operators.sequence import HOT_KEY_ROWS, nth_rows, with_neighbors
+from tallyloom.operators.sequence import nth_rows, with_neighbors
 
 # fixed values: plan ids
 TRIAL, BASIC_MONTHLY, PRO_MONTHLY, PRO_ANNUAL, CHURN = range(5)
@@ -28,7 +28,7 @@ def customer_journey(events: DataFrame, plans: DataFrame, customers: Sequence[in
     return events.join(plans, "plan_id").select("customer_id", "plan_name", "start_date", "event_id")
 
 
-def plan_sequence(events: DataFrame, plans: DataFrame, hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+def plan_sequence(events: DataFrame, plans: DataFrame) -> DataFrame:
     """Every event with its plan, the next plan and its place in the customer's history."""
     priced = events.join(plans, "plan_id").select("event_id", "customer_id", "plan_id", "plan_name", "price", "start_date")
     return with_neighbors(
@@ -37,7 +37,6 @@ def plan_sequence(events: DataFrame, plans: DataFrame, hot_rows: int | None = HO
         EVENT_ORDER,
         following={"next_plan_id": "plan_id", "next_plan_name": "plan_name", "next_start_date": "start_date"},
         position="plan_order",
-        hot_rows=hot_rows,
     )
 
 
@@ -58,17 +57,17 @@ def events_after(events: DataFrame, plans: DataFrame, first_day: str) -> DataFra
 
 
 def churn_rate(events: DataFrame, plan: int = CHURN) -> DataFrame:
-    """Customers who ever reached a plan, as count and percent. One row per customer, then one total."""
-    per_customer = events.groupBy("customer_id").agg(F.max((F.col("plan_id") == plan).cast("int")).alias("hit"))
+    """Known customers who ever reached a plan, as count and percent. One row per customer, then one total."""
+    per_customer = events.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(F.max((F.col("plan_id") == plan).cast("int")).alias("hit"))
     hits = F.coalesce(F.sum("hit"), F.lit(0))
     return per_customer.agg(hits.alias("churned_customers"), percent(hits, F.count("customer_id"), 1).alias("churn_pct"))
 
 
-def transitions(events: DataFrame, hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+def transitions(events: DataFrame) -> DataFrame:
     """Each event with the plan that follows it directly."""
     narrow = events.select("event_id", "customer_id", "plan_id", "start_date")
     following = {"next_plan_id": "plan_id", "next_start_date": "start_date"}
-    return with_neighbors(narrow, "customer_id", EVENT_ORDER, following=following, hot_rows=hot_rows)
+    return with_neighbors(narrow, "customer_id", EVENT_ORDER, following=following)
 
 
 def transition_rate(events: DataFrame, from_plan: int, to_plan: int) -> DataFrame:
@@ -94,11 +93,11 @@ def nth_plan_mix(events: DataFrame, plans: DataFrame, n: int = 2) -> DataFrame:
 
 
 def plan_mix_as_of(events: DataFrame, plans: DataFrame, day: str) -> DataFrame:
-    """Active plan per customer at a date.
+    """Active plan per known customer at a date.
 
     The active event is the latest one started by then, so one aggregate per customer finds it.
     """
-    started = events.filter(F.col("start_date") <= F.lit(day).cast("date"))
+    started = events.filter(F.col("customer_id").isNotNull() & (F.col("start_date") <= F.lit(day).cast("date")))
     active = started.groupBy("customer_id").agg(F.max_by("plan_id", F.struct(*EVENT_ORDER)).alias("plan_id"))
     return _plan_mix(active, events, plans)
 
@@ -122,14 +121,19 @@ def downgrades_in(events: DataFrame, from_plan: int, to_plan: int, first_day: st
     return moved.agg(F.count_distinct("customer_id").alias("downgraded_customers"))
 
 
+def _dated(events: DataFrame) -> DataFrame:
+    """Events that can be paired: those of a customer, on a day."""
+    return events.filter(F.col("customer_id").isNotNull() & F.col("start_date").isNotNull())
+
+
 def mean_days_between(events: DataFrame, from_plan: int, to_plan: int) -> DataFrame:
-    """Mean days over all (from, to) event pairs of a customer, without making the pairs.
+    """Mean days over all (from, to) event pairs of a known customer and known dates, without making the pairs.
 
     Per customer the sum over pairs is n_from * sum(to) - n_to * sum(from).
     """
     day = F.unix_date("start_date").cast("long")
     is_from, is_to = F.col("plan_id") == from_plan, F.col("plan_id") == to_plan
-    sums = events.filter(is_from | is_to).groupBy("customer_id").agg(
+    sums = _dated(events).filter(is_from | is_to).groupBy("customer_id").agg(
         F.count_if(is_from).alias("n_from"),
         F.count_if(is_to).alias("n_to"),
         F.coalesce(F.sum(F.when(is_from, day)), F.lit(0)).alias("sum_from"),
@@ -137,7 +141,7 @@ def mean_days_between(events: DataFrame, from_plan: int, to_plan: int) -> DataFr
     )
 
     def wide(c):
-        return F.col(c).cast("decimal(18,0)")
+        return F.col(c).cast("decimal(19,0)")
 
     days = F.sum(wide("n_from") * wide("sum_to") - wide("n_to") * wide("sum_from"))
     pairs = F.sum(wide("n_from") * wide("n_to"))
@@ -145,15 +149,14 @@ def mean_days_between(events: DataFrame, from_plan: int, to_plan: int) -> DataFr
 
 
 def days_histogram(events: DataFrame, from_plan: int, to_plan: int, low: int = 0, high: int = 360, buckets: int = 12) -> DataFrame:
-    """Equal-width histogram of days over all (from, to) pairs of a customer, without making the pairs.
+    """Equal-width histogram of days over all (from, to) pairs of a known customer and known dates, without making the pairs.
 
     For every from-event and bucket edge, a running count tells how many to-events lie before that edge;
     differences of neighbouring edges are the buckets. Buckets 0 and n + 1 hold what lies outside. Events
     are first counted per day, so a window group is bounded by the calendar.
     """
-    width = (high - low) // buckets
     days = (
-        events.filter(F.col("plan_id").isin(from_plan, to_plan))
+        _dated(events).filter(F.col("plan_id").isin(from_plan, to_plan))
         .groupBy("customer_id", "plan_id", F.unix_date("start_date").alias("day"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -161,7 +164,9 @@ def days_histogram(events: DataFrame, from_plan: int, to_plan: int, low: int = 0
     # One probe per edge; the last one lies after every event and so counts all of them.
     edges = F.when(is_probe, F.sequence(F.lit(0), F.lit(buckets + 1))).otherwise(F.array(F.lit(None).cast("int")))
     edge = F.col("edge")
-    at = F.when(edge.isNull(), F.col("day")).when(edge > buckets, 2**31 - 1).otherwise(F.col("day") + low + edge * width)
+    # The first whole day at or above each edge of the range.
+    first_days = F.array(*[F.lit(low + -(-k * (high - low) // buckets)) for k in range(buckets + 1)])
+    at = F.when(edge.isNull(), F.col("day")).when(edge > buckets, 2**31 - 1).otherwise(F.col("day") + F.try_element_at(first_days, edge + 1))
     marks = days.withColumn("edge", F.explode(edges)).select(
         "customer_id",
         at.alias("day"),
@@ -178,7 +183,8 @@ def days_histogram(events: DataFrame, from_plan: int, to_plan: int, low: int = 0
     counts = per_edge.agg(F.array_sort(F.collect_list(F.struct("edge", "pairs"))).alias("edges")).select(F.posexplode("edges").alias("i", "edge"), "edges")
     earlier = F.when(F.col("i") == 0, 0).otherwise(F.try_element_at("edges", F.greatest(F.col("i"), F.lit(1)))["pairs"])
     number = F.col("edge.edge")
-    label = concat_skip_null((number - 1) * width, F.lit("-"), number * width, F.lit(" days"))
+    below, above = (F.floor(F.lit(low) + k * F.lit(high - low) / F.lit(buckets)) for k in (number - 1, number))
+    label = concat_skip_null(below, F.lit("-"), above, F.lit(" days"))
     return counts.select(
         number.alias("bucket_no"), label.alias("day_range"), (F.col("edge.pairs") - earlier).alias("customer_count")
     ).filter(F.col("customer_count") > 0)

@@ -8,14 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions.exprs import col
 
-# A dictionary up to this many entries travels as one map literal; a larger one is joined.
-MAX_MAP_ENTRIES = 256
-
-
-# The widest dictionary whose entries are counted side by side, one aggregate per name.
-MAX_COUNTED_NAMES = 64
-
-
 def _parts(c: str | Column, sep: str) -> Column:
     """The text split at a literal separator."""
     return F.split(col(c), f"\\Q{sep}\\E")
@@ -23,7 +15,7 @@ def _parts(c: str | Column, sep: str) -> Column:
 
 def split_ids(c: str | Column, sep: str = ", ") -> Column:
     """The ids of a delimited list; NULL for NULL, empty for empty text, entries that are no number are dropped."""
-    return F.array_compact(F.transform(_parts(c, sep), lambda x: x.try_cast("int")))
+    return F.array_compact(F.transform(_parts(c, sep), lambda x: x.try_cast("bigint")))
 
 
 def list_size(c: str | Column, sep: str = ", ") -> Column:
@@ -70,53 +62,24 @@ def most_common_list_item(df: DataFrame, list_col: str, dictionary: DataFrame, t
     return list_item_counts(df, list_col, dictionary, dict_name=dict_name).orderBy(F.col("times").desc(), F.col(dict_name)).limit(top)
 
 
-def small_dictionary(dictionary: DataFrame, dict_id: str, dict_name: str, limit: int = MAX_MAP_ENTRIES) -> dict[int, str] | None:
-    """The dictionary's entries if there are at most `limit`, else None; reads at most limit + 1 rows."""
-    rows = dictionary.select(dict_id, dict_name).limit(limit + 1).collect()
-    entries = {r[0]: r[1] for r in rows}
-    return entries if len(rows) <= limit and len(entries) == len(rows) else None
-
-
-def _names_by_map(list_col: str, entries: dict[int, str]) -> Column:
-    """Row-local lookup: ids to names through a literal map, ordered and joined; no name at all gives NULL."""
-    lookup = F.create_map(*[F.lit(x) for item in entries.items() for x in item])
-    parts = _parts(list_col, ", ")
-    names = F.sort_array(F.array_compact(F.transform(parts, lambda x: F.try_element_at(lookup, x.try_cast("int")))))
-    return F.when(F.size(names) > 0, F.array_join(names, ", "))
-
-
-def _names_by_join(df: DataFrame, list_col: str, out: str, dictionary: DataFrame, dict_id: str, dict_name: str) -> DataFrame:
-    """Distinct lists are looked up once and joined back by their text."""
-    lists = df.select(list_col).filter(F.col(list_col).isNotNull()).distinct()
-    labels = explode_list_lookup(lists, [list_col], list_col, dictionary, dict_id, dict_name, out)
-    return df.join(labels, list_col, "left")
-
-
 def with_list_names(
-    df: DataFrame,
-    columns: dict[str, str],
-    dictionary: DataFrame,
-    by_map: bool | None = None,
-    dict_id: str = "topping_id",
-    dict_name: str = "topping_name",
+    df: DataFrame, columns: dict[str, str], dictionary: DataFrame, dict_id: str = "topping_id", dict_name: str = "topping_name"
 ) -> DataFrame:
     """Add, per list column, the ordered names of its ids. `columns` maps the new column to the list column.
 
-    A small dictionary is looked up inside the row, without a shuffle. The join is the way for any size.
+    Distinct list texts of all columns are looked up once, whatever the size of the dictionary, and joined back by their text. No name at all gives NULL.
     """
-    entries = small_dictionary(dictionary, dict_id, dict_name) if by_map is not False else None
-    if entries:
-        return df.withColumns({out: _names_by_map(src, entries) for out, src in columns.items()})
-    if by_map:
-        raise ValueError("the dictionary is too large, or its ids are not unique, for a row-local lookup")
+    text = F.explode(F.array(*columns.values())).alias("_list")
+    lists = df.select(text).filter(F.col("_list").isNotNull()).distinct()
+    labels = explode_list_lookup(lists, ["_list"], "_list", dictionary, dict_id, dict_name, "_names")
     for out, src in columns.items():
-        df = _names_by_join(df, src, out, dictionary, dict_id, dict_name)
+        df = df.join(labels.select(F.col("_list").alias(f"_{out}"), F.col("_names").alias(out)), F.col(src) == F.col(f"_{out}"), "left").drop(f"_{out}")
     return df
 
 
-def order_item_label(orders: DataFrame, names: DataFrame, toppings: DataFrame, by_map: bool | None = None) -> DataFrame:
+def order_item_label(orders: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
     """One text per ordered pizza: its name, what to leave out and what to add."""
-    listed = with_list_names(orders, {"exclusion_list": "exclusions", "extra_list": "extras"}, toppings, by_map)
+    listed = with_list_names(orders, {"exclusion_list": "exclusions", "extra_list": "extras"}, toppings)
     # A part of the text vanishes when its list is NULL.
     label = F.concat(
         F.col("pizza_name"),
@@ -130,10 +93,10 @@ def net_ids(recipe: str, exclusions: str, extras: str) -> Column:
     """Recipe ids without the excluded ones, then the extra ids. A NULL list excludes and adds nothing."""
     excluded = split_ids(exclusions)
     kept = F.filter(
-        F.coalesce(split_ids(recipe), F.array().cast("array<int>")),
+        F.coalesce(split_ids(recipe), F.array().cast("array<bigint>")),
         lambda i: ~F.coalesce(F.array_contains(excluded, i), F.lit(False)),
     )
-    return F.concat(kept, F.coalesce(split_ids(extras), F.array().cast("array<int>")))
+    return F.concat(kept, F.coalesce(split_ids(extras), F.array().cast("array<bigint>")))
 
 
 def net_ingredients(orders: DataFrame, recipes: DataFrame, toppings: DataFrame, keep: Sequence[str], weight: str | None = None) -> DataFrame:
@@ -143,87 +106,54 @@ def net_ingredients(orders: DataFrame, recipes: DataFrame, toppings: DataFrame,
     return lists.join(toppings, "topping_id").groupBy(*keep, "topping_name").agg(amount.alias("topping_count"))
 
 
-def _ingredient_text(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """`name: a, 2xb, ...` ordered by ingredient name, per key. A group holds one row per ingredient."""
-    text = F.concat(F.when(F.col("topping_count") > 1, F.concat(F.col("topping_count").cast("string"), F.lit("x"))).otherwise(""), "topping_name")
-    # Moving the counted rows is cheaper than moving half-built lists, so they are placed before the lists are made.
-    placed = counted.withColumn("text", text).repartition(*keys, "pizza_name")
-    listed = placed.groupBy(*keys, "pizza_name").agg(
-        F.expr("listagg(text, ', ') within group (order by topping_name, text)").alias("texts")
-    )
-    return listed.withColumn("ingredient_list", F.concat("pizza_name", F.lit(": "), "texts")).drop("texts")
+COMBINATION = ["pizza_id", "exclusions", "extras"]
 
 
-def _occurrences(ids: Column, wanted: Sequence[int]) -> Column:
-    """How often any of the wanted ids occurs in an id list; 0 for NULL."""
-    return sum((F.coalesce(F.size(ids) - F.size(F.array_remove(ids, i)), F.lit(0)) for i in wanted), F.lit(0))
+def combinations(orders: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
+    """(pizza_id, exclusions, extras, pizza_name, items) of every distinct combination ordered; items are its counted ingredients by name.
 
+    Ingredients depend on the combination only, so they are looked up and counted before they meet the order rows.
+    """
+    distinct = orders.select(*COMBINATION).distinct().join(names, "pizza_id")
+    counted = net_ingredients(distinct, recipes, toppings, [*COMBINATION, "pizza_name"]).filter(F.col("topping_name").isNotNull())
+    return counted.groupBy(*COMBINATION, "pizza_name").agg(F.array_sort(F.collect_list(F.struct("topping_name", "topping_count"))).alias("items"))
 
-def _ingredient_text_by_name(
-    orders: DataFrame, names: DataFrame, recipes: DataFrame, keys: Sequence[str], ids_of: dict[str, list[int]]
-) -> DataFrame:
-    """The same text with one counter per name of a small dictionary: no row is multiplied and one shuffle is enough.
 
-    The recipe's own counts are made once per pizza, before the join.
-    """
-    ids = {name: list(entries) for name, entries in sorted(ids_of.items())}
-    every_id = [i for entries in ids.values() for i in entries]
-    per_pizza = recipes.withColumn("recipe", split_ids("toppings"))
-    per_pizza = per_pizza.select("pizza_id", *[_occurrences(F.col("recipe"), [i]).alias(f"recipe_{i}") for i in every_id])
-    lists = orders.withColumns({"excluded": split_ids("exclusions"), "added": split_ids("extras")})
-    lists = lists.join(names, "pizza_id").join(per_pizza, "pizza_id", "left")
-
-    def amount(entries: list[int]) -> Column:
-        kept = [
-            F.when(F.array_contains("excluded", i), 0).otherwise(F.coalesce(f"recipe_{i}", F.lit(0))) for i in entries
-        ]
-        return F.sum(sum(kept, _occurrences(F.col("added"), entries)))
-
-    counted = lists.groupBy(*keys, "pizza_name").agg(*[amount(entries).alias(f"_{k}") for k, entries in enumerate(ids.values())])
-    texts = [
-        F.when(F.col(f"_{k}") > 1, F.concat(F.col(f"_{k}").cast("string"), F.lit("x" + name))).when(F.col(f"_{k}") == 1, name)
-        for k, name in enumerate(ids)
-    ]
-    listed = counted.select(*keys, "pizza_name", F.array_compact(F.array(*texts)).alias("texts")).filter(F.size("texts") > 0)
-    return listed.select(*keys, F.concat("pizza_name", F.lit(": "), F.array_join("texts", ", ")).alias("ingredient_list"))
-
-
-def effective_ingredients(
-    orders: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame, side_by_side: bool | None = None
-) -> DataFrame:
+def _with_items(orders: DataFrame, made: DataFrame) -> DataFrame:
+    named = made.withColumnsRenamed({c: f"_{c}" for c in COMBINATION})
+    return orders.join(named, [F.col("pizza_id") == F.col("_pizza_id"), *[F.col(c).eqNullSafe(F.col(f"_{c}")) for c in COMBINATION[1:]]])
+
+
+def _text(items: Column) -> Column:
+    """`name: a, 2xb, ...` of ingredients in order."""
+    shown = F.transform(
+        items, lambda x: F.concat(F.when(x["topping_count"] > 1, F.concat(x["topping_count"].cast("string"), F.lit("x"))).otherwise(""), x["topping_name"])
+    )
+    return F.concat("pizza_name", F.lit(": "), F.array_join(shown, ", "))
+
+
+def effective_ingredients(orders: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """Ingredient text per (order, customer, pizza name); equal pizzas of one order are counted together.
 
-    With few toppings each has its own counter. For any number of them, lists are expanded and counted.
+    The order rows are placed by their key before they are expanded, so expanding, counting and listing need no further shuffle.
     """
-    keys = ["order_id", "customer_id"]
-    entries = small_dictionary(toppings, "topping_id", "topping_name", MAX_COUNTED_NAMES) if side_by_side is not False else None
-    if entries:
-        ids_of: dict[str, list[int]] = {}
-        for i, name in entries.items():
-            ids_of.setdefault(name, []).append(i)
-        return _ingredient_text_by_name(orders, names, recipes, keys, ids_of)
-    if side_by_side:
-        raise ValueError("the dictionary is too large, or its ids are not unique, for counters side by side")
-    counted = net_ingredients(orders.join(names, "pizza_id"), recipes, toppings, [*keys, "pizza_name"])
-    return _ingredient_text(counted, keys).select(*keys, "ingredient_list")
+    keys = ["order_id", "customer_id", "pizza_name"]
+    narrow = orders.select("order_id", "customer_id", *COMBINATION)
+    placed = _with_items(narrow, combinations(orders, names, recipes, toppings)).select(*keys, "items").repartition(*keys)
+    counted = placed.select(*keys, F.inline("items")).groupBy(*keys, "topping_name").agg(F.sum("topping_count").alias("topping_count"))
+    listed = counted.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("topping_name", "topping_count"))).alias("items"))
+    return listed.select("order_id", "customer_id", _text(F.col("items")).alias("ingredient_list"))
 
 
 def effective_ingredients_per_pizza(orders: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
-    """Ingredient text for every single pizza.
-
-    The text depends on pizza, exclusions and extras only, so it is made once per distinct combination.
-    """
-    combination = ["pizza_id", "exclusions", "extras"]
-    distinct = orders.select(*combination).distinct().join(names, "pizza_id")
-    counted = net_ingredients(distinct, recipes, toppings, [*combination, "pizza_name"])
-    texts = _ingredient_text(counted, combination)
-    same = [orders["pizza_id"] == texts["pizza_id"], *[orders[c].eqNullSafe(texts[c]) for c in combination[1:]]]
-    return orders.join(texts, same).select("order_id", "customer_id", "ingredient_list")
+    """Ingredient text for every single pizza, made once per distinct combination."""
+    made = combinations(orders, names, recipes, toppings).select(*COMBINATION, _text(F.col("items")).alias("ingredient_list"))
+    return _with_items(orders, made).select("order_id", "customer_id", "ingredient_list")
 
 
 def ingredient_usage(orders: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """Total use of each ingredient. Equal combinations are counted before lists are expanded."""
-    combos = orders.groupBy("pizza_id", "exclusions", "extras").agg(F.count(F.lit(1)).alias("n"))
+    combos = orders.groupBy(*COMBINATION).agg(F.count(F.lit(1)).alias("n"))
     return net_ingredients(combos, recipes, toppings, [], weight="n").withColumnsRenamed(
         {"topping_name": "ingredient", "topping_count": "total_quantity_used"}
     )

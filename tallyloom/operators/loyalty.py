@@ -35,8 +35,8 @@ def visit_days(sales: DataFrame, key: str = "customer_id", day: str = "order_dat
 
 
 def first_event_items(sales: DataFrame, menu: DataFrame, key: str = "customer_id", day: str = "order_date") -> DataFrame:
-    """Distinct items of a key's first day."""
-    first_bought = sales.groupBy(key, "product_id").agg(F.min(day).alias(day))
+    """Distinct items of a known key's first day; sales without a day are left out."""
+    first_bought = sales.filter(F.col(key).isNotNull() & F.col(day).isNotNull()).groupBy(key, "product_id").agg(F.min(day).alias(day))
     first = top_ranked(first_bought, key, F.col(day).asc_nulls_last())
     return first.join(menu.select("product_id", "product_name"), "product_id").select(key, "product_name").distinct()
 
@@ -144,14 +144,15 @@ def member_rank(sales: DataFrame, menu: DataFrame, members: DataFrame, key: str
     """The flagged sales with a dense rank by day among a member's own days; NULL outside membership.
 
     The rank depends on the day only, so it is computed on distinct (customer, day) pairs: no window group
-    is larger than the calendar.
+    is larger than the calendar. Sales without a customer or a day stay, outside membership.
     """
     days = sales.select(key, "order_date").distinct().join(members, key, "left")
     days = days.select(key, "order_date", _member_on("order_date", "join_date").alias("member"))
     w = Window.partitionBy(key, "member").orderBy(F.col("order_date").asc_nulls_last())
     ranked = days.withColumn("ranking", F.when(F.col("member") == "N", F.lit(None)).otherwise(F.dense_rank().over(w)))
+    ranked = ranked.withColumnsRenamed({key: "_key", "order_date": "_day"})
     return (
-        sales.join(ranked, [key, "order_date"])
+        sales.join(ranked, F.col(key).eqNullSafe(F.col("_key")) & F.col("order_date").eqNullSafe(F.col("_day")))
         .join(menu, "product_id")
         .select(key, "order_date", "product_name", "price", "member", "ranking")
     )

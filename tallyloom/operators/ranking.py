@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions.exprs import differs_or_null, ratio
@@ -53,9 +51,9 @@ def account_drilldown(df: DataFrame, customer: int | Column, n: int = 20) -> Dat
 
 
 def kth_customer_by_revenue(df: DataFrame, k: int) -> Column:
-    """The customer at place k of the revenue list, as a scalar."""
-    top = top_customers_by_revenue(df, k)
-    return top.orderBy(F.col("revenue"), F.col("customer_id").desc()).limit(1).select("customer_id").scalar()
+    """The customer at place k of the revenue list, as a scalar; NULL if the list is shorter."""
+    top = top_customers_by_revenue(df, k).agg(F.array_sort(F.collect_list(F.struct((-F.col("revenue")).alias("r"), "customer_id"))).alias("top"))
+    return top.select(F.try_element_at("top", F.lit(k))["customer_id"]).scalar()
 
 
 def country_revenue(df: DataFrame) -> DataFrame:
@@ -63,7 +61,7 @@ def country_revenue(df: DataFrame) -> DataFrame:
 
 
 def country_revenue_tiers(df: DataFrame) -> DataFrame:
-    return quantile_tiers(cut_lineage(country_revenue(df)), "revenue", TIER_LABELS, "revenue_tier")
+    return quantile_tiers(country_revenue(df), "revenue", TIER_LABELS, "revenue_tier")
 
 
 def country_customers(df: DataFrame) -> DataFrame:
@@ -75,7 +73,7 @@ def country_customers(df: DataFrame) -> DataFrame:
 def country_customer_tiers(df: DataFrame) -> DataFrame:
     """A single customer is the lowest tier; the other countries fall into four quantile bins."""
     alone = (F.col("number_of_customers") == 1, TIER_LABELS[0])
-    return quantile_tiers(cut_lineage(country_customers(df)), "number_of_customers", TIER_LABELS[1:], "customer_tier", alone)
+    return quantile_tiers(country_customers(df), "number_of_customers", TIER_LABELS[1:], "customer_tier", alone)
 
 
 def revenue_per_customer(df: DataFrame) -> DataFrame:
@@ -122,6 +120,3 @@ def extremes(totals: DataFrame, name: str, measure: str = "profit", k: int = 10)
     return most.unionByName(least)
 
 
-def named_list(columns: Sequence[str], names: Sequence[str], df: DataFrame) -> DataFrame:
-    """Positional rename of a result's columns."""
-    return df.select(*columns).toDF(*names)

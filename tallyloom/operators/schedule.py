@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions.exprs import month_gap
 from tallyloom.operators.events import BASIC_MONTHLY, EVENT_ORDER, PRO_ANNUAL, PRO_MONTHLY
-from tallyloom.operators.sequence import HOT_KEY_ROWS, with_neighbors
+from tallyloom.operators.sequence import with_neighbors
 
 MONTHLY_PLANS = (BASIC_MONTHLY, PRO_MONTHLY)
 
@@ -28,7 +28,7 @@ def monthly_dates(start: Column, months: Column) -> Column:
 
 
 def payment_schedule(
-    events: DataFrame, plans: DataFrame, horizon: str, credit: str = "same_day", hot_rows: int | None = HOT_KEY_ROWS
+    events: DataFrame, plans: DataFrame, horizon: str, credit: str = "same_day"
 ) -> DataFrame:
     """Payments per plan event up to a last day.
 
@@ -47,7 +47,6 @@ def payment_schedule(
         EVENT_ORDER,
         following={"next_start_date": "start_date"},
         preceding={"prev_plan_id": "plan_id", "prev_price": "price"},
-        hot_rows=hot_rows,
     )
     last_day = F.lit(horizon).cast("date")
     start = F.col("start_date")

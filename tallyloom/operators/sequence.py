@@ -1,9 +1,8 @@
 """Neighbouring rows in a per-key sequence: next, previous and position.
 
-A plain window keeps all rows of a key in one task. That is the right plan while every key is small, so
-keys below a row limit take it. A key above the limit is cut into buckets along its own order; the window
-runs inside each bucket, and one summary row per bucket carries the values across the cut. Both paths give
-the same rows.
+All rows are put in one order of key and sequence, in range partitions of about equal size, so a key of any size is spread over as many partitions as it
+needs. A window runs over the rows that a key has in one partition. A summary with one row per key and partition carries first rows, last rows and counts across
+the cuts; it has at most as many rows as there are keys and partitions together. The rows without a key are a sequence of their own.
 """
 
 from __future__ import annotations
@@ -12,62 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A key with more rows than this is cut into buckets.
-HOT_KEY_ROWS = 1_000_000
-# Ids of one bucket share all but this many low bits, which bounds a bucket when the id is unique.
-BUCKET_BITS = 20
-
-
-def hot_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """Keys with more than `limit` rows; there are fewer than (rows / limit) of them, so they can be broadcast."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows")).filter(F.col("key_rows") > limit).select(key)
-
-
-def _plain(df, key, order, following, preceding, position):
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.select(
-        "*",
-        *[F.lead(src).over(w).alias(out) for out, src in following.items()],
-        *[F.lag(src).over(w).alias(out) for out, src in preceding.items()],
-        *([F.row_number().over(w).cast("long").alias(position)] if position else []),
-    )
-
-
-def _bucketed(df, key, order, buckets, following, preceding, position):
-    bucketed = df.withColumn("_bucket", F.struct(*buckets))
-    w = Window.partitionBy(key, "_bucket").orderBy(*order)
-    is_last = F.lead(F.lit(1)).over(w).isNull()
-    is_first = F.lag(F.lit(1)).over(w).isNull()
-    inside = bucketed.select(
-        "*",
-        is_last.alias("_last"),
-        is_first.alias("_first"),
-        *[F.lead(src).over(w).alias(out) for out, src in following.items()],
-        *[F.lag(src).over(w).alias(out) for out, src in preceding.items()],
-        F.row_number().over(w).cast("long").alias("_n"),
-    )
-    # One row per bucket: its first row, its last row and its size.
-    at = F.struct(*order)
-    heads = F.struct(F.lit(1).alias("_x"), *[F.col(src).alias(out) for out, src in following.items()])
-    tails = F.struct(F.lit(1).alias("_x"), *[F.col(src).alias(out) for out, src in preceding.items()])
-    along = Window.partitionBy(key).orderBy("_bucket")
-    summary = (
-        bucketed.groupBy(key, "_bucket")
-        .agg(F.min_by(heads, at).alias("_head"), F.max_by(tails, at).alias("_tail"), F.count(F.lit(1)).alias("_rows"))
-        .select(
-            key,
-            "_bucket",
-            F.lead("_head").over(along).alias("_next_head"),
-            F.lag("_tail").over(along).alias("_prev_tail"),
-            (F.sum("_rows").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_rows")).alias("_before"),
-        )
-    )
-    return inside.join(summary, [key, "_bucket"]).select(
-        *df.columns,
-        *[F.when(F.col("_last"), F.col(f"_next_head.{out}")).otherwise(F.col(out)).alias(out) for out in following],
-        *[F.when(F.col("_first"), F.col(f"_prev_tail.{out}")).otherwise(F.col(out)).alias(out) for out in preceding],
-        *([(F.col("_n") + F.col("_before")).alias(position)] if position else []),
-    )
+from tallyloom.session import cut_lineage
 
 
 def with_neighbors(
@@ -77,31 +21,50 @@ def with_neighbors(
     following: Mapping[str, str] | None = None,
     preceding: Mapping[str, str] | None = None,
     position: str | None = None,
-    buckets: Sequence[Column] | None = None,
-    hot_rows: int | None = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Add columns of the next and previous row of the same key, and the row's place.
 
-    `order` is a day column followed by an integer id that makes it unique within the key. `following` and
-    `preceding` map a new column to the column it copies. `buckets` must not decrease along `order`; by
-    default they are the day and the id's leading part. `hot_rows=None` skips the search for large keys.
+    `order` makes a row unique within its key; missing values come last. `following` and `preceding` map a new column to the column it copies.
     """
     following, preceding = dict(following or {}), dict(preceding or {})
-    if hot_rows is None:
-        return _plain(df, key, order, following, preceding, position)
-    if buckets is None:
-        day, tie = order
-        buckets = [F.col(day).alias("day"), F.shiftright(F.col(tie), BUCKET_BITS).alias("part")]
-    hot = F.broadcast(hot_keys(df, key, hot_rows))
-    small = _plain(df.join(hot, key, "left_anti"), key, order, following, preceding, position)
-    large = _bucketed(df.join(hot, key, "left_semi"), key, order, buckets, following, preceding, position)
-    added = [*following, *preceding, *([position] if position else [])]
-    return small.unionByName(large).select(*df.columns, *added)
+    along = [F.col(c).asc_nulls_last() for c in order]
+    # The partition of a row must be the same wherever it is read, so the partitioned rows are written once.
+    ranged = df.repartitionByRange(F.col(key).asc_nulls_first(), *along)
+    parted = cut_lineage(ranged.withColumn("_part", F.spark_partition_id()))
+    inside = Window.partitionBy(key, "_part").orderBy(*along)
+    rows = parted.select(
+        "*",
+        F.lead(F.lit(1)).over(inside).isNull().alias("_last"),
+        F.row_number().over(inside).cast("long").alias("_n"),
+        *[F.lead(src).over(inside).alias(f"_next_{out}") for out, src in following.items()],
+        *[F.lag(src).over(inside).alias(f"_prev_{out}") for out, src in preceding.items()],
+    )
+    heads = F.struct(F.lit(1).alias("_x"), *[F.col(src).alias(out) for out, src in following.items()])
+    tails = F.struct(F.lit(1).alias("_x"), *[F.col(src).alias(out) for out, src in preceding.items()])
+    # The first and the last row of a key in a partition: the window has already found them.
+    ends = rows.groupBy(key, "_part").agg(
+        F.max(F.when(F.col("_n") == 1, heads)).alias("_head"), F.max(F.when(F.col("_last"), tails)).alias("_tail"), F.max("_n").alias("_rows")
+    )
+    across = Window.partitionBy(key).orderBy("_part")
+    carried = ends.select(
+        F.col(key).alias("_key"),
+        F.col("_part").alias("_in"),
+        F.lead("_head").over(across).alias("_next_head"),
+        F.lag("_tail").over(across).alias("_prev_tail"),
+        (F.sum("_rows").over(across.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_rows")).alias("_before"),
+    )
+    joined = rows.join(carried, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_in")))
+    return joined.select(
+        *df.columns,
+        *[F.when(F.col("_last"), F.col(f"_next_head.{out}")).otherwise(F.col(f"_next_{out}")).alias(out) for out in following],
+        *[F.when(F.col("_n") == 1, F.col(f"_prev_tail.{out}")).otherwise(F.col(f"_prev_{out}")).alias(out) for out in preceding],
+        *([(F.col("_n") + F.col("_before")).alias(position)] if position else []),
+    )
 
 
 def nth_rows(df: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
     """The n-th row of every key. Spark keeps only n rows per key before the shuffle, so large keys are harmless."""
-    w = Window.partitionBy(key).orderBy(*order)
+    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     return df.withColumn("_n", F.row_number().over(w)).filter((F.col("_n") <= n) & (F.col("_n") == n)).drop("_n")
 
 

@@ -20,16 +20,20 @@ _TIME = "o_orderdate + to_minutes(CAST(o_orderkey % 1440 AS BIGINT))"
 
 TABLES = {
     "sales": """
-        SELECT o.o_custkey AS customer_id, CAST(o.o_orderdate AS DATE) AS order_date, l.l_partkey AS product_id
+        SELECT CASE WHEN o.o_custkey % 37 <> 5 THEN o.o_custkey END AS customer_id,
+               CASE WHEN o.o_orderkey % 53 <> 7 THEN CAST(o.o_orderdate AS DATE) END AS order_date, l.l_partkey AS product_id
         FROM lineitem l, orders o WHERE l.l_orderkey = o.o_orderkey""",
     "menu": "SELECT p_partkey AS product_id, p_name AS product_name, CAST(p_retailprice AS DECIMAL(10, 2)) AS price FROM part",
     "members": """
         SELECT c_custkey AS customer_id, DATE '1998-01-01' + CAST(c_custkey % 365 AS INTEGER) AS join_date
         FROM customer WHERE c_mktsegment = 'BUILDING'""",
     "co_raw": f"""
-        SELECT l.l_orderkey AS order_id, o.o_custkey AS customer_id, CAST(l.l_partkey % 2 + 1 AS INTEGER) AS pizza_id,
+        SELECT l.l_orderkey AS order_id, o.o_custkey AS customer_id, CASE WHEN l.l_partkey % 41 <> 3 THEN CAST(l.l_partkey % 2 + 1 AS INTEGER) END AS pizza_id,
                CASE l.l_linenumber % 4 WHEN 0 THEN '' WHEN 1 THEN 'null'
-                    WHEN 3 THEN (l.l_suppkey % 12 + 1) || ', ' || (l.l_partkey % 12 + 1) END AS exclusions,
+                    WHEN 3 THEN CASE l.l_orderkey % 5 WHEN 0 THEN CAST(l.l_suppkey % 12 + 1 AS VARCHAR)
+                        WHEN 1 THEN (l.l_suppkey % 12 + 1) || ', ' || (l.l_partkey % 12 + 1) || ', ' || (l.l_orderkey % 12 + 1)
+                        WHEN 2 THEN array_to_string([l.l_partkey * i % 12 + 1 for i in range(1, 11)], ', ')
+                        ELSE (l.l_suppkey % 12 + 1) || ', ' || (l.l_partkey % 12 + 1) END END AS exclusions,
                CASE l.l_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'null' WHEN 3 THEN 'NaN'
                     WHEN 4 THEN (l.l_suppkey % 12 + 1) || ', ' || (l.l_orderkey % 12 + 1) END AS extras,
                {_TIME} AS order_time
@@ -46,7 +50,7 @@ TABLES = {
                CASE WHEN o_orderstatus = 'P' THEN 'null'
                     ELSE (o_orderkey % 20 + 5) || '.' || (o_orderkey % 10) || ['km', ' km', ''][(o_orderkey // 3) % 3 + 1] END AS distance,
                CASE WHEN o_orderstatus = 'P' THEN 'null'
-                    ELSE (o_orderkey % 40 + 10) || [' minutes', 'mins', ' minute', ''][o_orderkey % 4 + 1] END AS duration,
+                    ELSE (o_orderkey % 40 + 10) || if(o_orderkey % 6 = 5, '.5', '') || [' minutes', 'mins', ' minute', ''][o_orderkey % 4 + 1] END AS duration,
                CASE WHEN o_orderstatus = 'P'
                     THEN CASE o_orderkey % 2 WHEN 0 THEN 'Restaurant Cancellation' ELSE 'Customer Cancellation' END
                     ELSE CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'null' END END AS cancellation
@@ -78,7 +82,9 @@ TABLES = {
         FROM orders WHERE o_orderstatus <> 'P'""",
     "plans": f"SELECT plan_id, plan_name, CAST(price AS DECIMAL(10, 2)) AS price FROM (VALUES {_rows(fx.PLANS)}) t(plan_id, plan_name, price)",
     "subs": """
-        SELECT o_orderkey AS event_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS start_date,
+        SELECT o_orderkey AS event_id, CASE WHEN o_custkey % 31 <> 4 THEN o_custkey END AS customer_id,
+               CASE WHEN o_orderkey % 59 <> 11 THEN CASE WHEN o_custkey % 20 = 3 THEN make_date(year(o_orderdate), if(month(o_orderdate) > 6, 7, 1), 1)
+                   ELSE CAST(o_orderdate AS DATE) END END AS start_date,
                CAST(CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1 THEN 0
                          ELSE o_orderkey % 4 + 1 END AS INTEGER) AS plan_id
         FROM orders""",
@@ -96,7 +102,7 @@ TABLES = {
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
              JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey,
              generate_series(1, 3) AS copies(copy)
-        WHERE copy = 1 OR o_orderkey % 40 = 0""",
+        WHERE (copy = 1 OR o_orderkey % 40 = 0) AND strftime(o_orderdate, '%Y-%m') NOT IN ('1995-03', '1996-11')""",
     "retail_clean": """
         SELECT invoice, description, quantity, invoice_date, price, customer_id,
                CASE country WHEN 'EIRE' THEN 'Ireland' ELSE country END AS country,

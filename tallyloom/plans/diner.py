@@ -42,12 +42,12 @@ def most_purchased(fx: Fixtures):
 
 
 def favourites(fx: Fixtures):
-    return _renamed(L.favorite_item(fx.sales(), fx.menu()), CUSTOMER_ITEM).orderBy("customer")
+    return _renamed(L.favorite_item(fx.sales(), fx.menu()), CUSTOMER_ITEM).orderBy("customer", "dish_name")
 
 
 def _nearest(fx: Fixtures, direction: str):
     near = L.nearest_event(fx.sales(), fx.members(), direction).join(fx.menu(), "product_id")
-    return _renamed(near, CUSTOMER_ITEM).orderBy("customer")
+    return _renamed(near, CUSTOMER_ITEM).orderBy("customer", "dish_name")
 
 
 def first_after_joining(fx: Fixtures):
@@ -110,13 +110,13 @@ ORACLE = {
         "SELECT customer_id AS customer, CAST(sum(price) AS DOUBLE) AS total_amount_spent FROM menu, sales WHERE menu.product_id = sales.product_id GROUP BY 1",
     ),
     "diner_q02_visit_days": check(
-        "sales", "SELECT customer_id AS customer, count(*) AS days_visited FROM (SELECT DISTINCT customer_id, order_date FROM sales) d GROUP BY 1"
+        "sales", "SELECT customer_id AS customer, count(DISTINCT order_date) AS days_visited FROM sales GROUP BY 1"
     ),
     "diner_q03_first_items": check(
         "sales menu",
-        """, dated AS (SELECT *, min(order_date) OVER (PARTITION BY customer_id) AS opening FROM sales)
-        SELECT DISTINCT customer_id AS customer, product_name AS first_items_bought
-        FROM dated, menu WHERE dated.product_id = menu.product_id AND order_date = opening""",
+        """, opened AS (SELECT customer_id, min(order_date) AS opening FROM sales GROUP BY customer_id)
+        SELECT DISTINCT sales.customer_id AS customer, product_name AS first_items_bought
+        FROM opened JOIN sales ON opened.customer_id = sales.customer_id JOIN menu ON sales.product_id = menu.product_id WHERE order_date = opening""",
     ),
     "diner_q04_item_counts": check(
         "sales menu", "SELECT product_name AS dish_name, count(*) AS times_ordered FROM menu, sales WHERE menu.product_id = sales.product_id GROUP BY 1"

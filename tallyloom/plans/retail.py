@@ -8,9 +8,7 @@ from tallyloom.functions.exprs import money, parse_timestamp
 from tallyloom.operators import binning as B, calendar as C, cohort as H, quality as Q, ranking as R, segments as G
 from tallyloom.plans.check_tables import check, half_up
 from tallyloom.sources.fixtures import HOME_MARKET, Fixtures
-from tallyloom.sources.readers import RETAIL_CSV_SCHEMA, parse_csv_lines, preview
-
-MATRIX_MONTHS = tuple(range(13))
+from tallyloom.sources.readers import RETAIL_CSV_SCHEMA, RETAIL_FILE, parse_csv_lines, preview, read_csv
 
 
 def clean(fx: Fixtures):
@@ -32,6 +30,12 @@ def load(fx: Fixtures):
     return _lines(Q.with_revenue(rows))
 
 
+def load_file(fx: Fixtures):
+    """The same from a delimited file with a header row of its own names."""
+    rows = read_csv(fx.spark, fx.retail_file(), RETAIL_FILE)
+    return _lines(Q.with_revenue(rows.withColumn("invoice_date", parse_timestamp("invoice_date"))))
+
+
 def schema(fx: Fixtures):
     return Q.schema_profile(fx.retail())
 
@@ -178,7 +182,7 @@ def ratio_tiers(fx: Fixtures):
 
 def ratios(fx: Fixtures):
     top = R.top_revenue_per_customer(clean(fx))
-    return R.named_list(["country", F.round("avg_revenue_per_customer", 2)], ["country", "avg_revenue_per_customer"], top)
+    return top.select("country", F.round("avg_revenue_per_customer", 2)).toDF("country", "avg_revenue_per_customer")
 
 
 # ---- segments and cohorts -----------------------------------------------------------------------
@@ -223,11 +227,12 @@ def cohort_retention(fx: Fixtures):
 
 
 def cohort_matrix(fx: Fixtures):
-    return H.cohort_matrix(H.cohort_retention(H.cohort_counts(clean(fx))), MATRIX_MONTHS).orderBy("cohort_month")
+    return H.cohort_matrix(H.cohort_retention(H.cohort_counts(clean(fx)))).orderBy("cohort_month")
 
 
 QUERIES = {
     "retail_load": load,
+    "retail_load_csv": load_file,
     "retail_info_schema": schema,
     "retail_missing_values": missing,
     "retail_duplicate_count": duplicates,
@@ -343,18 +348,12 @@ _RFM = (
     + f"SELECT ranked.*, 5 - {_above('recency', 're')} AS r_score, 1 + {_above('place', 'fe')} AS f_score, 1 + {_above('m', 'me')} AS m_score"
     + " FROM ranked, cuts)"
 )
-_SEGMENT = (
-    _RFM
-    + """, grouped AS (
-        SELECT *, CASE WHEN least(r_score, f_score, m_score) >= 4 THEN 'Best Customers'
-            WHEN r_score = 1 AND least(f_score, m_score) >= 4 THEN 'Cannot Lose Customers'
-            WHEN r_score > 3 AND f_score < 3 THEN 'New Customers'
-            WHEN least(r_score, f_score, m_score) >= 3 THEN 'Loyal Customers'
-            WHEN r_score > 2 AND f_score > 1 THEN 'Potential Loyal Customers'
-            WHEN r_score < 3 AND least(f_score, m_score) >= 3 THEN 'At Risk Customers'
-            WHEN greatest(r_score, f_score) < 3 THEN 'Lost Customers' ELSE 'Needs Attention' END AS segment
-        FROM scored)"""
+# One arm per rule of the table: each score lies in its range.
+_ARMS = " ".join(
+    f"WHEN {' AND '.join(f'{c} BETWEEN {low} AND {high}' for c, (low, high) in zip(('r_score', 'f_score', 'm_score'), ranges))} THEN '{name}'"
+    for name, *ranges in G.SEGMENT_RULES
 )
+_SEGMENT = _RFM + f", grouped AS (SELECT *, CASE {_ARMS} ELSE '{G.OTHER_SEGMENT}' END AS segment FROM scored)"
 _COHORT = """, active AS (SELECT DISTINCT customer_id, date_trunc('month', invoice_date) AS month FROM retail_clean WHERE customer_id IS NOT NULL)
     , born AS (SELECT *, min(month) OVER (PARTITION BY customer_id) AS cohort FROM active)
     , sized AS (SELECT cohort, date_diff('month', cohort, month) AS months_elapsed, count(DISTINCT customer_id) AS customers FROM born GROUP BY ALL)
@@ -370,6 +369,7 @@ def _half_even_mean(column: str) -> str:
 
 ORACLE = {
     "retail_load": check("retail", f"SELECT {_RAW_ROW}, CAST(quantity * price AS DOUBLE) AS revenue FROM retail"),
+    "retail_load_csv": check("retail", f"SELECT {_RAW_ROW}, CAST(quantity * price AS DOUBLE) AS revenue FROM retail"),
     "retail_info_schema": check("retail", _SCHEMA),
     "retail_missing_values": check("retail", _MISSING),
     "retail_duplicate_count": check("retail", _REPEATS),
@@ -489,8 +489,7 @@ ORACLE = {
     "retail_cohort_matrix": check(
         "retail_clean",
         _COHORT
-        + f"SELECT {_COHORT_MONTH}, "
-        + ", ".join(f"max(retention_pct) FILTER (months_elapsed = {m}) AS month_{m}" for m in MATRIX_MONTHS)
-        + " FROM kept GROUP BY 1",
+        + f""", cells AS (SELECT {_COHORT_MONTH}, 'month_' || months_elapsed AS m, retention_pct FROM kept)
+        SELECT * FROM (PIVOT cells ON m USING max(retention_pct) GROUP BY cohort_month)""",
     ),
 }

@@ -25,7 +25,7 @@ def sequence(fx: Fixtures):
 
 
 def sequence_preview(fx: Fixtures):
-    return preview(sequence(fx), 5, "customer_id", "plan_order").drop("event_id")
+    return preview(sequence(fx), 5, F.col("customer_id").asc_nulls_last(), "plan_order").drop("event_id")
 
 
 def customers(fx: Fixtures):
@@ -114,6 +114,8 @@ _ALL = "(SELECT count(DISTINCT customer_id) FROM subs)"
 _SEQUENCE = """customer_id, plan_id, plan_name, CAST(price AS DOUBLE) AS price, strftime(start_date, '%Y-%m-%d') AS start_date,
                CAST(next_plan_id AS DOUBLE) AS next_plan_id, next_plan_name, strftime(next_start_date, '%Y-%m-%d') AS next_start_date, plan_order"""
 _MIX = f"count(*) AS customer_count, {half_up('count(*) * 100', _ALL, 1)} AS pct_of_customers"
+_KNOWN = "count(DISTINCT customer_id)"
+_KNOWN_MIX = f"{_KNOWN} AS customer_count, {half_up(f'{_KNOWN} * 100', _ALL, 1)} AS pct_of_customers"
 _CREDITED = {
     "same_day": "plan_id IN (1, 2) AND prev_plan_id = 1 AND start_date = next_start_date",
     "upgrade": "prev_plan_id = 1 AND plan_id IN (2, 3)",
@@ -139,7 +141,7 @@ def _payment_check(credit: str) -> str:
 
 _PAIRS = """
     , pair AS (
-        SELECT a.start_date - t.start_date AS days FROM subs t JOIN subs a USING (customer_id) WHERE t.plan_id = 0 AND a.plan_id = 3)"""
+        SELECT a.start_date - t.start_date AS days FROM subs t JOIN subs a ON t.customer_id = a.customer_id WHERE t.plan_id = 0 AND a.plan_id = 3)"""
 
 ORACLE = {
     "subs_a_journey": check(
@@ -149,7 +151,7 @@ ORACLE = {
     "subs_helper_preview": check(
         "subs plans", _STEPS + f", top AS (SELECT * FROM steps ORDER BY customer_id, plan_order LIMIT 5) SELECT {_SEQUENCE} FROM top"
     ),
-    "subs_b01_customers": check("subs", "SELECT count(*) AS total_customers FROM (SELECT customer_id FROM subs GROUP BY 1) c"),
+    "subs_b01_customers": check("subs", "SELECT count(DISTINCT customer_id) AS total_customers FROM subs"),
     "subs_b02_monthly_trials": check(
         "subs", "SELECT strftime(start_date, '%Y-%m-01') AS month_start, count(*) AS trial_starts FROM subs WHERE plan_id = 0 GROUP BY 1"
     ),
@@ -171,7 +173,7 @@ ORACLE = {
     "subs_b07_mix_as_of": check(
         "subs plans",
         _STEPS
-        + f"""SELECT plan_name, {_MIX} FROM steps
+        + f"""SELECT plan_name, {_KNOWN_MIX} FROM steps
         WHERE start_date <= DATE '{AS_OF}' AND coalesce(next_start_date, DATE '9999-12-31') > DATE '{AS_OF}' GROUP BY 1""",
     ),
     "subs_b08_annual_upgrades": check(
@@ -179,11 +181,11 @@ ORACLE = {
         f"""SELECT count(DISTINCT customer_id) AS annual_upgrades FROM subs
         WHERE plan_id = 3 AND year(start_date) = year(DATE '{YEAR[0]}')""",
     ),
-    "subs_b09_days_to_annual": check("subs", _PAIRS + f"SELECT {half_up('sum(days)', 'count(*)', 2)} AS avg_days_to_annual FROM pair"),
+    "subs_b09_days_to_annual": check("subs", _PAIRS + f"SELECT {half_up('sum(days)', 'count(days)', 2)} AS avg_days_to_annual FROM pair"),
     "subs_b10_buckets": check(
         "subs",
         _PAIRS
-        + """, numbered AS (SELECT least(days // 30, 12) AS b FROM pair)
+        + """, numbered AS (SELECT least(days // 30, 12) AS b FROM pair WHERE days IS NOT NULL)
         SELECT (b * 30) || '-' || ((b + 1) * 30) || ' days' AS day_range, count(*) AS customer_count FROM numbered GROUP BY 1""",
     ),
     "subs_b11_downgrades": check(

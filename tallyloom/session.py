@@ -58,6 +58,13 @@ def use_shared_checkpoints(spark: SparkSession) -> None:
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-", dir=os.environ.get("TMPDIR", "/tmp")))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder of this application that the driver and all executors see, below the one for checkpoints."""
+    use_shared_checkpoints(spark)
+    named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    return f"{named.rstrip('/')}/tallyloom-{spark.sparkContext.applicationId}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the frame to the shared folder once, so later passes read it instead of recomputing it."""
     use_shared_checkpoints(df.sparkSession)

@@ -6,9 +6,12 @@ SQL engine gives the same rows.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.sources.readers import inline, read_table
+from tallyloom.session import shared_folder
+from tallyloom.sources.readers import RETAIL_FILE, inline, read_table
 
 # fixed values: menu of the delivery case; names of toppings and prices of plans are our own
 PIZZA_NAMES = ((1, "Hearty"), (2, "Garden"))
@@ -31,7 +34,9 @@ TOPPINGS = (
 )
 PLANS = ((0, "trial", "0.00"), (1, "basic monthly", "8.50"), (2, "pro monthly", "17.25"), (3, "pro annual", "170.00"), (4, "churn", None))
 
+# fixed value: the country that the abroad lists leave out
 HOME_MARKET = "United Kingdom"
+CLOSED_MONTHS = ("1995-03", "1996-11")
 AD_CHANNELS = ("Television", "Radio", "Print", "Outdoor", "Search", "Social")
 DIGITAL_CHANNELS = ("Search", "Social")
 
@@ -53,7 +58,11 @@ class Fixtures:
             "o_orderkey", F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("date").alias("order_date")
         )
         lines = self.table("lineitem").select("l_orderkey", F.col("l_partkey").alias("product_id"))
-        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("customer_id", "order_date", "product_id")
+        joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        known, dated = F.col("customer_id") % 37 != 5, F.col("o_orderkey") % 53 != 7
+        return joined.select(
+            F.when(known, F.col("customer_id")).alias("customer_id"), F.when(dated, F.col("order_date")).alias("order_date"), "product_id"
+        )
 
     def menu(self) -> DataFrame:
         return self.table("part").select(
@@ -83,14 +92,17 @@ class Fixtures:
         a = (F.col("l_suppkey") % 12 + 1).cast("string")
         b = (F.col("l_partkey") % 12 + 1).cast("string")
         c = (F.col("l_orderkey") % 12 + 1).cast("string")
-        by_line, by_part = F.col("l_linenumber") % 4, F.col("l_partkey") % 5
-        exclusions = F.when(by_line == 0, "").when(by_line == 1, "null").when(by_line == 3, F.concat_ws(", ", a, b))
+        by_line, by_part, by_order = F.col("l_linenumber") % 4, F.col("l_partkey") % 5, F.col("l_orderkey") % 5
+        # Lists of one, three, ten and otherwise two entries.
+        ten = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(10)), lambda i: (F.col("l_partkey") * i % 12 + 1).cast("string")), ", ")
+        entries = F.when(by_order == 0, a).when(by_order == 1, F.concat_ws(", ", a, b, c)).when(by_order == 2, ten).otherwise(F.concat_ws(", ", a, b))
+        exclusions = F.when(by_line == 0, "").when(by_line == 1, "null").when(by_line == 3, entries)
         extras = (
             F.when(by_part == 0, "").when(by_part == 1, "null").when(by_part == 3, "NaN").when(by_part == 4, F.concat_ws(", ", a, c))
         )
         lines = self.table("lineitem").select(
             "l_orderkey",
-            (F.col("l_partkey") % 2 + 1).cast("int").alias("pizza_id"),
+            F.when(F.col("l_partkey") % 41 != 3, (F.col("l_partkey") % 2 + 1).cast("int")).alias("pizza_id"),
             exclusions.alias("exclusions"),
             extras.alias("extras"),
         )
@@ -112,7 +124,7 @@ class Fixtures:
         km = F.array(F.lit("km"), F.lit(" km"), F.lit(""))[(F.floor(key / 3) % 3).cast("int")]
         distance = F.concat((key % 20 + 5).cast("string"), F.lit("."), (key % 10).cast("string"), km)
         unit = F.array(F.lit(" minutes"), F.lit("mins"), F.lit(" minute"), F.lit(""))[(key % 4).cast("int")]
-        duration = F.concat((key % 40 + 10).cast("string"), unit)
+        duration = F.concat((key % 40 + 10).cast("string"), F.when(key % 6 == 5, ".5").otherwise(""), unit)
         reason = F.when(key % 2 == 0, "Restaurant Cancellation").otherwise("Customer Cancellation")
         blank = F.when(key % 3 == 0, "").when(key % 3 == 1, "null")
         return self._order_times().select(
@@ -150,7 +162,7 @@ class Fixtures:
 
     def supplier_toppings(self) -> DataFrame:
         """A large dictionary: every supplier is an ingredient."""
-        return self.table("supplier").select(F.col("s_suppkey").cast("int").alias("topping_id"), F.col("s_name").alias("topping_name"))
+        return self.table("supplier").select(F.col("s_suppkey").cast("long").alias("topping_id"), F.col("s_name").alias("topping_name"))
 
     def ratings(self) -> DataFrame:
         """One rating per order that was not cancelled; every seventh has no time of its own."""
@@ -185,19 +197,27 @@ class Fixtures:
         return inline(self.spark, PLANS, "plan_id int, plan_name string, price decimal(10,2)")
 
     def subscriptions(self) -> DataFrame:
-        """A customer's first order starts the trial; later orders start plans 1 to 4."""
+        """A customer's first order starts the trial; later orders start plans 1 to 4.
+
+        Some customers and days are missing, and one customer in twenty changes plans on the first of a half-year only, often twice a day.
+        """
         orders = self.table("orders").select(
             F.col("o_orderkey").alias("event_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("date").alias("start_date")
         )
         first = orders.groupBy("customer_id").agg(F.min(F.struct("start_date", "event_id")).alias("head"))
         first = first.select(F.col("head.event_id").alias("event_id"), F.lit(0).alias("trial"))
         plan = F.coalesce(F.col("trial"), (F.col("event_id") % 4 + 1).cast("int"))
-        return orders.join(first, "event_id", "left").select("event_id", "customer_id", plan.alias("plan_id"), "start_date")
+        known, dated = F.col("customer_id") % 31 != 4, F.col("event_id") % 59 != 11
+        half_year = F.make_date(F.year("start_date"), F.when(F.month("start_date") > 6, 7).otherwise(1), F.lit(1))
+        day = F.when(F.col("customer_id") % 20 == 3, half_year).otherwise(F.col("start_date"))
+        return orders.join(first, "event_id", "left").select(
+            "event_id", F.when(known, F.col("customer_id")).alias("customer_id"), plan.alias("plan_id"), F.when(dated, day).alias("start_date")
+        )
 
     # ---- retail -----------------------------------------------------------------------------
 
     def retail(self) -> DataFrame:
-        """Typed transaction lines with returns, write-offs, guests, copies and odd prices."""
+        """Typed transaction lines with returns, write-offs, guests, copies, odd prices and two months without business."""
         part, order, nation = F.col("l_partkey"), F.col("o_orderkey"), F.col("c_nationkey")
         returned = F.col("l_returnflag") == "R"
         write_off = (part % 211 == 0) & ~returned
@@ -217,7 +237,8 @@ class Fixtures:
             .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .select("c_custkey", "c_nationkey", "n_name")
         )
-        orders = self._order_times().join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        closed = F.date_format("order_time", "yyyy-MM").isin(*CLOSED_MONTHS)
+        orders = self._order_times().filter(~closed).join(customers, F.col("o_custkey") == F.col("c_custkey"))
         lines = self.table("lineitem").join(self.table("part"), part == F.col("p_partkey"))
         return (
             lines.join(orders, F.col("l_orderkey") == order)
@@ -246,6 +267,17 @@ class Fixtures:
         ]
         return self.retail().select(F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields]).alias("line"))
 
+    def retail_file(self) -> str:
+        """The transactions as delimited files with a header row, written to the shared folder; returns their path."""
+        text = {
+            "invoice_date": F.date_format("invoice_date", "yyyy-MM-dd HH:mm:ss"),
+            "customer_id": F.concat(F.col("customer_id").cast("string"), F.lit(".0")),
+        }
+        named = self.retail().withColumns(text).withColumnsRenamed({out: name for name, (out, _) in RETAIL_FILE.items()})
+        path = f"{shared_folder(self.spark)}/retail-{uuid.uuid4().hex}"
+        named.write.csv(path, header=True)
+        return path
+
     # ---- dashboards -------------------------------------------------------------------------
 
     def soda(self) -> DataFrame:

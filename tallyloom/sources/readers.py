@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -14,11 +14,22 @@ RETAIL_CSV_SCHEMA = T.StructType(
         T.StructField("quantity", T.IntegerType()),
         T.StructField("invoice_date", T.StringType()),
         T.StructField("price", T.DecimalType(10, 2)),
-        T.StructField("customer_id", T.DoubleType()),
+        T.StructField("customer_id", T.DecimalType(20, 1)),
         T.StructField("country", T.StringType()),
     ]
 )
 
+# fixed values: header names of the transaction file, with the name and type of each column here
+RETAIL_FILE = {
+    "Invoice": ("invoice", "string"),
+    "Description": ("description", "string"),
+    "Quantity": ("quantity", "int"),
+    "InvoiceDate": ("invoice_date", "string"),
+    "Price": ("price", "decimal(10,2)"),
+    "Customer ID": ("customer_id", "bigint"),
+    "Country": ("country", "string"),
+}
+
 RATINGS_SCHEMA = T.StructType(
     [
         T.StructField("order_id", T.IntegerType(), False),
@@ -35,9 +46,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, delimiter: str = ",") -> DataFrame:
-    """Scan delimited text with a header row and a declared schema (no inference pass over the data)."""
-    return spark.read.csv(path, schema=schema, header=True, sep=delimiter, enforceSchema=False)
+def read_csv(spark: SparkSession, path: str, columns: Mapping[str, tuple[str, str]], delimiter: str = ",") -> DataFrame:
+    """Scan delimited text with a header row.
+
+    `columns` maps the file's own names to a column name and a type; they are found by name, in any order, and other columns are left out. A name that the file
+    lacks is an error. Types are declared, so there is no inference pass over the data; text that is no such value gives NULL.
+    Whole numbers are read as decimals first, so ids written with a decimal point keep all their digits.
+    """
+    raw = spark.read.csv(path, header=True, sep=delimiter, escape='"')
+    typed = {"bigint": lambda c: c.try_cast("decimal(38,2)").try_cast("bigint"), "int": lambda c: c.try_cast("decimal(38,2)").try_cast("int")}
+    return raw.select(*[typed.get(kind, lambda c, kind=kind: c.try_cast(kind))(F.col(f"`{name}`")).alias(out) for name, (out, kind) in columns.items()])
 
 
 def parse_csv_lines(df: DataFrame, line: str, schema: T.StructType, delimiter: str = ",") -> DataFrame:

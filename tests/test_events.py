@@ -35,30 +35,85 @@ FOLLOWING = {"next_plan": "plan_id", "next_day": "start_date"}
 PRECEDING = {"prev_plan": "plan_id"}
 
 
-@pytest.mark.parametrize("hot_rows", [0, 50, 10**6])
-def test_cut_keys_give_the_same_rows_as_one_window(frame, rows, hot_rows):
-    df = random_events(frame)
-    plain = with_neighbors(df, "customer_id", E.EVENT_ORDER, FOLLOWING, PRECEDING, "place", hot_rows=None)
-    cut = with_neighbors(df, "customer_id", E.EVENT_ORDER, FOLLOWING, PRECEDING, "place", hot_rows=hot_rows)
-    assert cut.columns == plain.columns
-    assert rows(cut) == rows(plain)
+def neighbours_of(data):
+    """(event, next plan, next day, previous plan, place) of every row, by plain sorting; missing days come last."""
+    out = []
+    for key in {r[1] for r in data}:
+        mine = sorted((r for r in data if r[1] == key), key=lambda r: (r[3] is None, r[3] or dt.date.min, r[0]))
+        for k, r in enumerate(mine):
+            after, before = mine[k + 1] if k + 1 < len(mine) else None, mine[k - 1] if k else None
+            out.append((r[0], after and after[2], after and after[3], before and before[2], k + 1))
+    return sorted(out, key=repr)
 
 
-def test_cut_within_one_day(frame, rows):
-    df = frame([(i, 1, i % 5, d("2020-01-01")) for i in range(100)], EVENTS)
-    buckets = [F.col("start_date").alias("day"), F.floor(F.col("event_id") / 7).alias("part")]
-    cut = with_neighbors(df, "customer_id", E.EVENT_ORDER, FOLLOWING, PRECEDING, "place", buckets=buckets, hot_rows=10)
-    assert rows(cut) == rows(with_neighbors(df, "customer_id", E.EVENT_ORDER, FOLLOWING, PRECEDING, "place", hot_rows=None))
+@pytest.fixture
+def many_parts(spark):
+    """Range partitions of a few rows each."""
+    conf = {"spark.sql.shuffle.partitions": "37", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield 37
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def shapes():
+    rng = random.Random(8)
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=k) for k in range(40)]
+    ids = rng.sample(range(10**12), 500)
+    return {
+        "a third on one key": [(i, 1 if rng.random() < 0.34 else rng.randrange(2, 30), rng.randrange(5), rng.choice(days)) for i in range(500)],
+        "one key, ids not in day order": [(i, 1, rng.randrange(5), rng.choice(days)) for i in ids],
+        "one key, one day": [(i, 1, i % 5, days[0]) for i in range(300)],
+        "no key, no day": [(i, rng.choice([None, 1, 2]), rng.randrange(5), rng.choice([None, *days])) for i in range(500)],
+        "every key once": [(i, i, 0, days[0]) for i in range(200)],
+        "nothing": [],
+    }
+
+
+@pytest.mark.parametrize("shape", shapes())
+def test_neighbours_equal_plain_sorting(frame, rows, many_parts, shape):
+    data = shapes()[shape]
+    got = with_neighbors(frame(data, EVENTS), "customer_id", E.EVENT_ORDER, FOLLOWING, PRECEDING, "place")
+    assert got.columns == [*EVENTS.replace(",", "").split()[::2], *FOLLOWING, *PRECEDING, "place"]
+    assert rows(got, "event_id", "next_plan", "next_day", "prev_plan", "place") == neighbours_of(data)
+
+
+def test_a_key_is_spread_over_partitions(spark, many_parts, monkeypatch):
+    """One key holds all rows, its ids are not in day order; no window group is much larger than a partition's share."""
+    from tallyloom.operators import sequence
+
+    seen = []
+    monkeypatch.setattr(sequence, "cut_lineage", lambda df: seen.append(df.checkpoint()) or seen[-1])
+    n = 40_000
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.abs(F.hash("id")) % 50).cast("int"))
+    df = spark.range(n).select((F.abs(F.xxhash64("id"))).alias("event_id"), F.lit(1).alias("customer_id"), F.lit(0).alias("plan_id"), day.alias("start_date"))
+    placed = with_neighbors(df, "customer_id", E.EVENT_ORDER, FOLLOWING, position="place")
+    assert placed.agg(F.max("place"), F.count_if(F.col("next_day").isNull())).first() == (n, 1)
+    groups = [r["count"] for r in seen[0].groupBy("customer_id", "_part").count().collect()]
+    assert len(groups) > many_parts / 2 and max(groups) < 4 * n / many_parts
 
 
 def test_nth_row_is_cut_before_the_shuffle(frame, rows):
     df = random_events(frame)
     second = nth_rows(df, "customer_id", E.EVENT_ORDER, 2)
-    place = with_neighbors(df, "customer_id", E.EVENT_ORDER, position="place", hot_rows=None)
+    place = with_neighbors(df, "customer_id", E.EVENT_ORDER, position="place")
     assert rows(second) == rows(place.filter("place = 2").drop("place"))
     assert "WindowGroupLimit" in second._jdf.queryExecution().executedPlan().toString()
 
 
+def test_missing_customers_and_days(frame, plans, rows):
+    df = frame(
+        [(1, 1, 0, d("2020-01-01")), (2, 1, 4, d("2020-01-10")), (3, None, 0, d("2020-01-01")), (4, None, 4, d("2020-01-02")), (5, None, 3, d("2020-03-01")), (6, 2, 0, d("2020-01-01")), (7, 2, 3, d("2020-02-10")), (8, 2, 3, None), (9, 2, 0, None)],
+        EVENTS,
+    )
+    assert [float(x) for x in rows(E.churn_rate(df))[0]] == [1, 50.0]
+    assert {r["plan_name"]: r["customer_count"] for r in E.plan_mix_as_of(df, plans, "2020-12-31").collect()} == {"churn": 1, "pro annual": 1}
+    assert float(E.mean_days_between(df, 0, 3).first()[0]) == 40
+    assert [(r["bucket_no"], r["customer_count"]) for r in E.days_histogram(df, 0, 3).collect()] == [(2, 1)]
+
+
 def test_transition_mix_and_churn(frame, plans, rows):
     df = events(
         frame,
@@ -116,6 +171,15 @@ def test_days_between_equal_brute_force_pairs(frame):
     assert got == want
 
 
+def test_buckets_that_do_not_divide_the_range(frame, spark):
+    """As the width_bucket function."""
+    first = d("2020-01-01")
+    df = events(frame, (1, 0, str(first)), *[(1, 3, str(first + dt.timedelta(days=k))) for k in range(-3, 110)])
+    got = {r["bucket_no"]: r["customer_count"] for r in E.days_histogram(df, 0, 3, 0, 100, 12).collect()}
+    want = spark.range(-3, 110).select(F.width_bucket("id", F.lit(0), F.lit(100), F.lit(12)).alias("b")).groupBy("b").count()
+    assert got == {r["b"]: r["count"] for r in want.collect()}
+
+
 def test_bucket_edges(frame, rows):
     df = events(
         frame, (1, 0, "2020-01-01"), *[(1, 3, str(d("2020-01-01") + dt.timedelta(days=k))) for k in (-1, 0, 29, 30, 359, 360, 1000)]
@@ -179,7 +243,7 @@ def test_unpaid_plans_count_as_neighbours(frame, plans, rows):
 
 def test_payments_increase_and_keep_the_bound(frame, plans):
     df = random_events(frame)
-    paid = S.payment_schedule(df, plans, "2020-06-30", hot_rows=50).collect()
+    paid = S.payment_schedule(df, plans, "2020-06-30").collect()
     by_event = {}
     for r in sorted(paid, key=lambda r: r["payment_order"]):
         by_event.setdefault(r["event_id"], []).append(r["payment_date"])

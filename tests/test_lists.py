@@ -43,9 +43,8 @@ def test_split(frame):
     assert [r[0] for r in df.select(L.list_size("t")).collect()] == [0, 0, 1, 1, 2, 3]
 
 
-@pytest.mark.parametrize("by_map", [True, False, None])
-def test_labels(frame, names, toppings, rows, by_map):
-    got = rows(L.order_item_label(orders(frame), names, toppings, by_map), "order_id", "order_item")
+def test_labels(frame, names, toppings, rows):
+    got = rows(L.order_item_label(orders(frame), names, toppings), "order_id", "order_item")
     assert got == [
         (1, "Meaty"),
         (2, "Meaty - Exclude cheese"),
@@ -58,19 +57,31 @@ def test_labels(frame, names, toppings, rows, by_map):
     ]
 
 
-def test_dictionary_size_is_checked(toppings, spark):
-    assert L.small_dictionary(toppings, "topping_id", "topping_name", limit=4) == {1: "bacon", 2: "apple", 3: "cheese", 4: "dill"}
-    assert L.small_dictionary(toppings, "topping_id", "topping_name", limit=3) is None
-    many = spark.range(5000).selectExpr("cast(id as int) topping_id", "cast(id as string) topping_name")
-    with pytest.raises(ValueError):
-        L.with_list_names(many.selectExpr("'1, 2' as extras"), {"names": "extras"}, many, by_map=True)
-    one = many.limit(1).selectExpr("'21, 3' as extras")
-    assert L.with_list_names(one, {"names": "extras"}, many).collect()[0]["names"] == "21, 3"
+def test_any_dictionary(frame, spark, rows, names, recipes):
+    """Missing ids and names, names twice, ids beyond 32 bits, few or many entries: one algorithm."""
+    few = [(1, "bacon"), (2, None), (None, "ghost"), (3_000_000_000, "cheese"), (4, "dill"), (5, "dill")]
+    many = few + [(10_000 + k, f"n{k}") for k in range(400)]
+    df = frame([(1, 9, 1, "3000000000, 1", "4, 5, 2"), (2, 9, 1, None, "2"), (3, 9, 1, "10007", None)], ORDERS)
+    wide = frame([(1, "1, 3000000000, 4")], "pizza_id int, toppings string")
+    for entries in (few, many):
+        dictionary = frame(entries, "topping_id long, topping_name string")
+        labels = rows(L.order_item_label(df, names, dictionary), "order_id", "order_item")
+        assert labels[:2] == [(1, "Meaty - Exclude bacon, cheese - Extra dill, dill"), (2, "Meaty")]
+        assert labels[2] == (3, "Meaty - Exclude n7" if entries is many else "Meaty")
+        texts = rows(L.effective_ingredients(df, names, wide, dictionary), "order_id", "ingredient_list")
+        assert texts == [(1, "Meaty: 3xdill"), (2, "Meaty: bacon, cheese, dill"), (3, "Meaty: bacon, cheese, dill")]
+    assert [r[0] for r in df.select(L.split_ids("exclusions")).collect()] == [[3_000_000_000, 1], None, [10007]]
 
 
-@pytest.mark.parametrize("side_by_side", [True, False, None])
-def test_ingredient_text(frame, names, recipes, toppings, rows, side_by_side):
-    got = rows(L.effective_ingredients(orders(frame), names, recipes, toppings, side_by_side), "order_id", "ingredient_list")
+def test_ingredient_rows_are_placed_once(spark, frame, names, recipes, toppings):
+    """Expanding, counting and listing follow one placement of the order rows."""
+    plan = L.effective_ingredients(orders(frame), names, recipes, toppings)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("REPARTITION_BY_COL")]
+    assert above.count("Exchange") == 1 and "Generate inline" in above
+
+
+def test_ingredient_text(frame, names, recipes, toppings, rows):
+    got = rows(L.effective_ingredients(orders(frame), names, recipes, toppings), "order_id", "ingredient_list")
     assert got == [
         (1, "Meaty: apple, bacon, cheese"),
         (2, "Meaty: apple, bacon"),
@@ -100,18 +111,9 @@ def test_unknown_pizza_recipe_keeps_extras(frame, recipes, toppings, rows):
     assert rows(L.effective_ingredients(df, names, recipes, toppings), "ingredient_list") == [("New: dill",)]
 
 
-@pytest.mark.parametrize("side_by_side", [True, False])
-def test_two_ids_of_one_name_and_nothing_left(frame, names, rows, side_by_side):
+def test_two_ids_of_one_name_and_nothing_left(frame, names, rows):
     toppings = frame([(1, "oil"), (2, "oil"), (3, "egg")], "topping_id int, topping_name string")
     recipes = frame([(1, "1, 2, 3"), (2, "3")], "pizza_id int, toppings string")
     df = frame([(1, 1, 1, None, None), (2, 1, 2, "3", None)], ORDERS)
-    got = L.effective_ingredients(df, names, recipes, toppings, side_by_side)
+    got = L.effective_ingredients(df, names, recipes, toppings)
     assert rows(got, "order_id", "ingredient_list") == [(1, "Meaty: egg, 2xoil")]
-
-
-def test_counters_need_a_small_dictionary(frame, spark, names, recipes):
-    many = spark.range(L.MAX_COUNTED_NAMES + 1).selectExpr("cast(id as int) topping_id", "cast(id as string) topping_name")
-    df = frame([(1, 1, 1, None, "64")], ORDERS)
-    with pytest.raises(ValueError):
-        L.effective_ingredients(df, names, recipes, many, side_by_side=True)
-    assert L.effective_ingredients(df, names, recipes, many).first()["ingredient_list"] == "Meaty: 1, 2, 3, 64"

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tallyloom.operators import quality as Q
@@ -11,25 +13,25 @@ T0 = dt.datetime(2010, 1, 5, 10, 0)
 
 
 def test_distances(frame):
-    dirty = ["20km", "13.4km", "25km", "10km", "23.4 km", "23.4", "10", "null", None, ""]
+    dirty = ["7km", "0.8 km", "31.25km", "6", "km", "null", None, "", " 4.0 km"]
     df = frame([(i, 1, None, d, None, None) for i, d in enumerate(dirty)], RUNS)
     text = [r["distance"] for r in Q.clean_runner_orders(df, typed=False).orderBy("order_id").collect()]
-    assert text == ["20", "13.4", "25", "10", "23.4", "23.4", "10", None, None, ""]
+    assert text == ["7", "0.8", "31.25", "6", "", None, None, "", "4.0"]
     typed = [r["distance"] for r in Q.clean_runner_orders(df).orderBy("order_id").collect()]
-    assert [None if v is None else float(v) for v in typed] == [20, 13.4, 25, 10, 23.4, 23.4, 10, None, None, None]
+    assert [None if v is None else float(v) for v in typed] == [7, 0.8, 31.25, 6, None, None, None, None, 4]
 
 
 def test_durations_lose_the_dot_unless_kept(frame):
-    df = frame([(1, 1, None, None, "2.5 minutes", None), (2, 1, None, None, "32 minutes", None)], RUNS)
-    assert [float(r["duration"]) for r in Q.clean_runner_orders(df).orderBy("order_id").collect()] == [25, 32]
-    assert [float(r["duration"]) for r in Q.clean_runner_orders(df, duration_keep="0-9.").orderBy("order_id").collect()] == [2.5, 32]
+    df = frame([(1, 1, None, None, "6.5 minutes", None), (2, 1, None, None, "41 mins", None)], RUNS)
+    assert [float(r["duration"]) for r in Q.clean_runner_orders(df).orderBy("order_id").collect()] == [65, 41]
+    assert [float(r["duration"]) for r in Q.clean_runner_orders(df, duration_keep="0-9.").orderBy("order_id").collect()] == [6.5, 41]
 
 
 def test_null_tokens_and_bad_times(frame):
-    df = frame([(1, 1, "null", None, None, ""), (2, 1, "2021-01-01 18:15:34", None, None, "null"), (3, 1, "soon", None, None, "NaN"), (4, 1, None, None, None, "late")], RUNS)
+    df = frame([(1, 1, "null", None, None, ""), (2, 1, "2022-07-09 05:06:07", None, None, "null"), (3, 1, "soon", None, None, "NaN"), (4, 1, None, None, None, "late")], RUNS)
     got = Q.clean_runner_orders(df).orderBy("order_id").collect()
     assert [r["cancellation"] for r in got] == [None, None, None, "late"]
-    assert [r["pickup_time"] for r in got] == [None, dt.datetime(2021, 1, 1, 18, 15, 34), None, None]
+    assert [r["pickup_time"] for r in got] == [None, dt.datetime(2022, 7, 9, 5, 6, 7), None, None]
     rejected = Q.rejected_rows(df.filter("pickup_time <> 'null'"), "pickup_time", F.try_to_timestamp("pickup_time"))
     assert [r["order_id"] for r in rejected.collect()] == [3]
 
@@ -78,7 +80,7 @@ def test_keyword_exclusion(frame, rows):
     assert rows(Q.exclude_keywords(df, keywords=["a.b", "mug"]), "description") == [("Manual",), ("POSTAGE",), ("dotcom postage",), (None,)]
 
 
-RATINGS = [(1, 101, 1, 5), (2, 101, 1, 5), (3, 102, 1, 4), (4, 103, 2, 3), (5, 104, 3, 4), (7, 105, 2, 3), (8, 102, 2, 4), (10, 104, 1, 5)]
+RATINGS = [(k, 300 + k * 7 % 5, 40 + k % 4, 1 + k % 5) for k in range(1, 7)]
 
 
 def test_rating_rules(frame, spark, rows):
@@ -103,15 +105,19 @@ def test_declared_ratings_and_default_time(spark):
     assert {r["rating_time"] for r in fixed.collect()} == {dt.datetime(2020, 1, 1)}
 
 
-def test_csv_with_declared_schema(spark, tmp_path, rows):
+def test_csv_by_header_names(spark, tmp_path, rows):
     path = tmp_path / "lines.csv"
-    path.write_text('invoice,description,quantity,invoice_date,price,customer_id,country\n1,"mug, blue",2,2010-01-05 10:00:00,3.50,7.0,France\n2,,1,later,1.00,,France\n')
-    df = R.read_csv(spark, str(path), R.RETAIL_CSV_SCHEMA)
-    assert df.schema == R.RETAIL_CSV_SCHEMA
-    assert rows(df, "invoice", "description", "customer_id") == [("1", "mug, blue", 7.0), ("2", None, None)]
+    path.write_text(
+        'Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n1,x,"mug, ""blue""",2,2010-01-05 10:00:00,3.50,9007199254740993.0,France\n2,y,,many,later,1.00,,France\n'
+    )
+    df = R.read_csv(spark, str(path), R.RETAIL_FILE)
+    assert df.columns == [name for name, _ in R.RETAIL_FILE.values()]
+    assert rows(df, "invoice", "description", "quantity", "customer_id") == [("1", 'mug, "blue"', 2, 9007199254740993), ("2", None, None, None)]
     R.write_table(df, str(tmp_path / "out"), ["country"])
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
     assert [r["invoice"] for r in R.preview(df, 1, "invoice").collect()] == ["1"]
+    with pytest.raises(AnalysisException):
+        R.read_csv(spark, str(path), {"No such name": ("x", "string")})
 
 
 def test_quality_report(frame, rows):

@@ -51,32 +51,56 @@ def test_rfm_scores_equal_pandas(shop):
     assert summary["customers"].sum() == len(want)
 
 
-def expected_segment(r, f, m):
-    """Independent reading of the rules: sets of triples, removed in order of precedence."""
-    high, top = (3, 4, 5), (4, 5)
-    tests = [
-        ("Best Customers", r in top and f in top and m in top),
-        ("Cannot Lose Customers", r == 1 and f in top and m in top),
-        ("New Customers", r in top and f not in high),
-        ("Loyal Customers", r in high and f in high and m in high),
-        ("Potential Loyal Customers", r in high and f != 1),
-        ("At Risk Customers", r not in high and f in high and m in high),
-        ("Lost Customers", r not in high and f not in high),
-    ]
-    return next((name for name, hit in tests if hit), "Needs Attention")
-
-
-def test_segment_truth_table(frame):
+# Score triples written out, with the segment each must have: corners, edges between rules, and the leftovers.
+TRIPLES = {
+    "444 454 545 555": "Best Customers",
+    "144 145 155": "Cannot Lose Customers",
+    "411 425 521 515": "New Customers",
+    "333 334 355 433 533 543": "Loyal Customers",
+    "321 325 332 342 442 552": "Potential Loyal Customers",
+    "133 143 134 244 255 233": "At Risk Customers",
+    "111 125 215 222": "Lost Customers",
+    "311 315 131 152 232 251": "Needs Attention",
+}
+
+
+def test_segments_of_triples(frame):
+    triples = [tuple(map(int, t)) for group in TRIPLES for t in group.split()]
+    got = {f"{r[0]}{r[1]}{r[2]}": r[3] for r in frame(triples, "r_score int, f_score int, m_score int").withColumn("s", G.segment()).collect()}
+    assert got == {t: name for group, name in TRIPLES.items() for t in group.split()}
+
+
+def test_segment_sizes(frame):
     grid = list(itertools.product(range(1, 6), repeat=3))
-    got = {(r[0], r[1], r[2]): r[3] for r in frame(grid, "r_score int, f_score int, m_score int").withColumn("s", G.segment()).collect()}
-    assert got == {k: expected_segment(*k) for k in grid}
-    sizes = pd.Series(got).value_counts().to_dict()
+    sizes = pd.Series([r[0] for r in frame(grid, "r_score int, f_score int, m_score int").select(G.segment()).collect()]).value_counts().to_dict()
     assert sizes == {
         "Best Customers": 8, "Cannot Lose Customers": 4, "New Customers": 20, "Loyal Customers": 19,
         "Potential Loyal Customers": 23, "At Risk Customers": 14, "Lost Customers": 20, "Needs Attention": 17,
     }
 
 
+@pytest.mark.parametrize("amount", [1e13, 1e16, 1e20])
+def test_large_amounts(frame, amount):
+    rows = frame([(2020, "a", 1), (2020, "b", 2)], "year int, channel string, k int").withColumn("spend", F.col("k") * F.lit(str(int(amount))).cast("decimal(28,2)"))
+    assert [float(r["share_pct"]) for r in P.channel_share_by_year(rows).orderBy("channel").collect()] == [33.33, 66.67]
+    series = rows.select("channel", F.col("spend").alias("revenue"))
+    assert float(C.with_overall_mean(series).first()["mean_revenue"]) == pytest.approx(1.5 * amount)
+    per_customer = rows.select(F.lit("x").alias("country"), F.col("k").alias("customer_id"), F.col("spend").alias("revenue"))
+    assert float(R.revenue_per_customer(per_customer).first()["avg_revenue_per_customer"]) == pytest.approx(1.5 * amount)
+
+
+@pytest.mark.parametrize("n, d, digits, want", [(1, 8, 2, "0.13"), (-1, 8, 2, "-0.13"), (1, -8, 2, "-0.13"), (5, 1000, 2, "0.01"), ("4.9999", 1000, 2, "0.00"), (2, 3, 1, "0.7"), (7, 0, 2, None), (None, 3, 2, None), (0, 3, 2, "0.00")])
+def test_rounding_is_exact(frame, n, d, digits, want):
+    df = frame([(None if n is None else str(n), str(d))], "n string, d string").select(F.col("n").cast("decimal(28,4)").alias("n"), F.col("d").cast("decimal(20,2)").alias("d"))
+    got = df.select(X.rounded_ratio("n", "d", digits)).first()[0]
+    assert (got is None and want is None) or got == __import__("decimal").Decimal(want)
+
+
+def test_place_beyond_the_list(frame):
+    df = frame([("i", 7, "A", "x", ts("2010-01-01"), 5.0), ("j", 8, "A", "x", ts("2010-01-01"), 9.0)], SALES)
+    assert [df.select(R.kth_customer_by_revenue(df, k)).first()[0] for k in (1, 2, 3)] == [8, 7, None]
+
+
 @pytest.mark.parametrize("values", [[5, 1, 4, 2, 3], [1, 1, 1, 2, 2, 9], list(range(23)), [7], [3, 3, 3]])
 def test_quantile_edges_equal_numpy(frame, values):
     df = frame([(float(v), i) for i, v in enumerate(values)], "v double, id long")
@@ -154,8 +178,9 @@ def test_retention_equals_pandas(shop):
         assert table.loc[cohort, r.months_elapsed] == r.customers
         assert share.loc[cohort, r.months_elapsed] == pytest.approx(r.retention_pct)
     assert set(got[got["months_elapsed"] == 0]["retention_pct"]) == {100.0}
-    wide = H.cohort_matrix(H.cohort_retention(H.cohort_counts(shop)), [0, 1])
-    assert wide.columns == ["cohort_month", "month_0", "month_1"]
+    wide = H.cohort_matrix(H.cohort_retention(H.cohort_counts(shop)))
+    assert set(wide.columns) == {"cohort_month", *(f"month_{k}" for k in got["months_elapsed"])}
+    assert int(wide.toPandas().drop(columns="cohort_month").notna().sum().sum()) == len(got)
 
 
 def test_top_lists(frame):
