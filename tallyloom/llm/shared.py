@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.session import tune, use_shared_checkpoints
+from tallyloom.session import shared_folder, tune
 
 # Rows that one Arrow batch carries to Python; texts are cut further by bytes in ragged.slices.
 BATCH_ROWS = 1000
@@ -20,13 +20,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: the one in spark.checkpoint.dir."""
-    use_shared_checkpoints(spark)
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{named.rstrip('/')}/tallyloom-{spark.sparkContext.applicationId}"
-
-
 def stash(df: DataFrame) -> DataFrame:
     """Write the frame once as Parquet in the shared folder and read it back, so that no later job recomputes it.
 
