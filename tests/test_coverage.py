@@ -7,7 +7,7 @@ from tallyloom.plans.registry import QUERIES
 
 COVERAGE = {
     # scans, sources, sinks
-    "S1": "diner_q01_spend", "S2": "retail_load", "S3": "retail_head pizza_clean_preview", "S4": "retail_info_schema",
+    "S1": "diner_q01_spend", "S2": "retail_load_csv retail_load", "S3": "retail_head pizza_clean_preview", "S4": "retail_info_schema",
     "S5": "pizza_e1_new_item", "S6": "pizza_c1_recipes", "S7": "retail_cleaned",
     # projections and filters
     "P1": "subs_a_journey", "P2": "retail_load", "P3": "retail_load", "P4": "retail_cleaned", "P5": "subs_b02_monthly_trials",
