@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +14,27 @@ from tallyloom.session import shared_folder, tune
 
 # Rows that one Arrow batch carries to Python; texts are cut further by bytes in ragged.slices.
 BATCH_ROWS = 1000
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application; their Python need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings the text operators rely on."""
     tune(spark)
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
