@@ -47,15 +47,17 @@ def statistics(column: pa.Array, sizes: np.ndarray) -> np.ndarray:
     per = lambda x, y: x / np.maximum(y, 1)
     marks, digits, pipes = (ragged.sums(s[t.data], t.offsets) for s in (MARKS, DIGITS, PIPES))
     key = t.word_doc * (len(t.vocabulary) + 1) + t.ids
+    again = np.zeros(len(key), bool)
+    again[1:] = key[1:] == key[:-1]  # a word right behind itself
     kinds = np.bincount(np.unique(key) // (len(t.vocabulary) + 1), minlength=t.count) if len(key) else np.zeros(t.count)
-    shares = [per(n_symbols, n_words), per(n_upper, word_chars), per(n_exclaim, n_words), per(pipes, n_words), per(n_dup_lines, n_lines), per(n_repeat, n_words), per(marks, n_words), per(digits, word_chars), per(kinds, n_words)]
+    shares = [per(n_symbols, n_words), per(n_upper, word_chars), per(n_exclaim, n_words), per(pipes, n_words), per(n_dup_lines, n_lines), per(n_repeat, n_words), per(marks, n_words), per(digits, word_chars), per(kinds, n_words), per(ragged.sums(again, t.word_offsets), n_words)]
     scales = [per(word_chars, n_words) / 12, np.log1p(n_words) / 10, np.log1p(per(n_words, n_lines)) / 8, np.log1p(np.maximum(sizes, 0)) / 14]
     # The root spreads small shares over more bins.
     level = np.stack([*(np.sqrt(s) for s in shares), *scales], axis=1)
     return np.clip((level * BINS).astype(np.int64), 0, BINS - 1)
 
 
-N_STATISTICS = 13
+N_STATISTICS = 14
 WIDTH = (1 << WORD_BITS) + N_STATISTICS * BINS
 
 
