@@ -74,9 +74,9 @@ class SortedRows:
 
     def with_ordinal(self, out: str = "ordinal") -> DataFrame:
         """All rows with their place, counted from 1."""
-        by_part = [self.starts.get(k, 0) for k in range(max(self.starts, default=0) + 1)]
-        starts = F.expr("array(" + ", ".join(f"{s}L" for s in by_part) + ")")
-        return self.rows.withColumn(out, starts[F.col("_part")] + F.col("_at") + 1).drop("_part", "_at")
+        starts = self.rows.sparkSession.createDataFrame(list(self.starts.items()), "_in int, _start long")
+        placed = self.rows.join(starts, F.col("_part") == F.col("_in"))
+        return placed.withColumn(out, F.col("_start") + F.col("_at") + 1).select(*self.order, out)
 
 
 def quantile_edges(df: DataFrame, value: str, tie: str, probabilities: Sequence[float]) -> list[float | None]:

@@ -68,4 +68,6 @@ def shared_folder(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the frame to the shared folder once, so later passes read it instead of recomputing it."""
     use_shared_checkpoints(df.sparkSession)
+    # The setting is read at each checkpoint, so it also holds on a session that somebody else made: files of a frame that is no longer held are deleted.
+    df.sparkSession.sparkContext._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     return df.checkpoint(eager=True)
