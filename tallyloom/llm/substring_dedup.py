@@ -5,13 +5,16 @@ into the left half and whose second falls into the right half of the alphabet of
 stands for, so all tasks give equal names without exchanging them. Each symbol knows its context: the words that decided its name and borders. Wherever these words occur, the same symbol arises:
 the interior of equal passages has equal symbols whatever stands around them.
 
-A window of `size` words is represented by its highest symbol whose context lies in the window, the least hash among equals; the few windows without one (long
-runs) by themselves. Equal windows have equal representatives, so only windows whose representative is shared with a document of smaller id are candidates, and these alone are
-compared over all their words, by two 64-bit hashes. A word is removed if it lies in a window that also starts in a document with a smaller doc_id, judged on the input.
+A window of `size` words is represented by its highest symbol whose context takes at most half of the window, the least hash among equals; the few windows without
+one (long runs) by themselves. Equal windows have equal representatives. The windows that share a representative travel together, with a fingerprint each, to
+the task of that representative, which finds the smallest doc_id of every window. Names are compared by 64 bits and windows by 40 more. A word is
+removed if it lies in a window that also starts in a document with a smaller doc_id, judged on the input.
+
+Windows that several documents of one slice of the input have are settled there: only the smallest document's goes on. So a passage that a third of all documents
+share reaches its task at most once per slice. Representatives are packed by bucket, and the number of buckets grows with the input's partitions.
 
 Words are runs of characters other than ASCII white space, unchanged. Null text has no words; documents shorter than a window lose nothing. Repeated rows (the same doc_id and text) lose nothing to each other, and
-each row is returned. A null doc_id takes part in nothing and its row stays whole. Other columns are ignored; empty tables give empty results. Representatives are reduced per document before they are shuffled; those that very many documents share are joined
-with adaptive skew splitting, and only their smallest document is gathered.
+each row is returned. A row without a doc_id takes part in nothing and stays whole. Other columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -20,13 +23,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import ragged
-from tallyloom.llm.shared import prepare, stash
+from tallyloom.llm.shared import prepare
 
 SIZE = 50
+# Buckets of representatives per partition of the input.
+BUCKETS = 16
 FAR = np.int64(1) << np.int64(40)
 # Odd bases of the two range hashes, and their inverses modulo 2**64.
 BASES = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
@@ -88,12 +94,14 @@ def name_pairs(s: Level, turn: int) -> Level:
     return Level(name[~second], s.doc[~second], low[~second], high[~second])
 
 
-def representatives(t: ragged.Texts, size: int) -> tuple[np.ndarray, np.ndarray, Ranges]:
+def representatives(t: ragged.Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts (word numbers) of all windows of the batch, and the hash that represents each."""
     at = t.window_starts(size)
-    ranges = Ranges(t.hashes, 0)
     if not len(at):
-        return at, np.zeros(0, np.uint64), ranges
+        return at, np.zeros(0, np.uint64)
+    ranges = Ranges(t.hashes, 0)
+    # Longer contexts tell more apart, but fewer of them fit a window, so more are needed.
+    longest = max(size // 2, 1)
     n, doc = len(t.starts), t.word_doc
     is_window = np.zeros(n, bool)
     is_window[at] = True
@@ -104,7 +112,7 @@ def representatives(t: ragged.Texts, size: int) -> tuple[np.ndarray, np.ndarray,
     while True:
         symbols = name_pairs(name_runs(symbols), turn)
         turn += 1
-        fits = np.flatnonzero((symbols.low >= 0) & (symbols.high - symbols.low <= size))
+        fits = np.flatnonzero((symbols.low >= 0) & (symbols.high - symbols.low <= longest))
         if not len(fits):
             break
         low, high, owner = symbols.low[fits], symbols.high[fits], symbols.doc[fits]
@@ -119,74 +127,117 @@ def representatives(t: ragged.Texts, size: int) -> tuple[np.ndarray, np.ndarray,
             rank[start[ok]], key[start[ok]] = r[ok], k[ok]
     alone = at[rank[at] == none]
     key[alone] = ranges.of(alone, alone + size)
-    return at, key[at], ranges
+    return at, key[at]
 
 
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
+PACKED = "bucket int, keys binary, docs binary, tags binary, starts binary, counts binary, prints binary"
 
 
-def representative_rows(docs: DataFrame, size: int) -> DataFrame:
-    """(key, doc_id), once per document and batch, for every window's representative."""
+def tag_of(text: bytes) -> int:
+    """Tells rows with one doc_id and different texts apart."""
+    return xxhash.xxh32_intdigest(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in ragged.slices(batch):
-                t = ragged.Texts(part.column("text"))
-                at, key, _ = representatives(t, size)
-                owner = t.word_doc[at]
-                order = np.lexsort((key, owner))
-                owner, key = owner[order], key[order]
-                new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (key[1:] != key[:-1]))) if len(at) else np.zeros(0, bool)
-                yield pa.RecordBatch.from_arrays([_signed(key[new]), part.column("doc_id").take(pa.array(owner[new]))], ["key", "doc_id"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"key long, doc_id {docs.schema['doc_id'].dataType.simpleString()}")
+def runs_of(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """First positions of the runs of windows that follow each other in one text and have one key."""
+    n = len(start)
+    if not n:
+        return np.zeros(0, np.int64)
+    new = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (start[1:] != start[:-1] + 1) | (key[1:] != key[:-1])
+    head = np.flatnonzero(np.concatenate(([True], new)))
+    # A count takes 16 bits; a longer run goes on as another one.
+    longer = np.diff(np.concatenate((head, [n]))) > 0xFFFF
+    return np.unique(np.concatenate([head, *(np.arange(h, e, 0xFFFF) for h, e in zip(head[longer], np.concatenate((head[1:], [n]))[longer]))]))
+
 
+def least_docs(key: np.ndarray, print_: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Smallest doc_id of each window's equals."""
+    order = np.lexsort((doc, print_, key))
+    k, p, d = key[order], print_[order], doc[order]
+    first = np.concatenate(([True], (k[1:] != k[:-1]) | (p[1:] != p[:-1]))) if len(k) else np.zeros(0, bool)
+    out = np.empty(len(doc), np.int64)
+    out[order] = d[first][np.cumsum(first) - 1] if len(k) else d
+    return out
 
-def candidate_windows(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, text_hash, at, h1, h2) of every window whose representative several documents have."""
-    rows = stash(representative_rows(docs, size))
-    spread = rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select(F.col("key").alias("shared_key"))
-    keys = rows.join(spread, F.col("key") == F.col("shared_key")).groupBy(F.col("doc_id").alias("key_doc")).agg(F.collect_set("key").alias("keys"))
-    held = docs.select("doc_id", "text").join(keys, F.col("doc_id") == F.col("key_doc")).select("doc_id", "text", F.xxhash64("text").alias("text_hash"), "keys")
-    names = ["doc_id", "text_hash", "at", "h1", "h2"]
+
+def five_bytes(values: np.ndarray) -> bytes:
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def from_five_bytes(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 5, 8), np.uint8)
+    wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return wide.view("<u8").ravel()
+
+
+def pack(bucket: np.ndarray, key: np.ndarray, doc: np.ndarray, tag: np.ndarray, start: np.ndarray, print_: np.ndarray) -> Iterator[tuple]:
+    """One row per bucket: its runs of windows, column by column."""
+    heads = runs_of(doc, tag, start, key)
+    counts = np.diff(np.concatenate((heads, [len(start)])))
+    order = np.argsort(bucket[heads], kind="stable")
+    heads, counts = heads[order], counts[order]
+    number = bucket[heads]
+    cuts = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1], [True]))) if len(heads) else np.zeros(1, np.int64)
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        h, n = heads[a:b], counts[a:b]
+        yield (
+            int(number[a]), key[h].astype("<u8").tobytes(), doc[h].astype("<i8").tobytes(), tag[h].astype("<u4").tobytes(),
+            start[h].astype("<u4").tobytes(), n.astype("<u2").tobytes(), five_bytes(ragged.take_ranges(print_, h, n)),
+        )
+
+
+def packed_windows(docs: DataFrame, size: int, buckets: int) -> DataFrame:
+    """Runs of windows by bucket of their representative. Buckets from `buckets` on hold windows that are known to start in a smaller document."""
+    names = [c.split()[0] for c in PACKED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in ragged.slices(batch):
                 t = ragged.Texts(part.column("text"))
-                at, key, first = representatives(t, size)
-                second = Ranges(t.hashes, 1)
-                owner, signed = t.word_doc[at], key.view(np.int64)
-                wanted = part.column("keys")
-                bounds = np.searchsorted(owner, np.arange(t.count + 1))
-                chosen = [a + np.flatnonzero(np.isin(signed[a:b], wanted[k].values.to_numpy())) for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())) if b > a]
-                if not chosen:
-                    continue
-                pick = np.concatenate(chosen)
-                start = at[pick]
-                of = pa.array(owner[pick])
-                place = start - t.word_offsets[owner[pick]]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(of), part.column("text_hash").take(of), pa.array(place.astype(np.int64)), _signed(first.of(start, start + size)), _signed(second.of(start, start + size))], names)
-
-    return held.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, at long, h1 long, h2 long")
+                at, key = representatives(t, size)
+                owner = t.word_doc[at]
+                doc = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[owner]
+                tags = np.array([tag_of(t.data[a:b].tobytes()) for a, b in zip(t.offsets[:-1].tolist(), t.offsets[1:].tolist())], np.uint32)
+                tag, start = tags[owner], at - t.word_offsets[owner]
+                print_ = Ranges(t.hashes, 1).of(at, at + size) >> np.uint64(24)
+                later = doc > least_docs(key, print_, doc)
+                rows = []
+                for kept, bucket in ((~later, key % np.uint64(buckets)), (later, np.uint64(buckets) + doc.astype(np.uint64) % np.uint64(buckets))):
+                    rows += pack(bucket[kept].astype(np.int64), *(x[kept] for x in (key, doc, tag, start, print_)))
+                columns = zip(*rows) if rows else [[]] * 7
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 0 else pa.binary()) for k, c in enumerate(columns)], names)
+
+    return docs.mapInArrow(run, PACKED)
 
 
 def repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """(doc_id, text_hash, starts): the windows of each document that also start in a document with a smaller id."""
+    """(doc_id, tag, start, count): runs of windows of each document that also start in a document with a smaller id."""
     prepare(docs.sparkSession)
-    docs = docs.filter("doc_id is not null")
-    windows = stash(candidate_windows(docs, size))
-    first = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select(F.col("h1").alias("w1"), F.col("h2").alias("w2"), "low")
-    later = windows.join(first, (F.col("h1") == F.col("w1")) & (F.col("h2") == F.col("w2"))).filter(F.col("doc_id") > F.col("low"))
-    return later.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("at")).alias("starts"))
+    docs = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    buckets = BUCKETS * max(1, docs.rdd.getNumPartitions())
+
+    def settle(table: pa.Table) -> pa.Table:
+        column = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+        doc, tag, start, count = column("docs", "<i8"), column("tags", "<u4"), column("starts", "<u4").astype(np.int64), column("counts", "<u2").astype(np.int64)
+        if table.column("bucket")[0].as_py() < buckets:
+            run = np.repeat(np.arange(len(count)), count)
+            key, prints = column("keys", "<u8")[run], from_five_bytes(b"".join(table.column("prints").to_pylist()))
+            place = start[run] + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+            owner = doc[run]
+            later = owner > least_docs(key, prints, owner)
+            run, place = run[later], place[later]
+            head = runs_of(doc[run], tag[run], place, run)
+            doc, tag, start, count = doc[run[head]], tag[run[head]], place[head], np.diff(np.concatenate((head, [len(run)])))
+        return pa.table({"doc_id": pa.array(doc), "tag": pa.array(tag.astype(np.int64)), "start": pa.array(start, pa.int32()), "count": pa.array(count, pa.int32())})
+
+    return packed_windows(docs, size, buckets).groupBy("bucket").applyInArrow(settle, "doc_id long, tag long, start int, count int")
 
 
 def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) of every document; kept words are joined by one space."""
-    found = stash(repeats(docs, size)).select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"), "starts")
+    found = repeats(docs, size).groupBy(F.col("doc_id").alias("hit_id")).agg(F.collect_list(F.struct("tag", "start", "count")).alias("runs"))
     texts = docs.select("doc_id", "text")
-    held = texts.join(found, (F.col("doc_id") == F.col("hit_id")) & (F.xxhash64("text") == F.col("hit_hash")), "left").select("doc_id", "text", "starts")
+    held = texts.join(found, F.col("doc_id") == F.col("hit_id"), "left").select("doc_id", "text", "runs")
     names = ["doc_id", "n_words", "n_removed", "kept_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,11 +245,13 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
             for part in ragged.slices(batch):
                 t = ragged.Texts(part.column("text"))
                 change = np.zeros(len(t.starts) + 1, np.int64)
-                starts = part.column("starts")
-                for k in np.flatnonzero(starts.is_valid().to_numpy(zero_copy_only=False)).tolist():
-                    at = starts[k].values.to_numpy() + t.word_offsets[k]
-                    change[at] += 1
-                    change[at + size] -= 1
+                runs = part.column("runs")
+                for k in np.flatnonzero(runs.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                    tag, start, count = (c.to_numpy() for c in runs[k].values.flatten())
+                    mine = tag == tag_of(t.data[t.offsets[k] : t.offsets[k + 1]].tobytes())
+                    first = start[mine] + t.word_offsets[k]
+                    np.add.at(change, first, 1)
+                    np.add.at(change, first + count[mine] - 1 + size, -1)
                 gone = np.cumsum(change[:-1]) > 0
                 n_removed = ragged.sums(gone, t.word_offsets)
                 # Every kept word with one byte behind it, which becomes the space.
