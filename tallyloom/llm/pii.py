@@ -199,11 +199,11 @@ def hide(text: str, spans: list[Span]) -> str:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, n_added, base_sha256, spans) of every document; counts are of base spans."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) of every document; counts are of base spans."""
     prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     counts = [f"n_{k}" for k in KINDS]
-    names = ["doc_id", *counts, "n_added", "base_sha256", "spans"]
+    names = ["doc_id", *counts, "base_sha256", "spans", "n_added"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,9 +211,9 @@ def spans(docs: DataFrame) -> DataFrame:
             numbers = [pa.array([sum(s[2] == k for s in base) for base, _ in found], pa.int64()) for k in KINDS]
             more = pa.array([len(every) - len(base) for base, every in found], pa.int64())
             digests = pa.array([hashlib.sha256(shown(base).encode()).hexdigest() for base, _ in found], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *numbers, more, digests, pa.array([shown(every) for _, every in found], pa.string())], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *numbers, digests, pa.array([shown(every) for _, every in found], pa.string()), more], names)
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {', '.join(f'{c} long' for c in counts)}, n_added long, base_sha256 string, spans string")
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {', '.join(f'{c} long' for c in counts)}, base_sha256 string, spans string, n_added long")
 
 
 def redact(docs: DataFrame) -> DataFrame:

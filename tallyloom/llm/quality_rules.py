@@ -137,6 +137,6 @@ def judge(docs: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     broken = F.array_compact(F.array(*(F.when(ratio(r) > F.col("limits")[r], F.lit(r)) for r in RULES)))
     failed = base_failed()
     return joined.select(
-        "doc_id", "lang", "source", *(c.split()[0] for c in COUNTS.split(", ")),
-        failed.alias("base_failed"), F.array_join(broken, ",").alias("broken_rules"), (~failed & (F.size(broken) == 0)).alias("kept"),
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & (F.size(broken) == 0)).alias("kept"),
+        F.array_join(broken, ",").alias("broken_rules"), "lang", "source", "n_lines", "n_upper", "n_exclaim",
     )

@@ -72,7 +72,7 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 
 def find(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, n_live, n_copied, base_sha256, spans) of every document."""
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied) of every document."""
     prepare(docs.sparkSession)
     rows = stash(scan(docs).withColumn("row", F.monotonically_increasing_id()))
     each = rows.filter(F.size("found") > 0).select("row", "doc_id", "owner", F.explode("found").alias("m"))
@@ -92,7 +92,7 @@ def find(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     kept = F.filter("found", lambda m: m["kind"].isin(*BASE))
     return joined.select(
         "doc_id", *(count(k).alias(f"n_{k}") for k in BASE),
-        F.coalesce("live", F.lit(0).cast("long")).alias("n_live"), F.coalesce("copied", F.lit(0).cast("long")).alias("n_copied"),
         F.sha2(F.array_join(in_order(kept), ","), 256).alias("base_sha256"),
         F.coalesce(F.array_join(in_order(F.col("all_spans")), ","), F.lit("")).alias("spans"),
+        F.coalesce("live", F.lit(0).cast("long")).alias("n_live"), F.coalesce("copied", F.lit(0).cast("long")).alias("n_copied"),
     )
