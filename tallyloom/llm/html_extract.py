@@ -162,6 +162,8 @@ LABELLED = [
     [(5, 5, 0, 1, 0, 0), (2, 0, 1, 0, 1, 1), (4, 4, 1, 0, 0, 1), (18, 0, 1, 0, 0, 1), (90, 0, 0, 1, 0, 0), (40, 0, 0, 1, 0, 0), (3, 0, 0, 1, 1, 0)],
     [(8, 8, 0, 1, 0, 0), (70, 0, 0, 1, 0, 0), (120, 2, 0, 1, 0, 0), (5, 0, 0, 1, 1, 0), (11, 0, 1, 0, 1, 1), (9, 0, 1, 0, 0, 1), (15, 15, 1, 0, 0, 1), (2, 0, 1, 1, 0, 0)],
     [(3, 0, 0, 0, 0, 0), (2, 2, 0, 0, 0, 0), (1, 1, 0, 0, 0, 0), (30, 28, 0, 0, 0, 0), (33, 0, 0, 0, 0, 1), (28, 2, 0, 0, 0, 1), (6, 5, 0, 0, 0, 0), (4, 0, 0, 0, 0, 0)],
+    [(3, 2, 0, 0, 0, 0), (2, 0, 0, 0, 1, 1), (50, 0, 0, 0, 0, 1), (3, 0, 0, 0, 0, 1), (60, 0, 0, 0, 0, 1), (2, 0, 0, 0, 0, 0)],
+    [(4, 4, 0, 1, 0, 0), (3, 0, 0, 0, 1, 1), (45, 2, 0, 0, 0, 1), (2, 0, 0, 0, 1, 1), (70, 0, 0, 0, 0, 1), (3, 0, 0, 1, 0, 0)],
     [(300, 0, 1, 0, 0, 1)],
     [(20, 0, 1, 0, 0, 1)],
     [(2, 2, 1, 0, 0, 1)],
