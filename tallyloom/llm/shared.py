@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import uuid
 import zipfile
 from pathlib import Path
@@ -18,16 +18,21 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once per application; their Python need not have it installed."""
+    """Send this package's code to the executors by way of the shared folder, once per application; their Python need not have it installed."""
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parents[1]
-    path = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
-    with zipfile.ZipFile(path, "w") as archive:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
         for file in sorted(package.rglob("*.py")):
             archive.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(path))
+    path = f"{shared_folder(spark)}-code/{package.name}.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    context.addPyFile(path)
     _shipped.add(context.applicationId)
 
 
