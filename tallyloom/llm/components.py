@@ -16,12 +16,9 @@ def _both_ways(links: DataFrame) -> DataFrame:
     return links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _star(links: DataFrame) -> DataFrame:
-    """Hang the neighbours b of each a, and a itself, on the least of them all."""
-    least = links.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("low"))
-    hung = links.join(least, F.col("a") == F.col("node"))
-    ends = hung.select(F.col("low").alias("a"), F.col("b")).union(least.select(F.col("low").alias("a"), F.col("node").alias("b")))
-    return ends.filter(F.col("a") != F.col("b")).distinct()
+def _least(links: DataFrame) -> DataFrame:
+    """(node, low): the least of each node and its neighbours. Written first, so that the join with it is one of two shuffles, whose large partitions Spark can split."""
+    return stash(links.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("low")))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -29,12 +26,16 @@ def components(links: DataFrame) -> DataFrame:
     links = stash(links.filter(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     state = None
     while True:
-        large = _both_ways(links)
-        # Large star: only neighbours above the node move.
-        least = large.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("low"))
-        moved = large.join(least, F.col("a") == F.col("node")).filter(F.col("b") > F.col("a")).select(F.col("low").alias("a"), "b").distinct()
+        # Large star: of each node, the neighbours above it move to the least.
+        both = _both_ways(links)
+        least = _least(both)
+        moved = stash(both.join(least, F.col("a") == F.col("node")).filter(F.col("b") > F.col("a")).select(F.col("low").alias("a"), "b").distinct())
         # Small star: of each node, the neighbours below it and itself move to the least.
-        links = stash(_star(moved.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+        down = moved.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        least = _least(down)
+        hung = down.join(least, F.col("a") == F.col("node"))
+        ends = hung.select(F.col("low").alias("a"), "b").union(least.select(F.col("low").alias("a"), F.col("node").alias("b")))
+        links = stash(ends.filter(F.col("a") != F.col("b")).distinct())
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == state or now[0] == 0:
             break
