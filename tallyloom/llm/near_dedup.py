@@ -188,7 +188,7 @@ def candidates(nodes: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between nodes whose signatures agree well enough; stars, not all pairs."""
     keys = F.array(*(F.xxhash64(F.lit(k), F.substring("signature", 1 + 2 * ROWS * k, 2 * ROWS)) for k in range(BANDS)))
     rows = stash(nodes.select("node", F.explode(keys).alias("bucket")))
-    full = rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").withColumnRenamed("bucket", "full_bucket")
+    full = stash(rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").withColumnRenamed("bucket", "full_bucket"))
     members = rows.join(full, F.col("bucket") == F.col("full_bucket")).drop("full_bucket")
     signed = members.join(nodes.select(F.col("node").alias("signed_node"), "signature"), F.col("node") == F.col("signed_node")).drop("signed_node")
     tasks = in_parts(signed, "bucket", "members", BUCKET_NODES).select("task", "node", "signature")
@@ -250,7 +250,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     clusters = stash(components(candidates(nodes, percent)))
     groups = components(verified(docs, sketches, clusters, words, percent)).withColumnRenamed("node", "member")
     labelled = stash(sketches.drop("signature").join(groups, F.col("node") == F.col("member"), "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("label")))
-    least = labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least_id")).withColumnRenamed("label", "least_label")
+    # Written before it is joined, so that the join is between two shuffles and Spark can split the rows of a large group.
+    least = stash(labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least_id")).withColumnRenamed("label", "least_label"))
     joined = labelled.join(least, F.col("label") == F.col("least_label"), "left").withColumn("component_id", F.coalesce("least_id", "doc_id"))
     return joined.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
