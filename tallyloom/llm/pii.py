@@ -105,9 +105,11 @@ SPELLED_RUN = re.compile(rf"(?:(?:\bplus|\+) ?)?\b(?:(?:{SPELLED})[ ,.-]{{1,2}})
 SPELLED_WORD = re.compile(rf"\b(?:{SPELLED})\b", re.I)
 AT, DOT = "at|arroba|chez", "dot|punto|punkt|point"
 BRACKETED = re.compile(rf"\s?[\[({{<]\s?(?:({AT})|({DOT}))\s?[\])}}>]\s?", re.I)
-BARE = re.compile(rf"(?<=[A-Za-z0-9]) (?:{AT}) (?=[A-Za-z0-9-]+(?: (?:{DOT}) |\.)[A-Za-z0-9])", re.I)
-BARE_DOT = re.compile(rf"(?<=[A-Za-z0-9]) (?:{DOT}) (?=[A-Za-z0-9])", re.I)
-SAYS_DOT = re.compile(rf"\b(?:{DOT})\b|[\[({{<]\s?(?:{AT})\s?[\])}}>]", re.I)
+# Without brackets the words are common, so "at" must be followed by a name and a spoken dot, and only the plainest words count.
+BARE_AT, BARE_DOTS = "at|arroba", "dot|punto|punkt"
+BARE = re.compile(rf"(?<=[A-Za-z0-9]) (?:{BARE_AT}) (?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)* (?:{BARE_DOTS}) [A-Za-z0-9])", re.I)
+BARE_DOT = re.compile(rf"(?<=[A-Za-z0-9]) (?:{BARE_DOTS}) (?=[A-Za-z0-9])", re.I)
+SAYS_DOT = re.compile(rf"\b(?:{BARE_DOTS})\b|[\[({{<]\s?(?:{AT}|{DOT})\s?[\])}}>]", re.I)
 
 
 def plain_character(c: str) -> str:

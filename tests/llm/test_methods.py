@@ -86,6 +86,9 @@ DISGUISED = [
     ("écrivez: jean arroba correo punto es", ["email:9:36"]),
     ("server 10․0․0․1 up", ["ip:7:15"]),
     ("he stayed at home and looked at the dot", []),
+    ("meet us at example.com or look at Fig.2 about the dot product", []),
+    ("il est chez lui point barre", []),
+    ("mail eva at mail.example dot org", ["email:5:32"]),
     ("one two three apples", []),
     ("look at two, three or four of them", []),
 ]
