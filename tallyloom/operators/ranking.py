@@ -42,18 +42,26 @@ def top_customers_by_mean(df: DataFrame, k: int = 10, per: str = "line") -> Data
     return top_k(spend, "average_spend", k, "customer_id")
 
 
-def account_drilldown(df: DataFrame, customer: int | Column, n: int = 20) -> DataFrame:
-    """The first lines of one customer, in time order."""
+def account_drilldown(df: DataFrame, customer: int | Column | DataFrame, n: int = 20) -> DataFrame:
+    """The first lines of one customer, in time order; `customer` is an id or a table that holds it.
+
+    A table found from the same lines is joined, so that both read one shuffle of them.
+    """
     columns = ["invoice", "description", "quantity", "price", "revenue"]
-    lines = df.filter(F.col("customer_id") == customer)
+    lines = df.join(customer, "customer_id") if isinstance(customer, DataFrame) else df.filter(F.col("customer_id") == customer)
     order = ["invoice_date", "invoice", F.col("description").asc_nulls_last(), "quantity", "price"]
     return lines.orderBy(*order).limit(n).select(*columns)
 
 
-def kth_customer_by_revenue(df: DataFrame, k: int) -> Column:
-    """The customer at place k of the revenue list, as a scalar; NULL if the list is shorter."""
+def kth_customer(df: DataFrame, k: int) -> DataFrame:
+    """One row with the customer at place k of the revenue list; NULL if the list is shorter."""
     top = top_customers_by_revenue(df, k).agg(F.array_sort(F.collect_list(F.struct((-F.col("revenue")).alias("r"), "customer_id"))).alias("top"))
-    return top.select(F.try_element_at("top", F.lit(k))["customer_id"]).scalar()
+    return top.select(F.try_element_at("top", F.lit(k))["customer_id"].alias("customer_id"))
+
+
+def kth_customer_by_revenue(df: DataFrame, k: int) -> Column:
+    """The same as a scalar."""
+    return kth_customer(df, k).scalar()
 
 
 def country_revenue(df: DataFrame) -> DataFrame:

@@ -136,7 +136,7 @@ def customers_by_invoice_mean(fx: Fixtures):
 def drilldown(place: int):
     def run(fx: Fixtures):
         rows = clean(fx)
-        return R.account_drilldown(rows, R.kth_customer_by_revenue(rows, place))
+        return R.account_drilldown(rows, R.kth_customer(rows, place))
 
     return run
 

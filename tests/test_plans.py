@@ -48,6 +48,6 @@ def line_scans(spark, name):
     return found
 
 
-@pytest.mark.parametrize("name", ["retail_country_revenue_tiers", "retail_country_customer_tiers", "retail_monthly_revenue", "soda_product_extremes", "retail_top_countries"])
+@pytest.mark.parametrize("name", ["retail_country_revenue_tiers", "retail_country_customer_tiers", "retail_monthly_revenue", "soda_product_extremes", "retail_top_countries", "retail_drilldown_first"])
 def test_the_lines_are_read_once(spark, name):
     assert line_scans(spark, name) == 1
