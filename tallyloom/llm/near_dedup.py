@@ -4,8 +4,8 @@ A document is the set of its distinct word shingles. Equal sets are one node fro
 bucket are candidates. In a bucket, signatures are compared batch by batch; after each batch a pair goes if, given its matches so far and a uniform prior, the
 posterior probability that its similarity reaches the threshold is below MISS. What survives groups nodes into clusters, and in every
 cluster the full shingle sets decide which nodes are linked. Both steps search outwards from a node among those not reached yet, so a group of near-alike
-texts costs about its size rather than its square, and give out one link per node reached, never all pairs. A bucket or cluster too large for one task is split into parts, and every pair of parts is
-searched in a task of its own: nothing is capped.
+texts costs about its size rather than its square, and give out one link per node reached, never all pairs. A bucket or cluster too large for one task is dealt into parts, twice by different hashes, which joins
+the bulk of it; only what is then outside its largest component is searched against all its parts. Nothing is capped.
 
 A pair at the threshold shares no band with probability (1 - 0.8**5)**28 = 1.5e-5; shingles are compared by 64-bit hashes.
 
@@ -21,7 +21,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import ragged
@@ -159,13 +159,51 @@ def _with_groups(batches: list[pa.RecordBatch], key: str) -> tuple[pa.Table, np.
     return table, np.concatenate((np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))), [len(keys)]))
 
 
-def in_parts(rows: DataFrame, group: str, weight: str, limit: int) -> DataFrame:
-    """Rows with a long `task` that is common to all that must meet: the group, or each pair of parts of a group whose total weight is above the limit."""
-    parts = F.ceil(F.col(weight) / limit).cast("int")
-    part = F.pmod(F.xxhash64("node", F.lit(1)), parts).cast("int")
-    others = F.when(parts <= 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), parts - 1))
-    spread = rows.withColumn("part", part).withColumn("other", F.explode(others))
-    return spread.withColumn("task", F.xxhash64(group, F.least("part", "other"), F.greatest("part", "other"))).drop("part", "other")
+def searched(rows: DataFrame, payload: str, find: Callable[[list[bytes]], list[tuple[int, np.ndarray]]]) -> DataFrame:
+    """Links (a, b) that `find` gives for the payloads of each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, cuts in whole_groups(batches, "task"):
+            ids, held = table.column("node").to_pylist(), table.column(payload)
+            links = []
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                for root, found in find(held.slice(a, b - a).to_pylist()):
+                    links += [(ids[a + root], ids[a + k]) for k in found.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    return rows.select("task", "node", payload).repartition("task").sortWithinPartitions("task").mapInArrow(run, "a binary, b binary")
+
+
+def search_groups(rows: DataFrame, payload: str, limit: int, find: Callable[[list[bytes]], list[tuple[int, np.ndarray]]]) -> DataFrame:
+    """Links (a, b) within every group of rows (node, team, own, total, payload); a task holds payloads of about `limit` at most.
+
+    `own` is the weight of a row and `total` that of its team. Teams up to the limit are searched whole.
+    """
+    links = searched(rows.filter(F.col("total") <= limit).withColumn("task", F.xxhash64("team")), payload, find)
+    large = rows.filter(F.col("total") > limit).withColumn("parts", F.ceil(F.col("total") / limit).cast("int"))
+    if large.isEmpty():
+        return links
+    large = stash(large)
+
+    def part(salt: int, of: str) -> Column:
+        return F.pmod(F.xxhash64("node", F.lit(salt)), F.col(of)).cast("int")
+
+    rounds = [stash(searched(large.withColumn("task", F.xxhash64("team", F.lit(k), part(k, "parts"))), payload, find)) for k in (1, 2)]
+    bulk = rounds[0].union(rounds[1])
+    labels = stash(components(bulk)).withColumnRenamed("node", "labelled")
+    marked = stash(large.select("node", "team", "own").join(labels, F.col("node") == F.col("labelled"), "left").select("node", "team", "own", F.coalesce("component", "node").alias("label")))
+    sizes = marked.groupBy("team", "label").agg(F.count("*").alias("n"))
+    main = stash(sizes.groupBy("team").agg(F.max(F.struct("n", "label")).alias("main")).select(F.col("team").alias("main_team"), F.col("main.label").alias("main_label")))
+    rest = marked.join(main, F.col("team") == F.col("main_team")).filter(F.col("label") != F.col("main_label")).select(F.col("node").alias("rest_node"), F.col("team").alias("rest_team"), "own")
+    rest = stash(rest)
+    blocks = stash(rest.groupBy("rest_team").agg(F.ceil(F.sum("own") / limit).cast("int").alias("rest_parts")).withColumnRenamed("rest_team", "block_team"))
+    both = large.join(blocks, F.col("team") == F.col("block_team"))
+    every = both.withColumn("j", part(3, "parts")).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("rest_parts") - 1)))
+    outside = both.join(rest.select("rest_node", "rest_team"), (F.col("node") == F.col("rest_node")) & (F.col("team") == F.col("rest_team")))
+    outside = outside.withColumn("u", part(4, "rest_parts")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pairs = every.select("node", "team", "j", "u", payload).union(outside.select("node", "team", "j", "u", payload))
+    last = searched(pairs.withColumn("task", F.xxhash64("team", "u", "j")), payload, find)
+    return links.union(bulk).union(last)
 
 
 def sketch(docs: DataFrame, words: int) -> DataFrame:
@@ -190,33 +228,22 @@ def candidates(nodes: DataFrame, percent: int) -> DataFrame:
     rows = stash(nodes.select("node", F.explode(keys).alias("bucket")))
     full = stash(rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").withColumnRenamed("bucket", "full_bucket"))
     members = rows.join(full, F.col("bucket") == F.col("full_bucket")).drop("full_bucket")
-    signed = members.join(nodes.select(F.col("node").alias("signed_node"), "signature"), F.col("node") == F.col("signed_node")).drop("signed_node")
-    tasks = in_parts(signed, "bucket", "members", BUCKET_NODES).select("task", "node", "signature")
+    signed = members.join(nodes.select(F.col("node").alias("signed_node"), "signature"), F.col("node") == F.col("signed_node"))
+    rows = signed.select("node", F.col("bucket").alias("team"), F.lit(1).cast("long").alias("own"), F.col("members").alias("total"), "signature")
     bounds = least_matches(percent / 100)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, cuts in whole_groups(batches, "task"):
-            ids = table.column("node").to_pylist()
-            signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u2").reshape(-1, HASHES)
-            links = []
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                for root, found in similar_signatures(signatures[a:b], bounds):
-                    links += [(ids[a + root], ids[a + k]) for k in found.tolist()]
-            yield links_batch(links)
-
-    return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a binary, b binary")
-
+    def find(signatures: list[bytes]) -> list[tuple[int, np.ndarray]]:
+        return similar_signatures(np.frombuffer(b"".join(signatures), "<u2").reshape(-1, HASHES), bounds)
 
-def links_batch(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["a", "b"])
+    return search_groups(rows, "signature", BUCKET_NODES, find)
 
 
 def verified(docs: DataFrame, sketches: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) that the full shingle sets confirm within every cluster."""
     sized = sketches.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"))
     sized = sized.join(clusters.withColumnRenamed("node", "member"), F.col("node") == F.col("member")).drop("member")
-    total = sized.groupBy("component").agg(F.sum("n_shingles").alias("weight")).withColumnRenamed("component", "cluster")
-    wanted = stash(sized.join(total, F.col("component") == F.col("cluster")).drop("component", "n_shingles"))
+    total = stash(sized.groupBy("component").agg(F.sum("n_shingles").alias("total")).withColumnRenamed("component", "team"))
+    wanted = stash(sized.join(total, F.col("component") == F.col("team")).drop("component").withColumnRenamed("n_shingles", "own"))
 
     texts = docs.select("doc_id", "text").join(wanted.select("first_id").distinct(), F.col("doc_id") == F.col("first_id")).select("text")
 
@@ -227,19 +254,12 @@ def verified(docs: DataFrame, sketches: DataFrame, clusters: DataFrame, words: i
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], ["set_node", "shingles"])
 
     known = texts.mapInArrow(sets, "set_node binary, shingles binary")
-    rows = wanted.join(known, F.col("node") == F.col("set_node")).select("node", "cluster", "weight", "shingles")
-    tasks = in_parts(rows, "cluster", "weight", CLUSTER_SHINGLES).select("task", "node", "shingles")
+    rows = wanted.join(known, F.col("node") == F.col("set_node")).select("node", "team", "own", "total", "shingles")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, cuts in whole_groups(batches, "task"):
-            ids, held = table.column("node").to_pylist(), table.column("shingles")
-            links = []
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                for root, found in similar_sets([np.frombuffer(held[k].as_py(), np.uint64) for k in range(a, b)], percent):
-                    links += [(ids[a + root], ids[a + k]) for k in found.tolist()]
-            yield links_batch(links)
+    def find(shingles: list[bytes]) -> list[tuple[int, np.ndarray]]:
+        return similar_sets([np.frombuffer(x, np.uint64) for x in shingles], percent)
 
-    return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a binary, b binary")
+    return search_groups(rows, "shingles", CLUSTER_SHINGLES, find)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
