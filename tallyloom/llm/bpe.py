@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from tallyloom.llm import ragged
 from tallyloom.llm.shared import prepare
 
-KEPT = 400_000
+KEPT = 300_000
 # Pre-tokens indexed together; so many stay in the processor's cache.
 TOGETHER = 2_500
 # Fixed: the cut of byte-level vocabularies.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -13,7 +14,7 @@ import xxhash
 # White space that ends a word: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = b" \t\n\x0b\x0c\r"
 # Bytes of text handled at a time; one longer text is a slice of its own.
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 2_500_000
 
 
 def byte_set(members: bytes) -> np.ndarray:
@@ -25,6 +26,16 @@ def byte_set(members: bytes) -> np.ndarray:
 IS_SPACE = byte_set(SPACES)
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps Python workers alive between stages, and several share a machine."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces whose texts hold about `limit` bytes."""
     lengths = np.array([0 if n is None else n for n in pc.binary_length(batch.column(column)).to_pylist()], np.int64)
@@ -33,6 +44,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
             yield batch.slice(a, b - a)
+    give_back()
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
