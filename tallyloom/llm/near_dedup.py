@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import ragged
 from tallyloom.llm.components import components
-from tallyloom.llm.shared import prepare, stash
+from tallyloom.llm.shared import likely_in, prepare, stash
 
 BANDS, ROWS = 28, 5
 HASHES = BANDS * ROWS
@@ -227,7 +227,8 @@ def candidates(nodes: DataFrame, percent: int) -> DataFrame:
     keys = F.array(*(F.xxhash64(F.lit(k), F.substring("signature", 1 + 2 * ROWS * k, 2 * ROWS)) for k in range(BANDS)))
     rows = stash(nodes.select("node", F.explode(keys).alias("bucket")))
     full = stash(rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").withColumnRenamed("bucket", "full_bucket"))
-    members = rows.join(full, F.col("bucket") == F.col("full_bucket")).drop("full_bucket")
+    # Both sides grow with the input: shuffled at every size, so that the plan is the same.
+    members = rows.join(full.hint("merge"), F.col("bucket") == F.col("full_bucket")).drop("full_bucket")
     signed = members.join(nodes.select(F.col("node").alias("signed_node"), "signature"), F.col("node") == F.col("signed_node"))
     rows = signed.select("node", F.col("bucket").alias("team"), F.lit(1).cast("long").alias("own"), F.col("members").alias("total"), "signature")
     bounds = least_matches(percent / 100)
@@ -245,7 +246,9 @@ def verified(docs: DataFrame, sketches: DataFrame, clusters: DataFrame, words: i
     total = stash(sized.groupBy("component").agg(F.sum("n_shingles").alias("total")).withColumnRenamed("component", "team"))
     wanted = stash(sized.join(total, F.col("component") == F.col("team")).drop("component").withColumnRenamed("n_shingles", "own"))
 
-    texts = docs.select("doc_id", "text").join(wanted.select("first_id").distinct(), F.col("doc_id") == F.col("first_id")).select("text")
+    # Few documents are in clusters, so the others are kept from the shuffle first.
+    ids = stash(wanted.select("first_id").distinct())
+    texts = likely_in(docs.select("doc_id", "text"), "doc_id", ids, "first_id").join(ids, F.col("doc_id") == F.col("first_id")).select("text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,7 +257,7 @@ def verified(docs: DataFrame, sketches: DataFrame, clusters: DataFrame, words: i
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], ["set_node", "shingles"])
 
     known = texts.mapInArrow(sets, "set_node binary, shingles binary")
-    rows = wanted.join(known, F.col("node") == F.col("set_node")).select("node", "team", "own", "total", "shingles")
+    rows = wanted.hint("merge").join(known, F.col("node") == F.col("set_node")).select("node", "team", "own", "total", "shingles")
 
     def find(shingles: list[bytes]) -> list[tuple[int, np.ndarray]]:
         return similar_sets([np.frombuffer(x, np.uint64) for x in shingles], percent)

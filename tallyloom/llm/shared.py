@@ -60,6 +60,26 @@ def clear_stash(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# Slots of the bitmap that keeps rows away from a shuffle: 1 MiB, whatever the input.
+SLOTS = 1 << 23
+
+
+def likely_in(rows: DataFrame, column: str, ids: DataFrame, ids_column: str) -> DataFrame:
+    """The rows whose id may be among ids: all that are, and by chance some that are not. An exact join has to follow.
+
+    The ids set bits in a bitmap of SLOTS bits, of which every task gets a copy: at most 256 rows of 4 KiB. The more ids, the fewer rows it keeps back; the result of
+    the join that follows is the same.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
+    marked = ids.select(slot(ids_column).alias("slot")).select(F.bitmap_bucket_number("slot").alias("_page"), F.bitmap_bit_position("slot").alias("at"))
+    pages = marked.groupBy("_page").agg(F.bitmap_construct_agg("at").alias("_bits"))
+    at = F.bitmap_bit_position(slot(column))
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    hit = F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    held = rows.withColumn("_slot_page", F.bitmap_bucket_number(slot(column))).join(F.broadcast(pages), F.col("_slot_page") == F.col("_page"))
+    return held.filter(hit).select(*rows.columns)
+
+
 def same(left: Column, right: Column) -> Column:
     """Equality that also joins null with null."""
     return left.eqNullSafe(right)

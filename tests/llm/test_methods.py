@@ -157,6 +157,19 @@ def test_groups_cross_batches():
     assert seen == [(1, 1, 1), (2,), (3,) * 5, (4, 4), (9,)]
 
 
+def test_rows_kept_from_a_shuffle(spark):
+    from tallyloom.llm.shared import likely_in
+
+    rows = spark.range(0, 200_000).selectExpr("id", "id % 7 as x", "'p' as slot")
+    ids = spark.range(0, 200_000, 41).withColumnRenamed("id", "wanted")
+    kept = likely_in(rows, "id", ids, "wanted")
+    assert kept.columns == rows.columns
+    found = {r.id for r in kept.collect()}
+    assert {r.wanted for r in ids.collect()} <= found and len(found) < 200_000 / 41 * 1.2
+    assert likely_in(rows, "id", ids.limit(0), "wanted").count() == 0
+    assert likely_in(rows.limit(0), "id", ids, "wanted").count() == 0
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(1, 40)] + [(100, k) for k in range(101, 140)] + [(200, 201), (201, 200), (300, 300)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
