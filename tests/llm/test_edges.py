@@ -121,6 +121,21 @@ def test_copied_and_live_secrets(spark):
     assert got[4] == (0, 0, "key:3:37")
 
 
+def test_private_keys_are_counted_one_by_one(spark):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = lambda k: "\n".join(hashlib.sha256(f"{k} {i}".encode()).hexdigest().upper() for i in range(6))
+    whole = [f"{begin}\n{body(k)}\nAb==\n{end}" for k in range(3)]
+    copied = f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: DES-EDE3-CBC,6F2D\n\n{body('copied')}\n{end}"
+    cut = [f"{begin}\n{body(k)}" for k in (7, 8, 9)]
+    escaped = [f"{begin}\n{body(k)}\n{end}\n".replace("\n", r"\n") for k in (10, 11, 12)]
+    texts = [(f"my {x} ok", len(x)) for x in whole] + [(f"my {x}", len(x)) for x in cut] + [(f"my {x}", len(x) - 2) for x in escaped]
+    rows = [(i, t, "en", f"s{i}") for i, (t, _) in enumerate(texts)] + [(100 + k, f"an {copied}", "en", f"s{k}") for k in range(3)] + [(200 + k, f"as {begin} says", "en", f"s{k}") for k in range(3)]
+    got = {r.doc_id: r.spans for r in secrets.find(table(spark, rows)).collect()}
+    assert {i: got[i] for i in range(9)} == {i: f"pem:3:{3 + n}" for i, (_, n) in enumerate(texts)}  # each key has one owner
+    assert [got[100 + k] for k in range(3)] == [""] * 3  # three owners have the same key
+    assert [got[200 + k] for k in range(3)] == [f"pem:3:{3 + len(begin)}"] * 3  # no key, so no owners
+
+
 def test_classifier(spark, edge):
     labels = spark.createDataFrame([(i, int(i in (7, 8, 9, 12))) for i in range(1, 19)] + [(None, 1), (3, None)], "doc_id long, quality int")
     got = quality_classifier.classify(edge, labels)
