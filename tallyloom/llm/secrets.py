@@ -2,7 +2,7 @@
 
 Every text is cut by three base patterns and by patterns of other credential shapes. A match starts after the gaps and matches before it, so the pieces
 between matches (split) and the matches (extract all) give code point offsets without any Python. The hashes of the matched values are counted over the corpus by
-distinct documents (repositories) and distinct sources (owners). A value that more than `max_owners` owners have is a copied example; one that fewer have is
+distinct documents (repositories) and distinct sources (owners). A value that more than `max_owners` owners or more than `max_repos` repositories have is a copied example; any other is
 specific to its owners and looks live. Spans of the other shapes are added only where they look live; base spans always stay. The value of a private key is what follows its header
 line; a header line with nothing behind it says nothing about its owners and always stays.
 
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tallyloom.llm.shared import prepare, stash
 
 MAX_OWNERS = 2
+# A key in use lies in a few files of its project; what more documents have is an example, even if all of them are of one owner.
+MAX_REPOS = 10
 KEYWORD = "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
 # Kind -> (pattern, group that holds the value, least characters of the value). For access and hex the runs are maximal, so a least length in the pattern finds what
 # a filter behind it would.
@@ -81,7 +83,18 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return by_owner.groupBy("digest").agg(F.sum("repos").alias("n_repos"), F.count("*").alias("n_owners"))
 
 
-def find(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+def is_live(max_owners: int, max_repos: int) -> Column:
+    return (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
+
+
+def values(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
+    """(digest, n_repos, n_owners, live) of every value that a match has: the counts behind the verdicts of `find`."""
+    prepare(docs.sparkSession)
+    each = scan(docs).select("doc_id", "owner", F.explode("found").alias("m")).filter("m.value <> ''")
+    return ownership(each.select("doc_id", "owner", F.sha2("m.value", 256).alias("digest"))).withColumn("live", is_live(max_owners, max_repos))
+
+
+def find(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied) of every document."""
     prepare(docs.sparkSession)
     rows = stash(scan(docs).withColumn("row", F.monotonically_increasing_id()))
@@ -89,7 +102,7 @@ def find(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     candidates = each.select("row", "doc_id", "owner", "m", F.sha2(F.col("m.value"), 256).alias("digest"))
     known = ownership(candidates).withColumnRenamed("digest", "known_digest")
     judged = candidates.join(known, F.col("digest") == F.col("known_digest"))
-    live = (F.col("n_owners") <= max_owners) | (F.col("m.value") == "")
+    live = is_live(max_owners, max_repos) | (F.col("m.value") == "")
     base = F.col("m.kind").isin(*BASE)
     spans = judged.groupBy("row").agg(
         F.collect_list(F.when(base | live, F.col("m"))).alias("all_spans"),
