@@ -1,7 +1,7 @@
 """Personal data found through disguises, with spans in the source text.
 
 Base patterns run on the text as it is. Then transducers rewrite it step by step: look-alike characters to ASCII, invisible characters away, runs of
-spelled digits to digits, and "at"/"dot" in brackets or between words to the signs. A tape keeps for every
+spelled digits to digits, and "at"/"dot" in brackets or between words to the signs. Bare dots count on both sides of an "@" and between the four numbers of an ip. A tape keeps for every
 rewritten character the source characters it stands for, so that what the same patterns find on the tape maps back to source offsets. Spans that only the tape shows are
 added; base spans stay.
 
@@ -109,7 +109,12 @@ BRACKETED = re.compile(rf"\s?[\[({{<]\s?(?:({AT})|({DOT}))\s?[\])}}>]\s?", re.I)
 BARE_AT, BARE_DOTS = "at|arroba", "dot|punto|punkt"
 BARE = re.compile(rf"(?<=[A-Za-z0-9]) (?:{BARE_AT}) (?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)* (?:{BARE_DOTS}) [A-Za-z0-9])", re.I)
 BARE_DOT = re.compile(rf"(?<=[A-Za-z0-9]) (?:{BARE_DOTS}) (?=[A-Za-z0-9])", re.I)
-SAYS_DOT = re.compile(rf"\b(?:{BARE_DOTS})\b|[\[({{<]\s?(?:{AT}|{DOT})\s?[\])}}>]", re.I)
+# Four numbers with a bare dot among their dots; "point" is plain enough there.
+BARE_IP = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:(?:\.| (?:{DOT}) )[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
+IP_DOT = re.compile(rf" (?:{DOT}) ", re.I)
+HOST = re.compile(r"[A-Za-z0-9.-]+")
+DOT_BEHIND, LONGEST_DOT = re.compile(rf" (?:{BARE_DOTS}) \Z", re.I), 2 + max(map(len, BARE_DOTS.split("|")))
+SAYS_DOT = re.compile(rf"\b(?:{BARE_DOTS})\b|(?<=[0-9]) (?:{DOT}) (?=[0-9])|[\[({{<]\s?(?:{AT}|{DOT})\s?[\])}}>]", re.I)
 
 
 def plain_character(c: str) -> str:
@@ -144,6 +149,16 @@ def show_digits(tape: Tape) -> None:
     tape.rewrite([(g.start(), g.end(), "") for g in gaps if tape.changed[g.start() - 1] and tape.changed[g.end()]])
 
 
+def dot_before(text: str, end: int) -> tuple[int, int] | None:
+    """The bare dot before the word of a local part that ends here."""
+    start = end
+    while start and text[start - 1] in LOCAL_PART:
+        start -= 1
+    if start < end and (dot := DOT_BEHIND.search(text, max(0, start - LONGEST_DOT), start)):
+        return BARE_DOT.match(text, dot.start()) and dot.span()
+    return None
+
+
 def show_signs(tape: Tape) -> None:
     tape.rewrite([(m.start(), m.end(), "@" if m.group(1) else ".") for m in BRACKETED.finditer(tape.text)])
     edits = []
@@ -152,12 +167,22 @@ def show_signs(tape: Tape) -> None:
     tape.rewrite(edits)
     dots = []
     for m in re.finditer("@", tape.text):
-        if tape.changed[m.start()]:
-            at = m.end()
-            while (word := re.compile(r"[A-Za-z0-9.-]+").match(tape.text, at)) and (dot := BARE_DOT.match(tape.text, word.end())):
-                dots.append((dot.start(), dot.end(), "."))
-                at = dot.end()
-    tape.rewrite(sorted(set(dots)))
+        at = m.end()
+        while (word := HOST.match(tape.text, at)) and (dot := BARE_DOT.match(tape.text, word.end())):
+            dots.append((dot.start(), dot.end()))
+            at = dot.end()
+        at = m.start()
+        while dot := dot_before(tape.text, at):
+            dots.append(dot)
+            at = dot[0]
+    for m in BARE_IP.finditer(tape.text):
+        dots += [d.span() for d in IP_DOT.finditer(tape.text, m.start(), m.end())]
+    edits, done = [], 0
+    for a, b in sorted(set(dots)):
+        if a >= done:
+            edits.append((a, b, "."))
+            done = b
+    tape.rewrite(edits)
 
 
 def added(text: str, base: list[Span]) -> list[Span]:

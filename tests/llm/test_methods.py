@@ -89,6 +89,15 @@ DISGUISED = [
     ("meet us at example.com or look at Fig.2 about the dot product", []),
     ("il est chez lui point barre", []),
     ("mail eva at mail.example dot org", ["email:5:32"]),
+    ("mail jane@example dot com now", ["email:5:25"]),
+    ("mail jane@mail dot example.org", ["email:5:30"]),
+    ("john dot smith at example dot com", ["email:0:33"]),
+    ("to j dot r dot smith [at] example [dot] com", ["email:3:43"]),
+    ("host 192 dot 168 dot 1 dot 20 up", ["ip:5:29"]),
+    ("host 192.168 dot 1.20 up", ["ip:5:21"]),
+    ("host 192 point 168 point 1 point 20 up", ["ip:5:35"]),
+    ("host 192 dot 168 dot 1 dot 2000, 300 dot 1 dot 1 dot 1", []),
+    ("section 3 dot 1 and the dot 2 dot 1 dot x", []),
     ("one two three apples", []),
     ("look at two, three or four of them", []),
 ]
