@@ -1,7 +1,8 @@
 """Personal data found through disguises, with spans in the source text.
 
 Base patterns run on the text as it is. Then transducers rewrite it step by step: look-alike characters to ASCII, invisible characters away, runs of
-spelled digits to digits, and "at"/"dot" in brackets or between words to the signs. Bare dots count on both sides of an "@" and between the four numbers of an ip. A tape keeps for every
+spelled digits to digits, and "at"/"dot" in brackets or between words to the signs. Bare dots count on both sides of an "@" and between the four numbers of an ip. The separators between spelled
+digits go, but an ip is also looked for where their dots stay. A tape keeps for every
 rewritten character the source characters it stands for, so that what the same patterns find on the tape maps back to source offsets. Spans that only the tape shows are
 added; base spans stay.
 
@@ -11,6 +12,7 @@ Patterns run in linear time on long texts. Repeated rows get equal results; colu
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import re
 import unicodedata
@@ -100,10 +102,15 @@ SIGNS = {"。": ".", "｡": ".", "․": ".", "·": ".", "‐": "-", "‑": "-",
 UNUSUAL = re.compile(r"[^\x00-\x7f¡-¶¸-ſ‘-‟•…€]")
 DIGITS = {word: str(value) for words in ("zero one two three four five six seven eight nine", "null eins zwei drei vier fünf sechs sieben acht neun", "zéro un deux trois quatre cinq six sept huit neuf", "cero uno dos tres cuatro cinco seis siete ocho nueve") for value, word in enumerate(words.split())}
 SPELLED = "|".join(sorted(DIGITS, key=len, reverse=True))
-# Four spelled digits in a row start a run that may hold plain digits and separators too.
-SPELLED_RUN = re.compile(rf"(?:(?:\bplus|\+) ?)?\b(?:(?:{SPELLED})[ ,.-]{{1,2}}){{3}}(?:(?:{SPELLED}|[0-9]+)[ ,.-]{{1,2}})*+(?:{SPELLED}|[0-9]+)?", re.I)
-SPELLED_WORD = re.compile(rf"\b(?:{SPELLED})\b", re.I)
 AT, DOT = "at|arroba|chez", "dot|punto|punkt|point"
+# Digits, spelled or plain, with separators or spoken dots between them.
+DIGIT_GAP = rf"(?:[ ,.-]{{1,2}}| (?:{DOT}) )"
+DIGIT_RUN = re.compile(rf"(?:(?:\bplus|\+) ?)?\b((?:{SPELLED}|[0-9]++)(?:{DIGIT_GAP}(?:{SPELLED}|[0-9]++)\b){{2,}}+)", re.I)
+DIGIT_TOKEN = re.compile(rf"\b(?:({SPELLED})|[0-9]+)\b", re.I)
+SAYS_DIGIT = re.compile(rf"\b(?:{SPELLED})\b", re.I)
+CHANGED_GAP = re.compile(rf"(?<=[0-9]){DIGIT_GAP}(?=[0-9])", re.I)
+# What a run needs: this many spelled digits in a row, or single digits in a row of which one is spelled, or dots for an ip.
+SPELLED_ROW, SINGLE_ROW, IP_DOTS = 3, 4, 3
 BRACKETED = re.compile(rf"\s?[\[({{<]\s?(?:({AT})|({DOT}))\s?[\])}}>]\s?", re.I)
 # Without brackets the words are common, so "at" must be followed by a name and a spoken dot, and only the plainest words count.
 BARE_AT, BARE_DOTS = "at|arroba", "dot|punto|punkt"
@@ -136,17 +143,40 @@ def show_characters(tape: Tape) -> None:
     tape.rewrite([(m.start(), m.end(), new) for m in UNUSUAL.finditer(tape.text) if (new := plain_character(m.group())) != m.group()])
 
 
-def show_digits(tape: Tape) -> None:
+def digit_runs(text: str) -> Iterator[tuple[int, list[re.Match]]]:
+    """Start and tokens of the runs that may be a number in disguise."""
+    for run in DIGIT_RUN.finditer(text):
+        tokens = list(DIGIT_TOKEN.finditer(text, run.start(1), run.end(1)))
+        spelled = single = longest_spelled = longest_single = dots = 0
+        mixed = False
+        for k, t in enumerate(tokens):
+            spelled = spelled + 1 if t.group(1) else 0
+            single = single + 1 if t.group(1) or len(t.group()) == 1 else 0
+            mixed = single > 0 and (mixed or bool(t.group(1)))
+            longest_spelled = max(longest_spelled, spelled)
+            longest_single = max(longest_single, single if mixed else 0)
+            dots += k > 0 and text[tokens[k - 1].end() : t.start()].strip() not in ("", ",", "-", "--", ",-", "-,", ",,")
+        if longest_spelled >= SPELLED_ROW or longest_single >= SINGLE_ROW or (dots >= IP_DOTS and any(t.group(1) for t in tokens)):
+            yield run.start(), tokens
+
+
+def show_digits(tape: Tape) -> Tape | None:
+    """Digits of a run without the gaps between them; if that takes dots away, the tape on which they stay is returned."""
     edits = []
-    for run in SPELLED_RUN.finditer(tape.text):
-        words = list(SPELLED_WORD.finditer(tape.text, run.start(), run.end()))
-        if words[0].start() > run.start():
-            edits.append((run.start(), words[0].start(), "+"))
-        edits += [(w.start(), w.end(), DIGITS[w.group().lower()]) for w in words]
+    for start, tokens in digit_runs(tape.text):
+        if tokens[0].start() > start:
+            edits.append((start, tokens[0].start(), "+"))
+        edits += [(t.start(), t.end(), DIGITS[t.group().lower()] if t.group(1) else t.group()) for t in tokens if t.group(1) or len(t.group()) == 1]
     tape.rewrite(edits)
-    # Between single digits that were spelled, the separators go.
-    gaps = re.finditer(r"(?<=[0-9])[ ,.-]{1,2}(?=[0-9])", tape.text)
-    tape.rewrite([(g.start(), g.end(), "") for g in gaps if tape.changed[g.start() - 1] and tape.changed[g.end()]])
+    # Between single digits that were rewritten, the separators go.
+    gaps = [g for g in CHANGED_GAP.finditer(tape.text) if tape.changed[g.start() - 1] and tape.changed[g.end()]]
+    spoken = [any(c.isalpha() for c in g.group()) for g in gaps]
+    dotted = None
+    if any(s or "." in g.group() for s, g in zip(spoken, gaps)):
+        dotted = copy.copy(tape)
+        dotted.rewrite([(g.start(), g.end(), "." if "." in g.group() else "") for s, g in zip(spoken, gaps) if not s])
+    tape.rewrite([(g.start(), g.end(), "") for g in gaps])
+    return dotted
 
 
 def dot_before(text: str, end: int) -> tuple[int, int] | None:
@@ -185,24 +215,32 @@ def show_signs(tape: Tape) -> None:
     tape.rewrite(edits)
 
 
+def counted(digits: str, source: str) -> bool:
+    """Whether an ip is no ip but four single digits in sentences or lines of their own, as in counting: "one. two. three. four"."""
+    return len(digits) == 7 and re.search(r"\.\s|\s\.", source) is not None
+
+
 def added(text: str, base: list[Span]) -> list[Span]:
     """Spans that only show on the rewritten text."""
     odd = not text.isascii() and UNUSUAL.search(text)
-    spelled, says = SPELLED_RUN.search(text), SAYS_DOT.search(text)
+    spelled, says = SAYS_DIGIT.search(text) and any(digit_runs(text)), SAYS_DOT.search(text)
     if not (odd or spelled or says):
         return []
-    tape = Tape(text)
+    tape, dotted = Tape(text), None
     show_characters(tape)
     if odd or spelled:
-        show_digits(tape)
+        dotted = show_digits(tape)
     if odd or says:
         show_signs(tape)
     if not tape.changed.any() and len(tape.text) == len(text):
         return []
     known = set(base)
     covered = {k: [(a, b) for a, b, kind in base if kind == k] for k in KINDS}
-    found = {(*tape.source(a, b), kind) for a, b, kind in detect(tape.text)} - known
-    return [s for s in found if not any(a <= s[0] and s[1] <= b for a, b in covered[s[2]])]
+    found = {(*tape.source(a, b), kind) for a, b, kind in detect(tape.text)}
+    if dotted is not None:
+        show_signs(dotted)
+        found |= {(*dotted.source(a, b), "ip") for a, b, kind in detect(dotted.text) if kind == "ip" and not counted(dotted.text[a:b], text[slice(*dotted.source(a, b))])}
+    return [s for s in found - known if not any(a <= s[0] and s[1] <= b for a, b in covered[s[2]])]
 
 
 def find(text: str) -> tuple[list[Span], list[Span]]:

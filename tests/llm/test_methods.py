@@ -98,6 +98,17 @@ DISGUISED = [
     ("host 192 point 168 point 1 point 20 up", ["ip:5:35"]),
     ("host 192 dot 168 dot 1 dot 2000, 300 dot 1 dot 1 dot 1", []),
     ("section 3 dot 1 and the dot 2 dot 1 dot x", []),
+    ("host one nine two.one six eight.one.one up", ["ip:5:39"]),
+    ("host one nine two dot one six eight dot one dot two zero up", ["ip:5:56"]),
+    ("host 10.0.0.one", ["ip:5:15"]),
+    ("host 192.168.one.20 and 10 dot zero dot zero dot 1", ["ip:5:19", "ip:24:50"]),
+    ("hôte un neuf deux point un six huit point un point deux", ["ip:5:55"]),
+    ("host １９２.１６８.１.２０ up", ["ip:5:17"]),
+    ("card four 1 one 1 one 1 one 1 one 1 one 1 one 1 one 1 now", ["card:5:53"]),
+    ("card 4 one 1 one 1 one 1 one 1 one 1 one 1 one 1 one", ["card:5:52"]),
+    ("call plus 1 nine 8 seven 6 five 4 three 2 one 0.", ["phone:5:47"]),
+    ("one. two. three. four. five.", []),
+    ("section one 2 and 3.5 or two 4", []),
     ("one two three apples", []),
     ("look at two, three or four of them", []),
 ]
