@@ -1,7 +1,7 @@
 """Benchmark passages in documents: item-sized windows, SimHash fingerprints in Hamming blocks, exact weighted similarity. DataFrame functions only.
 
-Words are lower-cased in A-Z; a shingle is five words. A window has as many words as the benchmark item it may match. Two windows of m shingles each reach
-similarity s only if all but a small share of the item's shingles are in the window, so any window that matters holds one of the item's
+Words are lower-cased in A-Z; a shingle is five words. A window has as many words as the benchmark item it may match, or is the whole of a shorter document. It reaches
+similarity s only if no more than 1 - s of the item's shingles are not in it, so any window that matters holds one of the item's
 rarest shingles (`seeds`): only documents with a seed, and windows around one, get a fingerprint. That loses nothing. Fingerprints of 64 bits are cut into
 RADIUS + 1 blocks; two fingerprints within RADIUS bits agree in a block, so a join on blocks finds them all. What it finds is checked by the weighted Jaccard
 similarity of the shingles, with the number of occurrences as weight. At similarity 0.8 the distance of two fingerprints is 9.7 bits on average with a deviation of 2.9; RADIUS 20 misses less than 1 in 10,000.
@@ -82,12 +82,12 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
 
 
 def seeds(items: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(item_id, seed): the shingle occurrences of each item that the fewest items have, one more than a similar window of the same size can lack."""
+    """(item_id, seed): the shingle occurrences of each item that the fewest items have, one more than a similar window can lack."""
     each = items.select("item_id", "m", F.posexplode("item_shingles").alias("at", "seed"))
     common = each.groupBy("seed").agg(F.count_distinct("item_id").alias("items")).withColumnRenamed("seed", "common_seed")
     ranked = each.join(common, F.col("seed") == F.col("common_seed")).withColumn("place", F.row_number().over(Window.partitionBy("item_id").orderBy("items", "seed", "at")))
-    # shared / (2 m - shared) >= p/100 leaves at most m - 2 p m / (100 + p) occurrences unmatched.
-    return ranked.filter(F.col("place") <= F.floor(F.col("m") - 2 * percent * F.col("m") / (100 + percent) + 1e-9) + 1).select("item_id", "seed").distinct()
+    # A window of n <= m shingles (fewer if the document is shorter) has shared / (m + n - shared) >= p/100 only if shared >= p/100 m, as shared <= n.
+    return ranked.filter(F.col("place") <= F.floor(F.col("m") * (100 - percent) / 100 + 1e-9) + 1).select("item_id", "seed").distinct()
 
 
 def windows(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -104,6 +104,19 @@ def test_leaks(spark, edge):
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in ROWS} - {d for d, _ in got}
 
 
+def test_leaks_of_truncated_items(spark):
+    """Documents shorter than the item, which may lack more of its rarest shingles than a window of its size."""
+    items = [(k, " ".join([f"common{i}" for i in range(13)] + [f"end{k}", f"tail{k}"])) for k in range(3)]
+    items += [(10 + k, " ".join(f"w{k}x{i}" for i in range(n))) for k, n in enumerate((15, 16, 19, 24, 40))]
+    docs = []
+    for _, text in items:
+        words = text.split()
+        docs += [" ".join(words[a : len(words) - b]) for a in range(5) for b in range(5)]
+    rows = list(enumerate(docs))
+    got = decontaminate.leaks(table(spark, [(i, t, "en", "a") for i, t in rows]), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): (r.n_windows, r.start_word, r.similarity) for r in got} == plain.leaks(rows, items)
+
+
 def test_secrets(edge):
     rows = secrets.find(edge).collect()
     assert len(rows) == len(ROWS)
