@@ -10,8 +10,10 @@ one (long runs) by themselves. Equal windows have equal representatives. The win
 the task of that representative, which finds the smallest doc_id of every window. Names are compared by 64 bits and windows by 40 more. A word is
 removed if it lies in a window that also starts in a document with a smaller doc_id, judged on the input.
 
-Windows that several documents of one slice of the input have are settled there: only the smallest document's goes on. So a passage that a third of all documents
-share reaches its task at most once per slice. Representatives are packed by bucket, and the number of buckets grows with the input's partitions.
+Windows that several documents of one slice of the input have are settled there: only the smallest document's goes on. So a window that a third of all documents
+share reaches its task at most once per slice. Windows that share a representative but differ, such as those around a common phrase, are not settled there. Representatives that more than
+HOT_WINDOWS windows have, judged by one document in SAMPLE, are therefore refined by the fingerprint of the window: equal windows still meet, and the group is spread over all buckets. Which
+representatives are refined does not change the result, as all tasks refine the same ones. Representatives are packed by bucket, and the number of buckets grows with the input's partitions.
 
 Words are runs of characters other than ASCII white space, unchanged. Null text has no words; documents shorter than a window lose nothing. Repeated rows (the same doc_id and text) lose nothing to each other, and
 each row is returned. A row without a doc_id takes part in nothing and stays whole. Other columns are ignored; empty tables give empty results.
@@ -33,6 +35,9 @@ from tallyloom.llm.shared import prepare
 SIZE = 50
 # Buckets of representatives per partition of the input.
 BUCKETS = 16
+# Windows of one representative that a task may be given, and the share of documents by which they are counted (one in SAMPLE, by hash of doc_id).
+HOT_WINDOWS = 200_000
+SAMPLE = 16
 FAR = np.int64(1) << np.int64(40)
 # Odd bases of the two range hashes, and their inverses modulo 2**64.
 BASES = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
@@ -186,7 +191,29 @@ def pack(bucket: np.ndarray, key: np.ndarray, doc: np.ndarray, tag: np.ndarray,
         )
 
 
-def packed_windows(docs: DataFrame, size: int, buckets: int) -> DataFrame:
+def hot_representatives(docs: DataFrame, size: int) -> np.ndarray:
+    """Representatives with too many windows for one task, in order: no more than one for each HOT_WINDOWS words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in ragged.slices(batch):
+                key, count = np.unique(representatives(ragged.Texts(part.column("text")), size)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count.astype(np.int64))], ["key", "n"])
+
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
+    counted = sample.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") * SAMPLE > HOT_WINDOWS)
+    return np.sort(np.array([r.key for r in counted.select("key").collect()], np.int64).view(np.uint64))
+
+
+def refined(key: np.ndarray, print_: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """The keys, those of hot representatives told apart by window."""
+    if not len(hot):
+        return key
+    is_hot = hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key
+    return np.where(is_hot, ragged.mix(key ^ ragged.mix(print_)), key)
+
+
+def packed_windows(docs: DataFrame, size: int, buckets: int, hot: np.ndarray) -> DataFrame:
     """Runs of windows by bucket of their representative. Buckets from `buckets` on hold windows that are known to start in a smaller document."""
     names = [c.split()[0] for c in PACKED.split(", ")]
 
@@ -200,6 +227,7 @@ def packed_windows(docs: DataFrame, size: int, buckets: int) -> DataFrame:
                 tags = np.array([tag_of(t.data[a:b].tobytes()) for a, b in zip(t.offsets[:-1].tolist(), t.offsets[1:].tolist())], np.uint32)
                 tag, start = tags[owner], at - t.word_offsets[owner]
                 print_ = Ranges(t.hashes, 1).of(at, at + size) >> np.uint64(24)
+                key = refined(key, print_, hot)
                 later = doc > least_docs(key, print_, doc)
                 rows = []
                 for kept, bucket in ((~later, key % np.uint64(buckets)), (later, np.uint64(buckets) + doc.astype(np.uint64) % np.uint64(buckets))):
@@ -230,7 +258,7 @@ def repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
             doc, tag, start, count = doc[run[head]], tag[run[head]], place[head], np.diff(np.concatenate((head, [len(run)])))
         return pa.table({"doc_id": pa.array(doc), "tag": pa.array(tag.astype(np.int64)), "start": pa.array(start, pa.int32()), "count": pa.array(count, pa.int32())})
 
-    return packed_windows(docs, size, buckets).groupBy("bucket").applyInArrow(settle, "doc_id long, tag long, start int, count int")
+    return packed_windows(docs, size, buckets, hot_representatives(docs, size)).groupBy("bucket").applyInArrow(settle, "doc_id long, tag long, start int, count int")
 
 
 def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:

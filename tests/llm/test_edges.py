@@ -85,6 +85,23 @@ def test_near_duplicates_without_an_id(edge):
     assert near_dedup.near_duplicates(edge).count() == len(ROWS)
 
 
+def test_windows_around_a_common_phrase_are_spread(spark, monkeypatch):
+    phrase = "all rights reserved by the owner of this site"
+    rows = [(i, " ".join([*(f"a{i % 150}x{k}" for k in range(12)), phrase, *(f"b{i % 150}x{k}" for k in range(12))])) for i in range(300)]
+    docs = table(spark, [(i, t, "en", "a") for i, t in rows]).repartition(3)
+    texts = docs.select("doc_id", "text")
+    largest = lambda hot: max(len(r.prints) // 5 for r in substring_dedup.packed_windows(texts, 13, 64, hot).filter("bucket < 64").groupBy("bucket").agg(F.expr("array_join(collect_list(hex(prints)), '') as prints")).selectExpr("unhex(prints) as prints").collect())
+    assert len(substring_dedup.hot_representatives(texts, 13)) == 0
+    before = largest(substring_dedup.hot_representatives(texts, 13))
+    monkeypatch.setattr(substring_dedup, "SAMPLE", 1)
+    monkeypatch.setattr(substring_dedup, "HOT_WINDOWS", 500)
+    hot = substring_dedup.hot_representatives(texts, 13)
+    assert len(hot) and largest(hot) < before / 3
+    got = substring_dedup.remove_repeats(docs, 13).collect()
+    want = plain.without_repeats(rows, 13)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in got} == {i: want[(i, t)] for i, t in rows} and sum(r.n_removed for r in got)
+
+
 @pytest.mark.parametrize("size", [3, 13, 50])
 def test_passages(edge, size):
     rows = [(i, t) for i, t in ROWS if i is not None]
