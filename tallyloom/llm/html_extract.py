@@ -34,6 +34,8 @@ ASIDE_NAMES = frozenset(
     "disqus footer form header login masthead menu modal nav navbar navigation newsletter notice notification pager pagination popup promo promoted related replies "
     "reply respond search share sharing sidebar signup social sponsor sponsored subscribe tags toolbar widget".split()
 )
+# A name like "content-with-sidebar" or "no-comments" says what is beside its holder, or is not: what follows these words is no hint.
+BESIDE = frozenset("has have with without no hide hides".split())
 SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HOLDERS = frozenset("div ul ol dl table article section main body html nav aside footer header form blockquote".split())
@@ -73,14 +75,38 @@ def hinted(name: str, attributes: str, article: int) -> bool:
         return False
     named = " ".join("".join(m) for m in NAMES.findall(attributes)).lower()
     # Compound names of the large holders ("comments-open") say what they have, not what they are.
-    words = set(named.split() if name in ("article", "main", "section") else re.split(r"[^a-z]+", named))
+    words = set(named.split() if name in ("article", "main", "section") else (w for n in named.split() for w in own_words(n)))
     return bool(words & ASIDE_NAMES - ({"header"} if article else set()))
 
 
+def own_words(compound: str) -> list[str]:
+    """Words of a compound name, up to one that says what is beside its holder."""
+    words = re.split(r"[^a-z]+", compound)
+    return words[: next((k for k, w in enumerate(words) if w in BESIDE), len(words))]
+
+
 def blocks(page: str) -> list[Block]:
-    """Blocks in page order, those without words left out."""
+    """Blocks in page order, those without words left out. A name is no hint if its element turns out to hold the main text."""
+    found, holders = cut(page, frozenset())
+    if holders:
+        # A main that is free now may show that an article in it is not.
+        found, more = cut(page, holders)
+        if more:
+            found, _ = cut(page, holders | more)
+    return found
+
+
+def cut(page: str, holders: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
+    """Blocks, if the names of the elements that start at `holders` are no hints, and the elements whose names should be none.
+
+    These are the elements round every <main>, or else those round the first <article> if no <main> or <article> has text outside of such elements. Later articles may be comments or
+    related pages. Menus, footers and the like, which the tag says, stay what they are.
+    """
     found: list[Block] = []
     open_tags: list[tuple[str, int, int]] = []  # name, inside an article, inside another part
+    hints: list[tuple[int, int]] = []  # open elements set aside by their names only: depth and place
+    round_main: set[int] = set()
+    round_article: set[int] | None = None
     current: Block | None = None
     links = 0
 
@@ -88,6 +114,8 @@ def blocks(page: str) -> list[Block]:
         nonlocal links
         links -= sum(t[0] == "a" for t in open_tags[at:])
         del open_tags[at:]
+        while hints and hints[-1][0] >= at:
+            hints.pop()
 
     def put(text: str) -> None:
         nonlocal current
@@ -140,11 +168,25 @@ def blocks(page: str) -> list[Block]:
                 if open_tags[k][0] in HOLDERS:
                     break
         _, article, aside = open_tags[-1] if open_tags else ("", 0, 0)
-        aside = int(aside or name in ASIDE or (name == "header" and not article) or hinted(name, attributes, article))
+        if name in ("article", "main"):
+            round_this, by_tag = {place for _, place in hints}, any(t[0] in ASIDE or (t[0] == "header" and not t[1]) for t in open_tags)
+            if round_this and not by_tag:
+                if name == "main":
+                    round_main |= round_this
+                elif round_article is None:
+                    round_article = round_this
+        other = name in ASIDE or (name == "header" and not article)
+        if not other and tag.start() not in holders and hinted(name, attributes, article):
+            hints.append((len(open_tags), tag.start()))
+            other = True
+        aside = int(aside or other)
         article = int(article or name in ("article", "main"))
         open_tags.append((name, article, aside))
         links += name == "a"
-    return [b for b in found if "".join(b.pieces).strip()]
+    found = [b for b in found if "".join(b.pieces).strip()]
+    if round_article and not round_main and not any(b.article and not b.aside and not b.heading for b in found):
+        round_main = round_article
+    return found, frozenset(round_main)
 
 
 def features(page: list[Numbers]) -> list[list[float]]:

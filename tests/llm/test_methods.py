@@ -254,6 +254,24 @@ def test_parts_of_a_page(spark):
     assert html_extract.main_text(PAGE, tree) == "A heading & more First bold paragraph with a link and a break. Second <one>, unclosed"
 
 
+@pytest.mark.parametrize("names", ["has-sidebar", "content-with-sidebar", "no-comments", "search-results", "layout sidebar-right"])
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_wrapper_named_after_another_part(spark, names, tag):
+    tree = html_extract.train(spark)
+    text = "A paragraph of a good many words that goes on for a while and says what there is to say about it all. "
+    comments = f'<div id="comments" class="comments-area"><article class="comment-body"><p>{text}</p></article></div>'
+    page = f'<nav><article><a href=1>Home</a></article></nav><div class="{names}"><{tag}><h1>Title</h1><p>{text * 2}</p><p>{text}</p></{tag}>{comments if tag == "article" else ""}</div>'
+    assert html_extract.main_text(page, tree) == f"Title {text * 3}".strip()
+    assert html_extract.main_text(f'<main><h1>Title</h1><div class="{names}"><article><p>{text * 3}</p></article></div></main>', tree) == f"Title {text * 3}".strip()
+
+
+def test_articles_beside_the_main_one(spark):
+    tree = html_extract.train(spark)
+    text = "A paragraph of a good many words that goes on for a while and says what there is to say about it all."
+    page = f'<div class="sidebar"><article><p>{text}</p></article></div><article><p>{text} So.</p></article><div class="comments"><article><p>{text}</p></article></div>'
+    assert html_extract.main_text(page, tree) == f"{text} So."
+
+
 def test_page_without_an_article(spark):
     tree = html_extract.train(spark)
     text = "A paragraph of a good many words that goes on for a while and says what there is to say about it all. " * 3
