@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, checks, decontaminate, html_extract, near_dedup, pii, quality_classifier, quality_rules, secrets, substring_dedup, token_counts
+from tallyloom.llm import bpe, checks, checks_structure, conversations, decontaminate, hard_negatives, html_extract, language, near_dedup, pii, quality_classifier, quality_rules, secrets, substring_dedup, token_counts
 from tallyloom.llm.shared import documents, prepare
 
 
@@ -58,6 +58,20 @@ def credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(documents(spark, sf_dir))
 
 
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predicted(documents(spark, sf_dir))
+
+
+def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.whole_numbers(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_quality_rules": quality,
     "op2_pii_spans": personal_data,
@@ -69,6 +83,9 @@ QUERIES = {
     "op8_bpe_round_trip": encoding,
     "op9_benchmark_leaks": benchmark_leaks,
     "op10_secrets": credentials,
+    "op11_language": languages,
+    "op12_hard_negatives": negatives,
+    "op13_conversations": structure,
 }
 # The others read trained models, vocabularies or markup; their tests compare them with plain versions.
 ORACLE = {
@@ -77,4 +94,7 @@ ORACLE = {
     "op6_substring_dedup": checks.PASSAGES,
     "op9_benchmark_leaks": checks.LEAKS,
     "op10_secrets": checks.SECRETS,
+    "op11_language": checks_structure.LANGUAGE,
+    "op12_hard_negatives": checks_structure.NEGATIVES,
+    "op13_conversations": checks_structure.CONVERSATIONS,
 }
