@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tallyloom.llm import ragged
 from tallyloom.llm.shared import prepare
 
 Span = tuple[int, int, str]
@@ -95,11 +96,11 @@ class Tape:
         return int(self.begin[start]), int(self.end[stop - 1])
 
 
-# Letters of other scripts that look like ASCII ones.
-LOOKALIKES = dict(zip("аеорсухіјѕԁԛԝһӏАВЕКМНОРСТХІЈЅοανρτυιΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdqwhlABEKMHOPCTXIJSoavptuiABEZHIKMNOPTYX"))
+# Letters that look like ASCII ones: of other scripts, and the Latin ones that a match without regard to case takes for i and s.
+LOOKALIKES = dict(zip("аеорсухіјѕԁԛԝһӏАВЕКМНОРСТХІЈЅοανρτυιΑΒΕΖΗΙΚΜΝΟΡΤΥΧıİſ", "aeopcyxijsdqwhlABEKMHOPCTXIJSoavptuiABEZHIKMNOPTYXiIs"))
 SIGNS = {"。": ".", "｡": ".", "․": ".", "·": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "﹫": "@"}
 # Characters that cannot be part of a disguise: ASCII, accented Latin letters and common typographic signs.
-UNUSUAL = re.compile(r"[^\x00-\x7f¡-¶¸-ſ‘-‟•…€]")
+UNUSUAL = re.compile(r"[^\x00-\x7f¡-¶¸-įĲ-ž‘-‟•…€]")
 DIGITS = {word: str(value) for words in ("zero one two three four five six seven eight nine", "null eins zwei drei vier fünf sechs sieben acht neun", "zéro un deux trois quatre cinq six sept huit neuf", "cero uno dos tres cuatro cinco seis siete ocho nueve") for value, word in enumerate(words.split())}
 SPELLED = "|".join(sorted(DIGITS, key=len, reverse=True))
 AT, DOT = "at|arroba|chez", "dot|punto|punkt|point"
@@ -166,7 +167,7 @@ def show_digits(tape: Tape) -> Tape | None:
     for start, tokens in digit_runs(tape.text):
         if tokens[0].start() > start:
             edits.append((start, tokens[0].start(), "+"))
-        edits += [(t.start(), t.end(), DIGITS[t.group().lower()] if t.group(1) else t.group()) for t in tokens if t.group(1) or len(t.group()) == 1]
+        edits += [(t.start(), t.end(), DIGITS.get(t.group().lower(), t.group())) for t in tokens if t.group(1) or len(t.group()) == 1]
     tape.rewrite(edits)
     # Between single digits that were rewritten, the separators go.
     gaps = [g for g in CHANGED_GAP.finditer(tape.text) if tape.changed[g.start() - 1] and tape.changed[g.end()]]
@@ -272,11 +273,12 @@ def spans(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [find(t.as_py() or "") for t in batch.column("text")]
-            numbers = [pa.array([sum(s[2] == k for s in base) for base, _ in found], pa.int64()) for k in KINDS]
-            more = pa.array([len(every) - len(base) for base, every in found], pa.int64())
-            digests = pa.array([hashlib.sha256(shown(base).encode()).hexdigest() for base, _ in found], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *numbers, digests, pa.array([shown(every) for _, every in found], pa.string()), more], names)
+            for part in ragged.slices(batch):
+                found = [find(t or "") for t in part.column("text").to_pylist()]
+                numbers = [pa.array([sum(s[2] == k for s in base) for base, _ in found], pa.int64()) for k in KINDS]
+                more = pa.array([len(every) - len(base) for base, every in found], pa.int64())
+                digests = pa.array([hashlib.sha256(shown(base).encode()).hexdigest() for base, _ in found], pa.string())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *numbers, digests, pa.array([shown(every) for _, every in found], pa.string()), more], names)
 
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {', '.join(f'{c} long' for c in counts)}, base_sha256 string, spans string, n_added long")
 
@@ -288,10 +290,11 @@ def redact(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if t is None else hide(t, find(t)[1]) for t in batch.column("text").to_pylist()]
-            columns = {n: c for n, c in zip(batch.schema.names, batch.columns)} | {"text": pa.array(texts, pa.string())}
-            if "n_chars" in columns:
-                columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], batch.schema.field("n_chars").type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            for part in ragged.slices(batch):
+                texts = [None if t is None else hide(t, find(t)[1]) for t in part.column("text").to_pylist()]
+                columns = {n: c for n, c in zip(part.schema.names, part.columns)} | {"text": pa.array(texts, pa.string())}
+                if "n_chars" in columns:
+                    columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], part.schema.field("n_chars").type)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return docs.mapInArrow(run, schema)

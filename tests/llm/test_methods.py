@@ -120,6 +120,34 @@ def test_disguises(text, want):
     assert pii.shown([s for s in every if s not in base]).split(",") == (want or [""])
 
 
+FOLDED = {"s": "ſ", "i": "ıİ", "k": "\u212a"}
+
+
+@pytest.mark.parametrize("word", sorted(pii.DIGITS))
+def test_letters_that_case_folds_into_digit_words(word):
+    for k, letter in enumerate(word):
+        for other in [letter.upper(), *FOLDED.get(letter, "")]:
+            odd = word[:k] + other + word[k + 1 :]
+            digit = pii.DIGITS[word]
+            text = f"call + {odd} one two three four five six seven eight nine now"
+            base, every = pii.find(text)
+            assert not base and pii.shown(every) == f"phone:5:{len(text) - 4}", (odd, digit)
+
+
+@pytest.mark.parametrize("text", ["ſeven one two three four", "call sıx six six six", "FİVE five five five", "ſix dot one dot two dot three", "null eıns zwei drei vier"])
+def test_old_letters_do_not_raise(text):
+    pii.find(text)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from([*pii.DIGITS, " ", " dot ", " at ", "@", ".", "+", "-", "ſ", "ı", "İ", "ß", "K", "[at]", "(dot)", "1", "23", "\u200b"]), st.characters(codec="utf-8"))).map("".join))
+def test_any_text_has_spans_within(text):
+    base, every = pii.find(text)
+    assert set(base) <= set(every) and base == pii.detect(text)
+    assert all(0 <= a < b <= len(text) and kind in pii.KINDS for a, b, kind in every)
+    assert pii.hide(text, every).count("[") >= text.count("[") - sum(text[a:b].count("[") for a, b, _ in every)
+
+
 @QUICK
 @given(TEXT, TEXT)
 def test_tape_maps_back(before, after):
