@@ -114,8 +114,11 @@ WHERE length(values_[k]) >= {least}"""
 SECRETS = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source AS owner, coalesce(text, '') AS t FROM documents),
 found AS ({" UNION ALL ".join(map(_found, secrets.KINDS))}),
-owners AS (SELECT value, count(*) AS n FROM (SELECT DISTINCT value, owner FROM found) GROUP BY value),
-judged AS (SELECT found.*, rank < {len(secrets.BASE)} AS base, owners.n <= {secrets.MAX_OWNERS} AS live FROM found JOIN owners USING (value)),
+owners AS (
+  SELECT value, count(*) AS n_owners, sum(repos) AS n_repos
+  FROM (SELECT value, owner, count(*) AS repos FROM (SELECT DISTINCT value, owner, doc_id FROM found) GROUP BY ALL) GROUP BY value),
+judged AS (
+  SELECT found.*, rank < {len(secrets.BASE)} AS base, value = '' OR n_owners <= {secrets.MAX_OWNERS} AND n_repos <= {secrets.MAX_REPOS} AS live FROM found JOIN owners USING (value)),
 spans AS (
   SELECT rid, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secrets.BASE)},
     count(*) FILTER (base AND live) AS n_live, count(*) FILTER (base AND NOT live) AS n_copied,

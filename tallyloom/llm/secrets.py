@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyloom.llm.shared import prepare, stash
 
@@ -45,35 +46,33 @@ ADDED = {
 KINDS = [*BASE, *ADDED]
 
 
-def matches(text: Column, kind: str) -> Column:
-    """array<struct<start, end, kind, value>> of one kind, in text order."""
-    pattern, group, least = (BASE | ADDED)[kind]
+def pieces(text: Column, kind: str) -> Column:
+    """array<struct<at, kind, gap, size, value>>: every match of a kind with its number, the characters between it and the match before, its own, and its value."""
+    pattern, group, _ = (BASE | ADDED)[kind]
     whole, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,kind:string,value:string>>")
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("found"))
-
-    def step(state: Column, item: Column) -> Column:
-        start = state["at"] + F.length(item["gap"])
-        end = start + F.length(item["whole"])
-        row = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), item["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(row)).alias("found"))
-
-    items = F.transform(whole, lambda w, i: F.struct(F.element_at(gaps, i + 1).alias("gap"), w.alias("whole"), F.element_at(values, i + 1).alias("value")))
-    found = F.aggregate(items, first, step, lambda s: s["found"])
-    return F.when(text.rlike(pattern), F.filter(found, lambda m: F.length(m["value"]) >= least)).otherwise(empty)
-
-
-def in_order(spans: Column) -> Column:
-    """Spans by start, and then kind as listed."""
-    ranked = F.transform(spans, lambda s: F.struct(s["start"], F.array_position(F.array(*map(F.lit, KINDS)), s["kind"]).alias("rank"), s["end"], s["kind"]))
-    return F.transform(F.array_sort(ranked), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    # Zipped, so that no lambda holds an expression over the text, which would run once per match. There is a gap more than matches.
+    zipped = F.arrays_zip(whole, gaps, values)  # fields are named by number
+    rows = F.transform(zipped, lambda x, i: F.struct(i.alias("at"), F.lit(kind).alias("kind"), F.length(x["1"]).alias("gap"), F.length(x["0"]).alias("size"), x["2"].alias("value")))
+    empty = F.array().cast("array<struct<at:int,kind:string,gap:int,size:int,value:string>>")
+    return F.when(text.rlike(pattern), F.filter(rows, lambda x: x["size"].isNotNull())).otherwise(empty)
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """One row per document, without its text: doc_id, owner, and all matches."""
+    """One row per document, without its text: row, doc_id, owner, and what its matches are measured by. Written, so that a row keeps its number."""
     docs = docs.select("doc_id", F.col("source").alias("owner"), F.coalesce("text", F.lit("")).alias("text"))
-    return docs.select("doc_id", "owner", F.concat(*(matches(F.col("text"), k) for k in KINDS)).alias("found"))
+    found = F.concat(*(pieces(F.col("text"), k) for k in KINDS))
+    return stash(docs.select("doc_id", "owner", found.alias("found")).withColumn("row", F.monotonically_increasing_id()))
+
+
+def matches(rows: DataFrame) -> DataFrame:
+    """(row, doc_id, owner, kind, start, end, value, digest) of every match. Offsets are running sums of a document's gaps and matches, so their cost is in proportion to the matches."""
+    each = rows.filter(F.size("found") > 0).select("row", "doc_id", "owner", F.explode("found").alias("m")).select("row", "doc_id", "owner", "m.*")
+    before = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = each.withColumn("end", F.sum(F.col("gap").cast("long") + F.col("size")).over(before)).withColumn("start", F.col("end") - F.col("size"))
+    least = F.create_map(*(F.lit(x) for k in KINDS for x in (k, (BASE | ADDED)[k][2])))
+    kept = placed.filter(F.length("value") >= least[F.col("kind")])
+    return kept.select("row", "doc_id", "owner", "kind", "start", "end", "value", F.sha2("value", 256).alias("digest"))
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
@@ -90,32 +89,26 @@ def is_live(max_owners: int, max_repos: int) -> Column:
 def values(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """(digest, n_repos, n_owners, live) of every value that a match has: the counts behind the verdicts of `find`."""
     prepare(docs.sparkSession)
-    each = scan(docs).select("doc_id", "owner", F.explode("found").alias("m")).filter("m.value <> ''")
-    return ownership(each.select("doc_id", "owner", F.sha2("m.value", 256).alias("digest"))).withColumn("live", is_live(max_owners, max_repos))
+    return ownership(matches(scan(docs)).filter("value <> ''").select("doc_id", "owner", "digest")).withColumn("live", is_live(max_owners, max_repos))
 
 
 def find(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied) of every document."""
     prepare(docs.sparkSession)
-    rows = stash(scan(docs).withColumn("row", F.monotonically_increasing_id()))
-    each = rows.filter(F.size("found") > 0).select("row", "doc_id", "owner", F.explode("found").alias("m"))
-    candidates = each.select("row", "doc_id", "owner", "m", F.sha2(F.col("m.value"), 256).alias("digest"))
+    rows = scan(docs)
+    candidates = stash(matches(rows))
     known = ownership(candidates).withColumnRenamed("digest", "known_digest")
     judged = candidates.join(known, F.col("digest") == F.col("known_digest"))
-    live = is_live(max_owners, max_repos) | (F.col("m.value") == "")
-    base = F.col("m.kind").isin(*BASE)
-    spans = judged.groupBy("row").agg(
-        F.collect_list(F.when(base | live, F.col("m"))).alias("all_spans"),
-        F.sum((base & live).cast("long")).alias("live"),
-        F.sum((base & ~live).cast("long")).alias("copied"),
-    )
-    spans = spans.select(F.col("row").alias("span_row"), "all_spans", "live", "copied")
-    joined = rows.join(spans, F.col("row") == F.col("span_row"), "left")
-    count = lambda k: F.size(F.filter("found", lambda m: m["kind"] == k)).cast("long")
-    kept = F.filter("found", lambda m: m["kind"].isin(*BASE))
-    return joined.select(
-        "doc_id", *(count(k).alias(f"n_{k}") for k in BASE),
-        F.sha2(F.array_join(in_order(kept), ","), 256).alias("base_sha256"),
-        F.coalesce(F.array_join(in_order(F.col("all_spans")), ","), F.lit("")).alias("spans"),
-        F.coalesce("live", F.lit(0).cast("long")).alias("n_live"), F.coalesce("copied", F.lit(0).cast("long")).alias("n_copied"),
+    live = is_live(max_owners, max_repos) | (F.col("value") == "")
+    base, rank = F.col("kind").isin(*BASE), F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
+    span = F.struct("start", rank.alias("rank"), "end", "kind")
+    in_order = lambda kept: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(kept, span))), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    spans = judged.groupBy(F.col("row").alias("span_row")).agg(
+        *(F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in BASE),
+        in_order(base).alias("base_spans"), in_order(base | live).alias("spans"),
+        F.sum((base & live).cast("long")).alias("n_live"), F.sum((base & ~live).cast("long")).alias("n_copied"),
     )
+    joined = rows.select("row", "doc_id").join(spans, F.col("row") == F.col("span_row"), "left")
+    count = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    text = lambda c: F.coalesce(c, F.lit(""))
+    return joined.select("doc_id", *(count(f"n_{k}") for k in BASE), F.sha2(text("base_spans"), 256).alias("base_sha256"), text("spans").alias("spans"), count("n_live"), count("n_copied"))
