@@ -6,7 +6,8 @@ sum(i<j) <v_i, v_j> x_i x_j = (|sum v_i x_i|^2 - sum |v_i|^2 x_i^2) / 2 a score
 
 The machine is fitted on at most SAMPLE labelled documents, taken by hash of doc_id so that the choice is the same in any run; held-out documents are never among them.
 Scoring covers whole texts. Null and empty texts have no words and are scored by the rest. Rows with null labels or ids are not learned from; a document labelled more than once
-counts with its lowest label. With no labels of both kinds at all every score is the share of label 1, or 0.5. Repeated rows get equal scores; extra columns pass through, columns named like results are replaced.
+counts with its lowest label. With no labels of both kinds at all every score is the share of label 1, or 0.5. Repeated rows get equal scores; extra columns pass through. `score` and `classify` replace
+columns named like their results, `accepted` returns all columns as they came.
 """
 
 from __future__ import annotations
@@ -158,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
                 lists = [pa.ListArray.from_arrays(bounds, pa.array(v)) for v in (x.at.astype(np.int32), x.value.astype(np.float32))]
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("quality").cast(pa.int32()), *lists], ["doc_id", "label", "at", "value"])
 
-    table = rows.mapInArrow(run, "doc_id long, label int, at array<int>, value array<float>").toArrow().combine_chunks()
+    table = rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int, at array<int>, value array<float>").toArrow().combine_chunks()
     # A fixed order, and one row per id, makes the fit the same whatever the partitions.
     frame = table.select(["doc_id", "label"]).to_pandas().reset_index().sort_values(["doc_id", "label", "index"]).drop_duplicates("doc_id")
     table = table.take(pa.array(frame["index"].to_numpy()))
@@ -186,6 +187,15 @@ def score(docs: DataFrame, machine: Machine, columns: list[str] | None = None) -
     return docs.mapInArrow(run, schema)
 
 
+def accepted(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+    """The documents that are scored at the cut or above, with the columns they came with, whatever their names."""
+    kept = docs.columns
+    named = docs.toDF(*(f"_kept_{k}" for k in range(len(kept))))
+    inner = [F.col(f"_kept_{kept.index(c)}").alias(c) for c in ("text", "n_chars")]
+    scored = score(named.select("*", *inner), train(docs, labels), named.columns)
+    return scored.filter(F.col("score") >= cut).drop("score").toDF(*kept)
+
+
 def classify(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None, cut: float = CUT) -> DataFrame:
     """The named columns with `score` and `predicted` (1 from the cut on)."""
     return score(docs, train(docs, labels), columns).withColumn("predicted", (F.col("score") >= cut).cast("int"))
