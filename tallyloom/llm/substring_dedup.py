@@ -7,7 +7,7 @@ the interior of equal passages has equal symbols whatever stands around them.
 
 A window of `size` words is represented by its highest symbol whose context takes at most half of the window, the least hash among equals; the few windows without
 one (long runs) by themselves. Equal windows have equal representatives. The windows that share a representative travel together, with a fingerprint each, to
-the task of that representative, which finds the smallest doc_id of every window. Names are compared by 64 bits and windows by 40 more. A word is
+the task of that representative, which finds the smallest doc_id of every window. Windows in one task are told apart by 32 bits of the representative and 64 of another hash. A word is
 removed if it lies in a window that also starts in a document with a smaller doc_id, judged on the input.
 
 Windows that several documents of one slice of the input have are settled there: only the smallest document's goes on. So a window that a third of all documents
@@ -38,6 +38,8 @@ BUCKETS = 16
 # Windows of one representative that a task may be given, and the share of documents by which they are counted (one in SAMPLE, by hash of doc_id).
 HOT_WINDOWS = 200_000
 SAMPLE = 16
+# Slots of the bitmap of hot representatives (1 MiB), and bytes of a page of it. Slots that fill up only spread more windows.
+HOT_SLOTS, PAGE = 1 << 23, 4096
 FAR = np.int64(1) << np.int64(40)
 # Odd bases of the two range hashes, and their inverses modulo 2**64.
 BASES = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
@@ -165,16 +167,6 @@ def least_docs(key: np.ndarray, print_: np.ndarray, doc: np.ndarray) -> np.ndarr
     return out
 
 
-def five_bytes(values: np.ndarray) -> bytes:
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-
-
-def from_five_bytes(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // 5, 8), np.uint8)
-    wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    return wide.view("<u8").ravel()
-
-
 def pack(bucket: np.ndarray, key: np.ndarray, doc: np.ndarray, tag: np.ndarray, start: np.ndarray, print_: np.ndarray) -> Iterator[tuple]:
     """One row per bucket: its runs of windows, column by column."""
     heads = runs_of(doc, tag, start, key)
@@ -186,13 +178,18 @@ def pack(bucket: np.ndarray, key: np.ndarray, doc: np.ndarray, tag: np.ndarray,
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         h, n = heads[a:b], counts[a:b]
         yield (
-            int(number[a]), key[h].astype("<u8").tobytes(), doc[h].astype("<i8").tobytes(), tag[h].astype("<u4").tobytes(),
-            start[h].astype("<u4").tobytes(), n.astype("<u2").tobytes(), five_bytes(ragged.take_ranges(print_, h, n)),
+            int(number[a]), (key[h] >> np.uint64(32)).astype("<u4").tobytes(), doc[h].astype("<i8").tobytes(), tag[h].astype("<u4").tobytes(),
+            start[h].astype("<u4").tobytes(), n.astype("<u2").tobytes(), ragged.take_ranges(print_, h, n).astype("<u8").tobytes(),
         )
 
 
+def window_prints(t: ragged.Texts, at: np.ndarray, size: int) -> np.ndarray:
+    """64-bit fingerprint of each window, of another hash than the representatives'."""
+    return Ranges(t.hashes, 1).of(at, at + size)
+
+
 def hot_representatives(docs: DataFrame, size: int) -> np.ndarray:
-    """Representatives with too many windows for one task, in order: no more than one for each HOT_WINDOWS words."""
+    """Bitmap of HOT_SLOTS bits that has the slots of all representatives with too many windows for one task; empty if there are none. At most HOT_SLOTS / 8 bytes reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,14 +199,22 @@ def hot_representatives(docs: DataFrame, size: int) -> np.ndarray:
 
     sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
     counted = sample.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") * SAMPLE > HOT_WINDOWS)
-    return np.sort(np.array([r.key for r in counted.select("key").collect()], np.int64).view(np.uint64))
+    slot = F.col("key").bitwiseAND(F.lit(HOT_SLOTS - 1)) + 1  # Spark's bitmaps begin with 1
+    pages = counted.groupBy(F.bitmap_bucket_number(slot).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+    if not pages:
+        return np.zeros(0, np.uint8)
+    bitmap = np.zeros((HOT_SLOTS // 8 // PAGE, PAGE), np.uint8)
+    for row in pages:
+        bitmap[row.page - 1] = np.frombuffer(row.bits, np.uint8)
+    return bitmap.ravel()
 
 
 def refined(key: np.ndarray, print_: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """The keys, those of hot representatives told apart by window."""
+    """The keys, those of hot representatives (and of some others that share their slots) told apart by window."""
     if not len(hot):
         return key
-    is_hot = hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key
+    slot = (key & np.uint64(HOT_SLOTS - 1)).astype(np.int64)
+    is_hot = (hot[slot // 8] >> (slot % 8).astype(np.uint8)) & 1 == 1
     return np.where(is_hot, ragged.mix(key ^ ragged.mix(print_)), key)
 
 
@@ -226,7 +231,7 @@ def packed_windows(docs: DataFrame, size: int, buckets: int, hot: np.ndarray) ->
                 doc = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[owner]
                 tags = np.array([tag_of(t.data[a:b].tobytes()) for a, b in zip(t.offsets[:-1].tolist(), t.offsets[1:].tolist())], np.uint32)
                 tag, start = tags[owner], at - t.word_offsets[owner]
-                print_ = Ranges(t.hashes, 1).of(at, at + size) >> np.uint64(24)
+                print_ = window_prints(t, at, size)
                 key = refined(key, print_, hot)
                 later = doc > least_docs(key, print_, doc)
                 rows = []
@@ -249,7 +254,7 @@ def repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
         doc, tag, start, count = column("docs", "<i8"), column("tags", "<u4"), column("starts", "<u4").astype(np.int64), column("counts", "<u2").astype(np.int64)
         if table.column("bucket")[0].as_py() < buckets:
             run = np.repeat(np.arange(len(count)), count)
-            key, prints = column("keys", "<u8")[run], from_five_bytes(b"".join(table.column("prints").to_pylist()))
+            key, prints = column("keys", "<u4")[run], column("prints", "<u8")
             place = start[run] + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
             owner = doc[run]
             later = owner > least_docs(key, prints, owner)
