@@ -19,8 +19,7 @@ from tallyloom.llm.shared import prepare, stash
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     labels = prepare(spark).read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality_classifier.classify(docs, labels)
-    return scored.filter("predicted = 1").select(*docs.columns)
+    return quality_classifier.accepted(docs, labels)
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
