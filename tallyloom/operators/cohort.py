@@ -29,9 +29,19 @@ def cohort_retention(counts: DataFrame) -> DataFrame:
 
 
 def cohort_matrix(retention: DataFrame, value: str = "retention_pct") -> DataFrame:
-    """One row per cohort and one column for every elapsed month that occurs.
+    """One row per cohort with an array of its values for every elapsed month, from 0 to the last that any cohort has; NULL where a month has none.
 
-    The months become columns, so they are listed first; the counts are written once and read for the list and for the matrix.
+    The schema does not depend on the data. A cohort's cells are one aggregate, bounded by the number of months; the last month is a scalar of the same counts,
+    which are written once, as both read them.
     """
-    counted = cut_lineage(retention.withColumn("_month", F.concat(F.lit("month_"), F.col("months_elapsed").cast("string"))))
-    return counted.groupBy("cohort_month").pivot("_month").agg(F.first(value))
+    counted = cut_lineage(retention.select("cohort_month", "months_elapsed", value))
+    last = counted.agg(F.coalesce(F.max("months_elapsed"), F.lit(0))).scalar()
+    cells = counted.groupBy("cohort_month").agg(F.map_from_entries(F.collect_list(F.struct("months_elapsed", value))).alias("_cells"))
+    spine = cells.withColumn("_months", F.sequence(F.lit(0), last.cast("int")))
+    return spine.select("cohort_month", F.transform("_months", lambda m: F.try_element_at("_cells", m)).alias("cells"))
+
+
+def shown_cells(matrix: DataFrame, gap: str = "-") -> DataFrame:
+    """The matrix as lines of text, one per cohort."""
+    text = F.transform("cells", lambda c: F.coalesce(c.cast("string"), F.lit(gap)))
+    return matrix.select("cohort_month", F.size("cells").alias("months"), F.array_join(text, " ").alias("cells"))

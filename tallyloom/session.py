@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,8 +67,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared folder once, so later passes read it instead of recomputing it."""
-    use_shared_checkpoints(df.sparkSession)
-    # The setting is read at each checkpoint, so it also holds on a session that somebody else made: files of a frame that is no longer held are deleted.
-    df.sparkSession.sparkContext._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-    return df.checkpoint(eager=True)
+    """Write the frame once as Parquet in the shared folder and read it back: later passes read columns of files, and only those they need, instead of recomputing rows.
+
+    Rows are not read in the order or the partitions they were written in; what depends on either has to be a column. The files stay until `drop_written`.
+    """
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete all that `cut_lineage` has written in this application; frames made from it can no longer be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/cut-*")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in files.globStatus(path) or ():
+        files.delete(found.getPath(), True)
