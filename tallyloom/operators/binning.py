@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import operator
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from tallyloom.functions.exprs import col
 from tallyloom.session import cut_lineage
@@ -28,18 +31,130 @@ def label_of(number: Column, labels: Sequence[str]) -> Column:
     return F.try_element_at(F.array(*[F.lit(x) for x in labels]), number)
 
 
+# Ranks of the sketch are off by at most one row in ACCURACY; a place is looked for within MARGIN of its share, and brackets with more than COLLECTED rows are narrowed first.
+ACCURACY = 10_000
+MARGIN = 2 / ACCURACY
+COLLECTED = 100_000
+# Types that Spark's mergeable quantile sketch takes.
+SKETCHED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+@dataclass
+class Bracket:
+    """Where a place lies: among the `rows` rows above `low` and under `high` (None: open), behind `before` rows."""
+
+    place: int
+    before: int
+    rows: int
+    low: object = None
+    high: object = None
+
+    def holds(self, value: Column) -> Column:
+        inside = value.isNotNull()
+        inside = inside if self.low is None else inside & (value > F.lit(self.low))
+        return inside if self.high is None else inside & (value < F.lit(self.high))
+
+    def share(self) -> float:
+        return (self.place - self.before) / max(1, self.rows - 1)
+
+
+def _around(shares: Sequence[float]) -> list[float]:
+    return [min(1.0, max(0.0, x + side * MARGIN)) for x in shares for side in (-1, 1)]
+
+
+def _counted(df: DataFrame, keys: Sequence[Column]) -> list[Row]:
+    """Groups with their sizes, on the driver; the caller bounds their number."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()
+
+
+def _narrowed(df: DataFrame, value: Column, b: Bracket, low, high) -> Bracket | tuple:
+    """The bracket cut at two of its values, or the value at the place with the rows before it and the rows equal to it."""
+    inside = b.holds(value)
+    tests = (inside & (value < F.lit(low)), inside & (value == F.lit(low)), inside & (value > F.lit(low)) & (value < F.lit(high)), inside & (value == F.lit(high)))
+    under, at_low, between, at_high = df.agg(*[F.count_if(t).alias(f"n{k}") for k, t in enumerate(tests)]).first()
+    at_high = 0 if low == high else at_high
+    start = b.before
+    if b.place < start + under:
+        return Bracket(b.place, start, under, b.low, low)
+    start += under
+    if b.place < start + at_low:
+        return low, start, at_low
+    start += at_low
+    if b.place < start + between:
+        return Bracket(b.place, start, between, low, high)
+    start += between
+    if b.place < start + at_high:
+        return high, start, at_high
+    return Bracket(b.place, start + at_high, b.before + b.rows - start - at_high, high, b.high)
+
+
+def values_at(df: DataFrame, value: str, places: Callable[[int], Sequence[int]], shares: Sequence[float]) -> tuple[int, dict[int, tuple]]:
+    """Number of values, and for each place in their order (from 0) the value there, the rows before it and the rows equal to it. NULL is no value.
+
+    A mergeable sketch brackets each place, a second pass counts what lies under and between the brackets and brings only the values inside them to the driver: two
+    scans of one column, without sorting or writing it, and no task holds more than a sketch and its share of the brackets. Where a bracket would hold more than COLLECTED rows, it is
+    narrowed by further sketches of its own rows first. Brackets only save work: a place that its bracket misses is found by narrowing. `places` gives the places by
+    the number of values; `shares` says where about they lie, from 0 to 1.
+    """
+    v = F.col(value)
+    known = df.select(v).filter(v.isNotNull())
+    sketch = known.agg(F.count(v).alias("n"), F.percentile_approx(v, _around(shares), ACCURACY).alias("edges")).first()
+    total, edges = sketch["n"], sketch["edges"]
+    wanted = sorted(set(places(total))) if total else []
+    found: dict[int, tuple] = {}
+    if not wanted:
+        return total, found
+    if 2 * MARGIN * total * len(shares) <= COLLECTED:
+        cuts = sorted(set(edges))
+        region = sum((F.when(v >= F.lit(e), 1).otherwise(0) for e in cuts), F.lit(0))
+        inside = [(v >= F.lit(a)) & (v <= F.lit(b)) for a, b in zip(edges[::2], edges[1::2])]
+        kept = F.when(reduce(operator.or_, inside), v)
+        start = 0
+        # A region begins with the cut that opens it; what of it lies in no bracket comes behind.
+        for r in sorted(_counted(known, [region.alias("region"), kept.alias("kept")]), key=lambda r: (r["region"], r["kept"] is None, r["kept"])):
+            if r["kept"] is not None:
+                found |= {p: (r["kept"], start, r["n"]) for p in wanted if start <= p < start + r["n"]}
+            start += r["n"]
+    for p in wanted:
+        b = found.get(p) or Bracket(p, 0, total)
+        while isinstance(b, Bracket) and b.rows > COLLECTED:
+            low, high = known.agg(F.percentile_approx(F.when(b.holds(v), v), _around([b.share()]), ACCURACY)).first()[0]
+            b = _narrowed(known, v, b, low, high)
+        if isinstance(b, Bracket):
+            start = b.before
+            for r in sorted(_counted(known.filter(b.holds(v)), [v.alias("kept")]), key=lambda r: r["kept"]):
+                if start <= p < start + r["n"]:
+                    b = r["kept"], start, r["n"]
+                    break
+                start += r["n"]
+        # Several places often share a value.
+        found |= {q: b for q in wanted if b[1] <= q < b[1] + b[2]}
+    return total, found
+
+
+def quantiles(df: DataFrame, value: str, probabilities: Sequence[float]) -> list[float | None]:
+    """Exact quantiles of a column with any number of distinct values, interpolated between neighbours."""
+    spots = lambda n: [(n - 1) * p for p in probabilities]
+    total, found = values_at(df, value, lambda n: [i for x in spots(n) for i in (math.floor(x), math.ceil(x))], probabilities)
+    if not total:
+        return [None] * len(probabilities)
+    edges = []
+    for x in spots(total):
+        low, high = float(found[math.floor(x)][0]), float(found[math.ceil(x)][0])
+        edges.append(low + (high - low) * (x - math.floor(x)))
+    return edges
+
+
 def quantile_tiers(df: DataFrame, value: str, labels: Sequence[str], out: str, lowest: tuple[Column, str] | None = None) -> DataFrame:
-    """Label rows by quantile bins of a value, with exact edges interpolated between neighbours.
+    """Label rows by quantile bins of a value, with exact edges interpolated between neighbours, whatever the number of rows.
 
-    For tables with few distinct values, such as one row per country: the edges come from one aggregate. The
-    table is read twice; cut its lineage first if it is costly.
-    `lowest` is a rule and a label for rows that are set apart before the edges are computed.
+    The table is read three times, so it is written first. `lowest` is a rule and a label for rows that are set apart before the edges are computed.
     """
     apart, apart_label = lowest or (F.lit(False), "")
-    rest = F.when(~apart, F.col(value).cast("double"))
-    edges = df.agg(F.percentile(rest, F.array(*[F.lit(p) for p in inner_probabilities(len(labels))])).alias("edges")).scalar()
-    number = bin_number(F.col(value).cast("double"), [F.try_element_at(edges, F.lit(k)) for k in range(1, len(labels))])
-    return df.withColumn(out, F.when(apart, apart_label).otherwise(label_of(number, labels)))
+    held = cut_lineage(df)
+    edges = quantiles(held.select(F.when(~apart, F.col(value).cast("double")).alias("_rest")), "_rest", inner_probabilities(len(labels)))
+    number = bin_number(F.col(value).cast("double"), [F.lit(e).cast("double") for e in edges])
+    return held.withColumn(out, F.when(apart, apart_label).otherwise(label_of(number, labels)))
 
 
 class SortedRows:
@@ -79,29 +194,38 @@ class SortedRows:
         return placed.withColumn(out, F.col("_start") + F.col("_at") + 1).select(*self.order, out)
 
 
-def quantile_edges(df: DataFrame, value: str, tie: str, probabilities: Sequence[float]) -> list[float | None]:
-    """Exact quantiles of a column with any number of distinct values, interpolated between neighbours."""
-    rows = SortedRows(df.filter(F.col(value).isNotNull()), value, tie)
-    if not rows.total:
-        return [None] * len(probabilities)
-    places = [(rows.total - 1) * p for p in probabilities]
-    found = rows.at([i for x in places for i in (math.floor(x), math.ceil(x))])
-    edges = []
-    for x in places:
-        low, high = float(found[math.floor(x)][value]), float(found[math.ceil(x)][value])
-        edges.append(low + (high - low) * (x - math.floor(x)))
-    return edges
-
-
 def rank_cuts(df: DataFrame, value: str, tie: str, bins: int) -> list[tuple]:
-    """The (value, tie) pair that closes each rank bin but the last, when rows are ranked by value and then by the tie column."""
-    rows = SortedRows(df, value, tie)
-    if not rows.total:
-        return []
+    """The (value, tie) pair that closes each rank bin but the last, when rows are ranked by value and then by the tie column.
+
+    First the value at each place is selected, then the tie among the rows that share it. Rows without a value have no rank; rows without a tie come first among equals.
+    """
+    shares = inner_probabilities(bins)
     # Ranks run from 1; a quantile edge of the ranks closes its bin.
-    places = [math.floor((rows.total - 1) * p) for p in inner_probabilities(bins)]
-    found = rows.at(places)
-    return [(found[p][value], found[p][tie]) for p in places]
+    places = lambda n: [math.floor((n - 1) * p) for p in shares]
+    if not all(isinstance(df.schema[c].dataType, SKETCHED) for c in (value, tie)):
+        rows = SortedRows(df, value, tie)
+        found = rows.at(places(rows.total)) if rows.total else {}
+        return [(found[p][value], found[p][tie]) for p in places(rows.total)] if rows.total else []
+    total, found = values_at(df, value, places, shares)
+    if not total:
+        return []
+    ties: dict[int, object] = {}
+    groups = {v: (before, n) for v, before, n in found.values()}
+    if sum(n for _, n in groups.values()) <= COLLECTED:
+        held = _counted(df.filter(F.col(value).isin(*groups)), [F.col(value).alias("v"), F.col(tie).alias("t")])
+        for v, (before, _) in groups.items():
+            start = before
+            for r in sorted((r for r in held if r["v"] == v), key=lambda r: (r["t"] is not None, r["t"])):
+                ties |= {p: r["t"] for p in found if start <= p < start + r["n"]}
+                start += r["n"]
+    else:
+        for v, (before, n) in groups.items():
+            mine = sorted(p for p in found if before <= p < before + n)
+            # Rows without a tie come first.
+            first = lambda known, before=before, n=n: before + n - known
+            known, at = values_at(df.filter(F.col(value) == F.lit(v)), tie, lambda m, mine=mine, first=first: [p - first(m) for p in mine if p >= first(m)], [(p - before) / max(1, n - 1) for p in mine])
+            ties |= {p: at[p - first(known)][0] if p >= first(known) else None for p in mine}
+    return [(found[p][0], ties[p]) for p in places(total)]
 
 
 def bin_by_cuts(value: str | Column, tie: str | Column, cuts: Sequence[tuple]) -> Column:

@@ -102,6 +102,28 @@ def plan_mix_as_of(events: DataFrame, plans: DataFrame, day: str) -> DataFrame:
     return _plan_mix(active, events, plans)
 
 
+def plan_mix_by_day(events: DataFrame, plans: DataFrame, first_day: str, last_day: str) -> DataFrame:
+    """Active customers per plan on every day of a period, with their share of all that are known; what `plan_mix_as_of` gives for one day.
+
+    A sweep over interval ends: a customer is added to a plan on its first day and taken off on the day the next event starts. Ends of one day are summed
+    before the running sums, so customers are read once and the windows run over days and plans only. What started before the period counts from its first day.
+    """
+    first, last = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
+    dated = _dated(events).select("event_id", "customer_id", "plan_id", "start_date")
+    # Of events on one day the last one holds, so the earlier ones need not be ordered among days.
+    held = dated.groupBy("customer_id", "start_date").agg(F.max_by("plan_id", F.struct("start_date", "event_id")).alias("plan_id"))
+    spans = with_neighbors(held, "customer_id", ("start_date",), following={"_until": "start_date"})
+    end = lambda c, step: F.struct(F.when(F.col(c).isNotNull(), F.greatest(c, first)).alias("day"), F.lit(step).alias("step"))
+    ends = F.array(end("start_date", 1), end("_until", -1))
+    steps = spans.select("plan_id", F.explode(ends).alias("end")).select("plan_id", "end.*").filter(F.col("day").isNotNull() & (F.col("day") <= last))
+    change = steps.groupBy("plan_id", "day").agg(F.sum("step").alias("change"))
+    days = plans.select(F.col("plan_id").alias("_plan"), "plan_name").withColumn("day", F.explode(F.sequence(first, last, F.expr("interval 1 day"))))
+    spine = days.join(change.withColumnRenamed("day", "_day"), (F.col("_plan") == F.col("plan_id")) & (F.col("day") == F.col("_day")), "left")
+    running = F.sum(F.coalesce("change", F.lit(0))).over(Window.partitionBy("_plan").orderBy("day"))
+    active = spine.select("day", F.col("_plan").alias("plan_id"), "plan_name", running.alias("customer_count"))
+    return active.withColumn("pct_of_customers", percent(F.col("customer_count"), customer_total(events), 1))
+
+
 def upgrades_in(events: DataFrame, plan: int, first_day: str, end_day: str) -> DataFrame:
     """Distinct customers whose `plan` started in the half-open period."""
     day = F.col("start_date")

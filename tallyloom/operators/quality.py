@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.functions import bitmap
 from tallyloom.functions.exprs import (
     NON_PRODUCT_KEYWORDS,
     NULL_TOKENS,
@@ -70,14 +71,40 @@ def null_report(df: DataFrame) -> DataFrame:
     return _per_column(df, {c: {"missing": F.count_if(F.col(c).isNull())} for c in df.columns})
 
 
+def row_digest(df: DataFrame) -> Column:
+    """64 bits of a whole row; rows that are equal in every column, NULL included, have equal digests."""
+    missing = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in df.columns])
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], missing)
+
+
+def _seen_twice(df: DataFrame) -> DataFrame:
+    """All rows, marked true if their digest may occur more than once.
+
+    Only digests are shuffled, 8 bytes for each that a task holds. Those that occur again set bits in a bitmap of fixed size, by which each task marks its rows.
+    """
+    counted = df.select(row_digest(df).alias("_digest")).groupBy("_digest").agg(F.count(F.lit(1)).alias("_n"))
+    return bitmap.with_mark(df, row_digest(df), bitmap.words(counted.filter("_n > 1"), "_digest"), "_again")
+
+
+def duplicate_candidates(df: DataFrame) -> DataFrame:
+    """The rows that may repeat another one: all that do, and a few by chance."""
+    return _seen_twice(df).filter("_again").drop("_again")
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row in every column; NULL equals NULL."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows that repeat an earlier row in every column; NULL equals NULL. Full rows are compared, and shuffled, only among candidates."""
+    groups = duplicate_candidates(df).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
-    return df.distinct()
+    """The distinct rows. Only rows whose digest occurs again are shuffled and compared in full; the others stay where they are.
+
+    The table is read three times for that: write a costly one first (`session.cut_lineage`), or take `distinct` for one that is small.
+    """
+    marked = _seen_twice(df)
+    once = marked.filter(~F.col("_again")).drop("_again")
+    return once.unionByName(marked.filter("_again").drop("_again").distinct())
 
 
 def present(df: DataFrame, *columns: str) -> DataFrame:
@@ -126,8 +153,11 @@ COUNTRY_LABELS = {"EIRE": "Ireland"}
 
 
 def clean_transactions(df: DataFrame) -> DataFrame:
-    """Duplicates dropped, invalid rows removed, country label unified, revenue added."""
-    return with_revenue(relabel(valid_sales(drop_duplicates(df)), "country", COUNTRY_LABELS))
+    """Invalid rows removed, duplicates dropped, country label unified, revenue added.
+
+    The input is read once: valid rows are made distinct in one shuffle. Where the input is a table that is cheap to read, `drop_duplicates` before it shuffles less.
+    """
+    return with_revenue(relabel(valid_sales(df).distinct(), "country", COUNTRY_LABELS))
 
 
 def quality_report(df: DataFrame, prefix: str = "C") -> DataFrame:

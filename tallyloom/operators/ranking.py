@@ -99,7 +99,7 @@ def revenue_per_customer(df: DataFrame) -> DataFrame:
 
 def revenue_per_customer_tiers(df: DataFrame) -> DataFrame:
     """The lowest ratio is the lowest tier; the others fall into four quantile bins; a NULL ratio has no tier."""
-    ratios = cut_lineage(revenue_per_customer(df))
+    ratios = cut_lineage(revenue_per_customer(df))  # read for the lowest ratio and for the tiers
     value = F.col("avg_revenue_per_customer")
     lowest = ratios.agg(F.min("avg_revenue_per_customer")).scalar()
     is_lowest = F.coalesce(value == lowest, F.lit(False))

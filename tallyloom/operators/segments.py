@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions.exprs import whole_days
-from tallyloom.operators.binning import bin_by_cuts, bin_number, inner_probabilities, quantile_edges, rank_cuts
+from tallyloom.operators.binning import bin_by_cuts, bin_number, inner_probabilities, quantiles, rank_cuts
 from tallyloom.session import cut_lineage
 
 # fixed values: segments in order of precedence, each with its lowest and highest r, f and m score
@@ -44,13 +44,13 @@ def rfm_scores(values: DataFrame) -> DataFrame:
     """Quintile scores 1 to 5 and their combined text.
 
     Recency has few distinct values (days), so one aggregate gives its edges; frequency is ranked with ties
-    in customer order and monetary has many values, so both are sorted across all tasks. The table is read
+    in customer order and monetary has many values, so the edges of both are selected between sketched brackets. The table is read
     several times, which is why `rfm_values` returns a written one.
     """
     r_edges = values.agg(F.percentile("recency", F.array(*[F.lit(p) for p in inner_probabilities(BINS)]))).scalar()
     r = F.lit(BINS + 1) - bin_number(F.col("recency").cast("double"), [F.try_element_at(r_edges, F.lit(k)) for k in range(1, BINS)])
     f = bin_by_cuts("frequency", "customer_id", rank_cuts(values, "frequency", "customer_id", BINS))
-    m_edges = quantile_edges(values, "monetary", "customer_id", inner_probabilities(BINS))
+    m_edges = quantiles(values, "monetary", inner_probabilities(BINS))
     m = bin_number(F.col("monetary").cast("double"), [F.lit(e) for e in m_edges])
     scored = values.withColumns({"r_score": r, "f_score": f, "m_score": m})
     return scored.withColumn("rfm_score", F.concat(*[F.col(c).cast("string") for c in ("r_score", "f_score", "m_score")]))

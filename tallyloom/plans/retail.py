@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.functions.exprs import money, parse_timestamp
-from tallyloom.operators import binning as B, calendar as C, cohort as H, quality as Q, ranking as R, segments as G
+from tallyloom.operators import asof as A, binning as B, calendar as C, cohort as H, quality as Q, ranking as R, segments as G
 from tallyloom.plans.check_tables import check, half_up
 from tallyloom.sources.fixtures import HOME_MARKET, Fixtures
-from tallyloom.sources.readers import RETAIL_CSV_SCHEMA, RETAIL_FILE, parse_csv_lines, preview, read_csv
+from tallyloom.sources.readers import RETAIL_CSV_SCHEMA, RETAIL_FILE, parse_csv_lines, preview, read_csv, scan_csv
 
 
 def clean(fx: Fixtures):
@@ -36,6 +36,17 @@ def load_file(fx: Fixtures):
     return _lines(Q.with_revenue(rows.withColumn("invoice_date", parse_timestamp("invoice_date"))))
 
 
+def load_dirty(fx: Fixtures):
+    """Accepted records of files with quoted line breaks, short records and text in place of numbers."""
+    rows = scan_csv(fx.spark, fx.retail_dirty_file(), RETAIL_FILE).accepted
+    return _lines(Q.with_revenue(rows.withColumn("invoice_date", parse_timestamp("invoice_date"))))
+
+
+def load_rejected(fx: Fixtures):
+    """The records of the same files that are no rows, and why."""
+    return scan_csv(fx.spark, fx.retail_dirty_file(), RETAIL_FILE).rejected
+
+
 def schema(fx: Fixtures):
     return Q.schema_profile(fx.retail())
 
@@ -86,6 +97,26 @@ def head(fx: Fixtures):
     return _lines(preview(clean(fx), 5, *keys))
 
 
+def _returns(fx: Fixtures):
+    return fx.retail().filter(F.col("quantity") < 0).select("country", "customer_id", F.to_date("invoice_date").alias("return_day"))
+
+
+def _days(fx: Fixtures):
+    return clean(fx).withColumns({"country": F.when(F.col("country") == "Ireland", "EIRE").otherwise(F.col("country")), "day": F.to_date("invoice_date")})
+
+
+def last_return(fx: Fixtures):
+    """Lines sold per country and day, with the country's last day of returns before that day. A country is a key with many lines and many returns."""
+    lines = A.as_of(_days(fx).select("country", "day", "quantity"), _returns(fx), "country", "day", "return_day", "before", inclusive=False, out="last_return")
+    return lines.groupBy("country", "day", "last_return").agg(F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("units"))
+
+
+def next_purchase(fx: Fixtures):
+    """What customers bought on the first day from each of their return days on."""
+    found = A.nearest_events(_days(fx), _returns(fx), "after", key="customer_id", day="day", anchor="return_day")
+    return found.groupBy("customer_id", "return_day", "day").agg(F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("units"))
+
+
 # ---- revenue and products -----------------------------------------------------------------------
 
 
@@ -227,12 +258,16 @@ def cohort_retention(fx: Fixtures):
 
 
 def cohort_matrix(fx: Fixtures):
-    return H.cohort_matrix(H.cohort_retention(H.cohort_counts(clean(fx)))).orderBy("cohort_month")
+    return H.shown_cells(H.cohort_matrix(H.cohort_retention(H.cohort_counts(clean(fx))))).orderBy("cohort_month")
 
 
 QUERIES = {
     "retail_load": load,
     "retail_load_csv": load_file,
+    "retail_load_csv_accepted": load_dirty,
+    "retail_last_return": last_return,
+    "retail_next_purchase": next_purchase,
+    "retail_load_csv_rejected": load_rejected,
     "retail_info_schema": schema,
     "retail_missing_values": missing,
     "retail_duplicate_count": duplicates,
@@ -370,6 +405,33 @@ def _half_even_mean(column: str) -> str:
 ORACLE = {
     "retail_load": check("retail", f"SELECT {_RAW_ROW}, CAST(quantity * price AS DOUBLE) AS revenue FROM retail"),
     "retail_load_csv": check("retail", f"SELECT {_RAW_ROW}, CAST(quantity * price AS DOUBLE) AS revenue FROM retail"),
+    "retail_load_csv_accepted": check(
+        "retail",
+        f""", fine AS (SELECT * REPLACE (CASE WHEN quantity % 3 = 0 THEN replace(description, ' ', chr(10)) ELSE description END AS description)
+            FROM retail WHERE quantity % 13 <> 5 AND quantity % 17 <> 3)
+        SELECT {_RAW_ROW}, CAST(quantity * price AS DOUBLE) AS revenue FROM fine""",
+    ),
+    "retail_load_csv_rejected": check(
+        "retail",
+        """, told AS (SELECT quantity % 13 = 5 AS bad, invoice || ',' || coalesce(description, '') || ',' || quantity AS head,
+            strftime(invoice_date, '%Y-%m-%d %H:%M:%S') || ',' || CAST(price AS VARCHAR) || ',' || coalesce(customer_id || '.0', '') || ',' || country AS tail
+            FROM retail WHERE quantity % 13 = 5 OR quantity % 17 = 3)
+        SELECT if(bad, 'Quantity', 'number of fields') AS reason, if(bad, head || ' pcs,' || tail, head) AS record FROM told""",
+    ),
+    "retail_last_return": check(
+        "retail retail_clean",
+        """, sold AS (SELECT CASE country WHEN 'Ireland' THEN 'EIRE' ELSE country END AS country, CAST(invoice_date AS DATE) AS day, quantity FROM retail_clean)
+        , back AS (SELECT DISTINCT country, CAST(invoice_date AS DATE) AS return_day FROM retail WHERE quantity < 0)
+        SELECT sold.country AS country, strftime(day, '%Y-%m-%d') AS day, strftime(return_day, '%Y-%m-%d') AS last_return, count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS units
+        FROM sold ASOF LEFT JOIN back ON sold.country = back.country AND sold.day > back.return_day GROUP BY ALL""",
+    ),
+    "retail_next_purchase": check(
+        "retail retail_clean",
+        """, sold AS (SELECT customer_id, CAST(invoice_date AS DATE) AS day, count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS units FROM retail_clean WHERE customer_id IS NOT NULL GROUP BY ALL)
+        , back AS (SELECT DISTINCT customer_id, CAST(invoice_date AS DATE) AS return_day FROM retail WHERE quantity < 0 AND customer_id IS NOT NULL)
+        SELECT back.customer_id AS customer_id, strftime(return_day, '%Y-%m-%d') AS return_day, strftime(day, '%Y-%m-%d') AS day, lines, units
+        FROM back ASOF JOIN sold ON sold.customer_id = back.customer_id AND sold.day >= back.return_day""",
+    ),
     "retail_info_schema": check("retail", _SCHEMA),
     "retail_missing_values": check("retail", _MISSING),
     "retail_duplicate_count": check("retail", _REPEATS),
@@ -489,7 +551,9 @@ ORACLE = {
     "retail_cohort_matrix": check(
         "retail_clean",
         _COHORT
-        + f""", cells AS (SELECT {_COHORT_MONTH}, 'month_' || months_elapsed AS m, retention_pct FROM kept)
-        SELECT * FROM (PIVOT cells ON m USING max(retention_pct) GROUP BY cohort_month)""",
+        + f""", cells AS (SELECT {_COHORT_MONTH}, months_elapsed, retention_pct FROM kept),
+        spine AS (SELECT cohort_month, months_elapsed FROM (SELECT DISTINCT cohort_month FROM cells), (SELECT unnest(range(max(months_elapsed) + 1)) AS months_elapsed FROM cells))
+        SELECT cohort_month, CAST(count(*) AS INTEGER) AS months, string_agg(coalesce(CAST(retention_pct AS VARCHAR), '-'), ' ' ORDER BY months_elapsed) AS cells
+        FROM spine LEFT JOIN cells USING (cohort_month, months_elapsed) GROUP BY cohort_month""",
     ),
 }

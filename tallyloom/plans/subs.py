@@ -12,6 +12,7 @@ from tallyloom.sources.readers import preview
 LATER_THAN = "2000-01-01"
 AS_OF = "1998-12-31"
 YEAR = ("1998-01-01", "1999-01-01")
+SWEEP = ("1996-01-01", "1998-12-31")
 HORIZON = "2000-12-31"
 
 
@@ -56,6 +57,10 @@ def mix_as_of(fx: Fixtures):
     return E.plan_mix_as_of(fx.subscriptions(), fx.plans(), AS_OF).orderBy(F.col("customer_count").desc(), "plan_name")
 
 
+def mix_by_day(fx: Fixtures):
+    return E.plan_mix_by_day(fx.subscriptions(), fx.plans(), *SWEEP).orderBy("day", "plan_id").drop("plan_id")
+
+
 def annual_upgrades(fx: Fixtures):
     return E.upgrades_in(fx.subscriptions(), E.PRO_ANNUAL, *YEAR).withColumnRenamed("upgraded_customers", "annual_upgrades")
 
@@ -96,6 +101,7 @@ QUERIES = {
     "subs_b05_churn_after_trial": churn_after_trial,
     "subs_b06_second_plan": second_plan,
     "subs_b07_mix_as_of": mix_as_of,
+    "subs_b07_mix_by_day": mix_by_day,
     "subs_b08_annual_upgrades": annual_upgrades,
     "subs_b09_days_to_annual": days_to_annual,
     "subs_b10_buckets": day_buckets,
@@ -176,6 +182,15 @@ ORACLE = {
         + f"""SELECT plan_name, {_KNOWN_MIX} FROM steps
         WHERE start_date <= DATE '{AS_OF}' AND coalesce(next_start_date, DATE '9999-12-31') > DATE '{AS_OF}' GROUP BY 1""",
     ),
+    "subs_b07_mix_by_day": check(
+        "subs plans",
+        _STEPS
+        + f""", days AS (SELECT CAST(unnest(generate_series(DATE '{SWEEP[0]}', DATE '{SWEEP[1]}', INTERVAL 1 DAY)) AS DATE) AS day)
+        , active AS (SELECT day, steps.plan_name, count(DISTINCT customer_id) AS n FROM days JOIN steps
+            ON customer_id IS NOT NULL AND start_date <= day AND coalesce(next_start_date, DATE '9999-12-31') > day GROUP BY ALL)
+        SELECT strftime(day, '%Y-%m-%d') AS day, plan_name, coalesce(n, 0) AS customer_count, {half_up("coalesce(n, 0) * 100", _ALL, 1)} AS pct_of_customers
+        FROM days CROSS JOIN (SELECT plan_name FROM plans) p LEFT JOIN active USING (day, plan_name)""",
+    ),
     "subs_b08_annual_upgrades": check(
         "subs",
         f"""SELECT count(DISTINCT customer_id) AS annual_upgrades FROM subs

@@ -37,6 +37,7 @@ PLANS = ((0, "trial", "0.00"), (1, "basic monthly", "8.50"), (2, "pro monthly",
 # fixed value: the country that the abroad lists leave out
 HOME_MARKET = "United Kingdom"
 CLOSED_MONTHS = ("1995-03", "1996-11")
+DIRTY_FILES = 16
 AD_CHANNELS = ("Television", "Radio", "Print", "Outdoor", "Search", "Social")
 DIGITAL_CHANNELS = ("Search", "Social")
 
@@ -278,6 +279,21 @@ class Fixtures:
         named.write.csv(path, header=True)
         return path
 
+    def retail_dirty_file(self) -> str:
+        """The transactions as files written elsewhere: quoted line breaks, quantities that are no numbers, records cut off after three fields. Returns their path."""
+        quantity, names = F.col("quantity"), list(RETAIL_FILE)
+        bad, short, broken = quantity % 13 == 5, quantity % 17 == 3, quantity % 3 == 0
+        described = F.when(broken, F.concat(F.lit('"'), F.replace("description", F.lit(" "), F.lit("\n")), F.lit('"'))).otherwise(F.col("description"))
+        head = [F.col("invoice"), F.when(bad | short, F.col("description")).otherwise(described), F.when(bad, F.concat(quantity.cast("string"), F.lit(" pcs"))).otherwise(quantity.cast("string"))]
+        tail = [F.date_format("invoice_date", "yyyy-MM-dd HH:mm:ss"), F.col("price").cast("string"), F.concat(F.col("customer_id").cast("string"), F.lit(".0")), F.col("country")]
+        line = lambda fields: F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields])
+        lines = self.retail().select(F.pmod(F.xxhash64("invoice"), F.lit(DIRTY_FILES)).alias("file"), F.lit(1).alias("place"), F.when(short & ~bad, line(head)).otherwise(line(head + tail)).alias("line"))
+        heads = self.spark.range(DIRTY_FILES).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit(",".join(names)).alias("line"))
+        path = f"{shared_folder(self.spark)}/dirty-{uuid.uuid4().hex}"
+        dealt = lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "place")
+        dealt.select("file", "line").write.partitionBy("file").text(path)
+        return f"{path}/*"
+
     # ---- dashboards -------------------------------------------------------------------------
 
     def soda(self) -> DataFrame:

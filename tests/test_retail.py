@@ -104,7 +104,7 @@ def test_place_beyond_the_list(frame):
 @pytest.mark.parametrize("values", [[5, 1, 4, 2, 3], [1, 1, 1, 2, 2, 9], list(range(23)), [7], [3, 3, 3]])
 def test_quantile_edges_equal_numpy(frame, values):
     df = frame([(float(v), i) for i, v in enumerate(values)], "v double, id long")
-    got = B.quantile_edges(df, "v", "id", [0.2, 0.4, 0.6, 0.8])
+    got = B.quantiles(df, "v", [0.2, 0.4, 0.6, 0.8])
     assert got == pytest.approx(list(np.quantile(values, [0.2, 0.4, 0.6, 0.8])))
 
 
@@ -117,7 +117,7 @@ def test_ordinals_with_heavy_ties(frame, rows):
 
 def test_empty_edges(frame):
     df = frame([], "v double, id long")
-    assert B.quantile_edges(df, "v", "id", [0.5]) == [None]
+    assert B.quantiles(df, "v", [0.5]) == [None]
     assert B.rank_cuts(df, "v", "id", 5) == []
 
 
@@ -178,9 +178,18 @@ def test_retention_equals_pandas(shop):
         assert table.loc[cohort, r.months_elapsed] == r.customers
         assert share.loc[cohort, r.months_elapsed] == pytest.approx(r.retention_pct)
     assert set(got[got["months_elapsed"] == 0]["retention_pct"]) == {100.0}
-    wide = H.cohort_matrix(H.cohort_retention(H.cohort_counts(shop)))
-    assert set(wide.columns) == {"cohort_month", *(f"month_{k}" for k in got["months_elapsed"])}
-    assert int(wide.toPandas().drop(columns="cohort_month").notna().sum().sum()) == len(got)
+    wide = {r.cohort_month: r.cells for r in H.cohort_matrix(H.cohort_retention(H.cohort_counts(shop))).collect()}
+    assert {len(cells) for cells in wide.values()} == {max(got["months_elapsed"]) + 1}
+    assert {(m, k): v for m, cells in wide.items() for k, v in enumerate(cells) if v is not None} == {(r.cohort_month, r.months_elapsed): r.retention_pct for r in got.itertuples()}
+
+
+def test_cohort_matrix_has_one_schema(frame):
+    schema = "cohort_month date, months_elapsed int, retention_pct double"
+    gaps = frame([(dt.date(2020, 1, 1), 0, 100.0), (dt.date(2020, 1, 1), 3, 12.5), (dt.date(2020, 2, 1), 0, 100.0)], schema)
+    assert {tuple(r.cells) for r in H.cohort_matrix(gaps).collect()} == {(100.0, None, None, 12.5), (100.0, None, None, None)}
+    assert [tuple(r) for r in H.shown_cells(H.cohort_matrix(gaps)).orderBy("cohort_month").collect()][0][1:] == (4, "100.0 - - 12.5")
+    nothing = H.cohort_matrix(gaps.limit(0))
+    assert nothing.dtypes == H.cohort_matrix(gaps).dtypes and nothing.collect() == []
 
 
 def test_top_lists(frame):
