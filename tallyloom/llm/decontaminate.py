@@ -3,7 +3,7 @@
 Words are lower-cased in A-Z; a shingle is five words. A window has as many words as the benchmark item it may match, or is the whole of a shorter document. It reaches
 similarity s only if no more than 1 - s of the item's shingles are not in it, so any window that matters holds one of the item's
 rarest shingles (`seeds`): only documents with a seed, and windows around one, get a fingerprint. That loses nothing. Fingerprints of 64 bits are cut into
-RADIUS + 1 blocks; two fingerprints within RADIUS bits agree in a block, so a join on blocks finds them all. What it finds is checked by the weighted Jaccard
+RADIUS + 1 blocks; two fingerprints within RADIUS bits agree in a block, so a join on item and block, over the items whose seeds a window has, finds them all. What it finds is checked by the weighted Jaccard
 similarity of the shingles, with the number of occurrences as weight. At similarity 0.8 the distance of two fingerprints is 9.7 bits on average with a deviation of 2.9; RADIUS 20 misses less than 1 in 10,000.
 
 Null texts have no words. Documents and items without an id are left out of the links; `clean` keeps such documents. Items of fewer than five words have no shingle and match nothing. A document shorter than an item is
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyloom.llm.shared import prepare, stash
+from tallyloom.llm.shared import likely_in, prepare, stash
 
 WORDS = 5
 PERCENT = 80
@@ -91,12 +91,17 @@ def seeds(items: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def windows(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, m, start, shingles) of every item-sized window with a seed of an item of that size."""
-    seed_rows = stash(seeds(items, percent))
+    """(doc_id, m, start, shingles, seen) of every item-sized window with a seed of an item of that size; `seen` are the seeds in it."""
+    return windows_around(docs, items, stash(seeds(items, percent)))
+
+
+def windows_around(docs: DataFrame, items: DataFrame, seed_rows: DataFrame) -> DataFrame:
     few = seed_rows.count() <= BROADCAST_SEEDS
     sided = seed_rows.select("item_id", "seed").withColumnRenamed("item_id", "seed_item")
     texts = docs.filter("doc_id is not null").select("doc_id", "text")
     found = texts.select("doc_id", F.explode(shingles("text")).alias("shingle"))
+    if not few:  # most shingles are no seeds and stay out of the shuffle
+        found = likely_in(found, "shingle", sided, "seed")
     hits = stash(found.join(F.broadcast(sided) if few else sided, F.col("shingle") == F.col("seed")).select("doc_id", F.col("seed_item").alias("item_id")).distinct())
 
     # Seeds and size of every item that a document has a seed of, put together per document and size.
@@ -110,8 +115,9 @@ def windows(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFr
     places = F.filter(F.sequence(F.lit(0), F.size("all_shingles") - 1), lambda i: F.array_contains(F.col("wanted"), F.element_at("all_shingles", i + 1)))
     last = F.greatest(F.size("all_shingles") - F.col("m"), F.lit(0))
     starts = F.array_distinct(F.flatten(F.transform(places, lambda i: F.sequence(F.least(F.greatest(i - F.col("m") + 1, F.lit(0)), last), F.least(i, last)))))
-    rows = rows.select("doc_id", "m", "all_shingles", F.explode(starts).alias("start"))
-    return rows.select("doc_id", "m", "start", F.slice("all_shingles", F.col("start") + 1, F.col("m")).alias("shingles"))
+    rows = rows.select("doc_id", "m", "all_shingles", "wanted", F.explode(starts).alias("start"))
+    rows = rows.select("doc_id", "m", "start", F.slice("all_shingles", F.col("start") + 1, F.col("m")).alias("shingles"), "wanted")
+    return rows.withColumn("seen", F.array_intersect("shingles", "wanted")).drop("wanted")
 
 
 def shared(a: str, b: str) -> Column:
@@ -122,17 +128,31 @@ def shared(a: str, b: str) -> Column:
     return F.when(plain, F.size(both)).otherwise(F.aggregate(both, F.lit(0), lambda n, x: n + F.least(times(a, x), times(b, x)))).cast("long")
 
 
+def block_pairs(found: DataFrame, items: DataFrame, seed_rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(item_id, m, fingerprint, item_print): fingerprints of windows and the items they share a seed and a Hamming block with.
+
+    Blocks of 64 bits for a radius of 20 are three bits wide, so most unrelated prints agree in one: blocks alone do not prune. A window that may match an item holds one of its seeds, so it is looked up
+    among the blocks of the items of its seeds only, and the number of rows follows the seeds that occur, not the number of items.
+    """
+    sizes = items.select(F.col("item_id").alias("seed_item"), F.col("m").alias("seed_m")).distinct()
+    sided = seed_rows.withColumnRenamed("item_id", "of_item").join(sizes, F.col("of_item") == F.col("seed_item")).select("seed", "seed_item", "seed_m")
+    # Copies of a passage share fingerprints and seeds, so each is looked up once.
+    prints = found.select("m", "fingerprint", F.explode("seen").alias("in_window")).distinct()
+    prints = prints.join(sided, (F.col("in_window") == F.col("seed")) & (F.col("m") == F.col("seed_m"))).select(F.col("seed_item").alias("item_id"), "m", "fingerprint").distinct()
+    prints = prints.select("item_id", "m", "fingerprint", blocks(radius).alias("b")).select("item_id", "m", "fingerprint", "b.*")
+    known = items.select(F.col("item_id").alias("known_item"), F.col("m").alias("item_m"), "fingerprint", blocks(radius).alias("c"))
+    known = known.select("known_item", "item_m", F.col("fingerprint").alias("item_print"), F.col("c.block").alias("item_block"), F.col("c.bits").alias("item_bits"))
+    alike = (F.col("item_id") == F.col("known_item")) & (F.col("m") == F.col("item_m")) & (F.col("block") == F.col("item_block")) & (F.col("bits") == F.col("item_bits"))
+    return prints.join(known, alike).select("item_id", "m", "fingerprint", "item_print")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, n_windows, start_word, similarity) of every document and benchmark item of which it has a window similar enough; start and similarity are those of the best window."""
     prepare(docs.sparkSession)
     items = stash(with_fingerprint(benchmark_items(benchmark), "item_shingles"))
-    found = stash(with_fingerprint(windows(docs, items, percent), "shingles"))
-    # Copies of a passage share fingerprints, so each is looked up once.
-    prints = found.select("m", "fingerprint").distinct().select("m", "fingerprint", blocks(radius).alias("b")).select("m", "fingerprint", "b.*")
-    known = items.select(F.col("item_id"), F.col("m").alias("item_m"), F.col("fingerprint").alias("item_print"), blocks(radius).alias("c"))
-    known = known.select("item_id", "item_m", "item_print", F.col("c.block").alias("item_block"), F.col("c.bits").alias("item_bits"))
-    near = prints.join(known, (F.col("m") == F.col("item_m")) & (F.col("block") == F.col("item_block")) & (F.col("bits") == F.col("item_bits")))
-    near = near.filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= radius)
+    seed_rows = stash(seeds(items, percent))
+    found = stash(with_fingerprint(windows_around(docs, items, seed_rows), "shingles"))
+    near = block_pairs(found, items, seed_rows, radius).filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= radius)
     near = near.select("item_id", F.col("m").alias("near_m"), F.col("fingerprint").alias("near_print")).distinct()
     pairs = found.join(near, (F.col("m") == F.col("near_m")) & (F.col("fingerprint") == F.col("near_print")))
     bags = items.select(F.col("item_id").alias("bag_item"), "item_shingles")

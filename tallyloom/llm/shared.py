@@ -64,11 +64,10 @@ def clear_stash(spark: SparkSession) -> None:
 SLOTS = 1 << 23
 
 
-def likely_in(rows: DataFrame, column: str, ids: DataFrame, ids_column: str) -> DataFrame:
-    """The rows whose id may be among ids: all that are, and by chance some that are not. An exact join has to follow.
+def with_likely(rows: DataFrame, column: str, ids: DataFrame, ids_column: str, out: str) -> DataFrame:
+    """The rows with a boolean: false where the id is surely not among ids, true where it is or by chance shares a slot with one.
 
-    The ids set bits in a bitmap of SLOTS bits, of which every task gets a copy: at most 256 rows of 4 KiB. The more ids, the fewer rows it keeps back; the result of
-    the join that follows is the same.
+    The ids set bits in a bitmap of SLOTS bits, of which every task gets a copy: at most 256 rows of 4 KiB.
     """
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
     marked = ids.select(slot(ids_column).alias("slot")).select(F.bitmap_bucket_number("slot").alias("_page"), F.bitmap_bit_position("slot").alias("at"))
@@ -76,8 +75,16 @@ def likely_in(rows: DataFrame, column: str, ids: DataFrame, ids_column: str) ->
     at = F.bitmap_bit_position(slot(column))
     byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, 1)), 16, 10).cast("int")
     hit = F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
-    held = rows.withColumn("_slot_page", F.bitmap_bucket_number(slot(column))).join(F.broadcast(pages), F.col("_slot_page") == F.col("_page"))
-    return held.filter(hit).select(*rows.columns)
+    held = rows.withColumn("_slot_page", F.bitmap_bucket_number(slot(column))).join(F.broadcast(pages), F.col("_slot_page") == F.col("_page"), "left")
+    return held.select(*rows.columns, F.coalesce(hit, F.lit(False)).alias(out))
+
+
+def likely_in(rows: DataFrame, column: str, ids: DataFrame, ids_column: str) -> DataFrame:
+    """The rows whose id may be among ids: all that are, and by chance some that are not. An exact join has to follow.
+
+    The more ids, the fewer rows it keeps back; the result of the join that follows is the same.
+    """
+    return with_likely(rows, column, ids, ids_column, "_likely").filter("_likely").drop("_likely")
 
 
 def same(left: Column, right: Column) -> Column:

@@ -134,6 +134,35 @@ def test_leaks_of_truncated_items(spark):
     assert {(r.doc_id, r.item_id): (r.n_windows, r.start_word, r.similarity) for r in got} == plain.leaks(rows, items)
 
 
+def test_the_index_prunes(spark, monkeypatch):
+    """A thousand items of one size with a leaked document each: the block join stays far from all pairs, and nothing is lost."""
+    import random
+
+    pick = random.Random(2)
+    vocabulary = [f"w{k}" for k in range(400)]
+    items = [(k, " ".join(pick.choices(vocabulary, k=30))) for k in range(1000)]
+    rows = []
+    for k, text in items:
+        words = text.split()
+        if k % 2:  # a word at the end costs one to three shingles of 26
+            words[-pick.randrange(1, 4)] = "changed"
+        rows.append((k, " ".join([*pick.choices(vocabulary, k=12), *words, *pick.choices(vocabulary, k=12)])))
+    docs, benchmark = table(spark, [(i, t, "en", "a") for i, t in rows]), spark.createDataFrame(items, "item_id long, text string")
+    known = decontaminate.stash(decontaminate.with_fingerprint(decontaminate.benchmark_items(benchmark), "item_shingles"))
+    seeds = decontaminate.stash(decontaminate.seeds(known))
+    found = decontaminate.stash(decontaminate.with_fingerprint(decontaminate.windows_around(docs, known, seeds), "shingles"))
+    prints = found.select("m", "fingerprint").distinct().count()
+    joined = decontaminate.block_pairs(found, known, seeds)
+    assert joined.count() < 0.05 * prints * len(items)
+    hottest = joined.groupBy("item_id").count().agg(F.max("count")).first()[0]
+    assert hottest < 0.02 * joined.count()
+    want = {k: v for row, item in zip(rows, items) for k, v in plain.leaks([row], [item]).items()}  # five random words of 400 are in no other item
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.start_word, r.similarity) for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert len(want) >= 400 and len(want.keys() & got.keys()) >= 0.999 * len(want) and all(want[k] == v for k, v in got.items() if k in want) and got.keys() <= want.keys()
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
+    assert {(r.doc_id, r.item_id): (r.n_windows, r.start_word, r.similarity) for r in decontaminate.leaks(docs, benchmark).collect()} == got
+
+
 def test_secrets(edge):
     rows = secrets.find(edge).collect()
     assert len(rows) == len(ROWS)
