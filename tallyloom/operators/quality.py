@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.functions import bitmap
 from tallyloom.functions.exprs import (
@@ -53,6 +53,54 @@ def value_profile(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("count"))
 
 
+# Values that the sketch of a column keeps, and those whose exact counts are taken. A value it does not keep occurs in at most SKETCH_ERROR / TRACKED of the rows.
+TRACKED, CANDIDATES = 4096, 64
+SKETCH_ERROR = 3.5
+
+
+def top_values(df: DataFrame, k: int = 3, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, rank, value, count): the k most frequent values of every column as text, NULL included, ties by value.
+
+    Two scans for all columns together: a mergeable heavy-hitter sketch per column names candidates, then the candidates are counted exactly. The result is exact where the
+    k-th candidate occurs more often than any value outside the candidates can; a column where it does not, such as an id, is profiled on its own, with a shuffle
+    of its values. The sketches are CANDIDATES rows a column on the driver.
+    """
+    columns = list(df.columns if columns is None else columns)
+    shown = {c: F.col(f"`{c}`").cast("string") for c in columns}
+    tops = [F.call_function("approx_top_k", shown[c], F.lit(CANDIDATES), F.lit(TRACKED)).alias(f"t{i}") for i, c in enumerate(columns)]
+    sketch = df.agg(F.count(F.lit(1)).alias("n"), *tops).first()
+    named = {c: [(r["item"], r["count"]) for r in sketch[f"t{i}"] or []] for i, c in enumerate(columns)}
+    cells = [F.struct(F.lit(c).alias("column_name"), shown[c].alias("value"), _among(shown[c], [v for v, _ in named[c]]).alias("held")) for c in columns]
+    each = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").filter("held")
+    counted = each.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+    exact = {c: sorted((r["count"] for r in rows), reverse=True) for c, rows in _by_column(counted).items()}
+    unsure = []
+    for c in columns:
+        every = len(named[c]) < CANDIDATES and sketch["n"] * SKETCH_ERROR / TRACKED < 1
+        outside = max([named[c][-1][1] if len(named[c]) == CANDIDATES else 0, sketch["n"] * SKETCH_ERROR / TRACKED]) if named[c] else 0
+        if not every and (len(exact.get(c, [])) < k or exact[c][k - 1] <= outside):
+            unsure.append(c)
+    sure = counted.filter(~F.col("column_name").isin(*unsure)) if unsure else counted
+    for c in unsure:
+        sure = sure.unionByName(df.groupBy(shown[c].alias("value")).agg(F.count(F.lit(1)).alias("count")).withColumn("column_name", F.lit(c)))
+    place = F.row_number().over(Window.partitionBy("column_name").orderBy(F.desc("count"), F.col("value").asc_nulls_first()))
+    return sure.withColumn("rank", place).filter(F.col("rank") <= k).select("column_name", "rank", "value", "count")
+
+
+def _among(value: Column, candidates: Sequence[str | None]) -> Column:
+    known = [v for v in candidates if v is not None]
+    among = F.coalesce(value.isin(*known), F.lit(False)) if known else F.lit(False)
+    return among | value.isNull() if None in candidates else among
+
+
+def _by_column(counted: DataFrame) -> dict[str, list]:
+    """Counts of the candidates, at most CANDIDATES a column, on the driver."""
+    found: dict[str, list] = {}
+    for r in counted.collect():
+        found.setdefault(r["column_name"], []).append(r)
+    return found
+
+
 def _per_column(df: DataFrame, fields: Mapping[str, Mapping[str, Column]]) -> DataFrame:
     """One aggregate pass over the table, then one output row per column."""
     names = next(iter(fields.values())).keys()

@@ -8,6 +8,7 @@ from tallyloom.operators import calendar as C, delivery as D, lists as L, qualit
 from tallyloom.plans.check_tables import check, half_up
 from tallyloom.sources.fixtures import SUPREME_NAME, SUPREME_RECIPE, Fixtures
 from tallyloom.sources.readers import append_rows, inline
+from tallyloom.sources.writers import append_batch, read_batches, replace_partitions, replace_table
 
 FIRST_WEEK = "2021-01-01"
 DEFAULT_RATING_TIME = "2002-01-01 00:00:00"
@@ -239,6 +240,18 @@ def ratings(fx: Fixtures):
     return Q.with_default_time(fx.ratings(), "rating_time", F.lit(DEFAULT_RATING_TIME).cast("timestamp_ntz"))
 
 
+def changed_ratings(fx: Fixtures):
+    """The stored ratings after one runner's partition was written again with low ratings raised, and one batch of late ratings was sent twice."""
+    table, late = fx.scratch("ratings"), fx.scratch("late")
+    rated = fx.ratings().select("order_id", "customer_id", "runner_id", "rating")
+    replace_table(rated.filter(F.col("order_id") % 10 != 0), table, ["runner_id"])
+    one = fx.spark.read.parquet(table).filter(F.col("runner_id") == 3)
+    replace_partitions(one.withColumn("rating", F.greatest("rating", F.lit(3))), table, ["runner_id"])
+    for _ in range(2):
+        append_batch(rated.filter(F.col("order_id") % 10 == 0), late, "late")
+    return fx.spark.read.parquet(table).unionByName(read_batches(fx.spark, late))
+
+
 def rating_violations(fx: Fixtures):
     return Q.violations(fx.ratings_dirty(), "order_id", Q.rating_rules())
 
@@ -314,6 +327,7 @@ QUERIES = {
     "pizza_d1_revenue": revenue,
     "pizza_d2_revenue_with_extras": revenue_with_extras,
     "pizza_d3_ratings": ratings,
+    "pizza_d3_changed_ratings": changed_ratings,
     "pizza_d3_rating_violations": rating_violations,
     "pizza_d4_delivery_summary": summary,
     "pizza_d5_net_money": net_money,
@@ -488,6 +502,9 @@ ORACLE = {
         f"""SELECT order_id, customer_id, runner_id, rating,
                strftime(coalesce(rating_time, TIMESTAMP '{DEFAULT_RATING_TIME}'), '%Y-%m-%d %H:%M:%S') AS rating_time FROM ratings""",
     ),
+    "pizza_d3_changed_ratings": check(
+        "ratings", "SELECT order_id, customer_id, runner_id, if(runner_id = 3 AND order_id % 10 <> 0, greatest(rating, 3), rating) AS rating FROM ratings"
+    ),
     "pizza_d3_rating_violations": check(
         "ratings",
         """, copies AS (SELECT ratings.* FROM ratings, generate_series(1, 2) g(i) WHERE i = 1 OR order_id % 50 = 0)

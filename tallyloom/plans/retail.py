@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.functions.exprs import money, parse_timestamp
-from tallyloom.operators import asof as A, binning as B, calendar as C, cohort as H, quality as Q, ranking as R, segments as G
+from tallyloom.operators import asof as A, binning as B, calendar as C, cohort as H, distinct as D, quality as Q, ranking as R, segments as G, totals as T
 from tallyloom.plans.check_tables import check, half_up
 from tallyloom.sources.fixtures import HOME_MARKET, Fixtures
 from tallyloom.sources.readers import RETAIL_CSV_SCHEMA, RETAIL_FILE, parse_csv_lines, preview, read_csv, scan_csv
@@ -63,6 +63,10 @@ def report(fx: Fixtures):
     return Q.quality_report(fx.retail())
 
 
+def top_values(fx: Fixtures):
+    return Q.top_values(fx.retail(), 3)
+
+
 def with_customer(fx: Fixtures):
     return _lines(Q.present(fx.retail(), "customer_id"))
 
@@ -125,6 +129,16 @@ def monthly(fx: Fixtures):
     return series.withColumns({"revenue": money("revenue"), "mean_revenue": F.round("mean_revenue", 2)}).orderBy("month_end")
 
 
+def monthly_in_batches(fx: Fixtures):
+    """The same from the stored states of two batches, one of which is sent twice."""
+    sold, path = clean(fx), fx.scratch("totals")
+    odd = F.regexp_replace("invoice", "[^0-9]", "").cast("long") % 2 == 1
+    for name, batch in (("odd", sold.filter(odd)), ("even", sold.filter(~odd)), ("odd", sold.filter(odd))):
+        T.add_batch(batch, path, name)
+    series = C.with_overall_mean(T.current_months(fx.spark, path))
+    return series.withColumns({"revenue": money("revenue"), "mean_revenue": F.round("mean_revenue", 2)}).orderBy("month_end")
+
+
 def products_raw(fx: Fixtures):
     return R.top_products(clean(fx))
 
@@ -188,6 +202,14 @@ def countries_abroad(fx: Fixtures):
     return R.without(countries(fx), "country", HOME_MARKET)
 
 
+def customers_sketched(fx: Fixtures):
+    """Customers per country: counted, and whether the union of monthly sketches is within its stated error."""
+    sold = fx.retail().filter(F.col("customer_id").isNotNull() & F.col("country").isNotNull())
+    monthly = D.sketches(sold.withColumn("month", F.date_trunc("month", "invoice_date")), ["country", "month"], "customer_id")
+    estimated = D.estimate(D.union(monthly, ["country"]), "estimated")
+    return R.country_customers(fx.retail()).join(estimated, "country").select("country", "number_of_customers", D.within("estimated", "number_of_customers").alias("within_error"))
+
+
 def customer_tiers(fx: Fixtures):
     """As written, customers are counted before any cleaning."""
     return R.country_customer_tiers(fx.retail())
@@ -267,6 +289,9 @@ QUERIES = {
     "retail_load_csv_accepted": load_dirty,
     "retail_last_return": last_return,
     "retail_next_purchase": next_purchase,
+    "retail_top_values": top_values,
+    "retail_country_customers_sketched": customers_sketched,
+    "retail_monthly_revenue_in_batches": monthly_in_batches,
     "retail_load_csv_rejected": load_rejected,
     "retail_info_schema": schema,
     "retail_missing_values": missing,
@@ -325,6 +350,11 @@ _COLUMNS = {
 _SCHEMA = " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null FROM retail" for c, t in _COLUMNS.items())
 _MISSING = " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing FROM retail" for c in _COLUMNS)
 _REPEATS = "SELECT (SELECT count(*) FROM retail) - (SELECT count(*) FROM (SELECT DISTINCT * FROM retail) u) AS duplicate_rows"
+_TOP_VALUES = " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR) NULLS FIRST) AS INTEGER) AS rank, CAST({c} AS VARCHAR) AS value, count(*) AS count
+    FROM retail GROUP BY {c} QUALIFY rank <= 3"""
+    for c in _COLUMNS
+)
 _PRODUCT = "regexp_matches(coalesce(description, ''), 'manual|postage|dotcom', 'i')"
 _CUSTOMER = "CAST(customer_id AS VARCHAR) AS customer_id"
 _TOP_SPENDER = """, spender AS (
@@ -473,6 +503,10 @@ ORACLE = {
         + half_up("sum(CAST(revenue AS DECIMAL(18, 2))) * 100", "count(*) * 100", 2)
         + " FROM filled) AS mean_revenue FROM filled",
     ),
+    "retail_country_customers_sketched": check(
+        "retail", _POP + " SELECT country, number_of_customers, true AS within_error FROM pop WHERE country IS NOT NULL"
+    ),
+    "retail_top_values": check("retail", _TOP_VALUES),
     "retail_top_products_raw": check(
         "retail_clean",
         "SELECT description, CAST(sum(revenue) AS DOUBLE) AS revenue FROM retail_clean WHERE description IS NOT NULL GROUP BY 1 ORDER BY sum(retail_clean.revenue) DESC, 1 LIMIT 10",
@@ -557,3 +591,5 @@ ORACLE = {
         FROM spine LEFT JOIN cells USING (cohort_month, months_elapsed) GROUP BY cohort_month""",
     ),
 }
+# Batches sum up to the same months.
+ORACLE["retail_monthly_revenue_in_batches"] = ORACLE["retail_monthly_revenue"]

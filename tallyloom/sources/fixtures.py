@@ -49,6 +49,10 @@ class Fixtures:
         self.spark = spark
         self.folder = folder
 
+    def scratch(self, name: str) -> str:
+        """A path of its own in the shared folder."""
+        return f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.folder, name)
 
@@ -275,7 +279,7 @@ class Fixtures:
             "customer_id": F.concat(F.col("customer_id").cast("string"), F.lit(".0")),
         }
         named = self.retail().withColumns(text).withColumnsRenamed({out: name for name, (out, _) in RETAIL_FILE.items()})
-        path = f"{shared_folder(self.spark)}/retail-{uuid.uuid4().hex}"
+        path = self.scratch("retail")
         named.write.csv(path, header=True)
         return path
 
@@ -289,7 +293,7 @@ class Fixtures:
         line = lambda fields: F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields])
         lines = self.retail().select(F.pmod(F.xxhash64("invoice"), F.lit(DIRTY_FILES)).alias("file"), F.lit(1).alias("place"), F.when(short & ~bad, line(head)).otherwise(line(head + tail)).alias("line"))
         heads = self.spark.range(DIRTY_FILES).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit(",".join(names)).alias("line"))
-        path = f"{shared_folder(self.spark)}/dirty-{uuid.uuid4().hex}"
+        path = self.scratch("dirty")
         dealt = lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "place")
         dealt.select("file", "line").write.partitionBy("file").text(path)
         return f"{path}/*"

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyloom.functions.exprs import null_if_token
+from tallyloom.sources.writers import replace_table
 
 # The transaction file's columns, in file order; dates stay text until parsed.
 RETAIL_CSV_SCHEMA = T.StructType(
@@ -132,8 +133,5 @@ def preview(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Persist a result as Parquet."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Persist a result as Parquet, in place of an earlier one."""
+    replace_table(df, path, partition_by)
