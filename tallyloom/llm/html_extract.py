@@ -20,6 +20,7 @@ from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.llm import ragged
 from tallyloom.llm.shared import prepare
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
@@ -46,6 +47,8 @@ class Block:
     article: int
     aside: int
     heading: int
+    # Start of the outermost element that sets this block aside by its names alone, or -1.
+    named: int = -1
     pieces: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
 
@@ -85,6 +88,10 @@ def own_words(compound: str) -> list[str]:
     return words[: next((k for k, w in enumerate(words) if w in BESIDE), len(words))]
 
 
+# A page whose text is set aside by names alone, but for this share of its words, is not described by these names.
+LEAST_SHARE = 0.1
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks in page order, those without words left out. A name is no hint if its element turns out to hold the main text."""
     found, holders = cut(page, frozenset())
@@ -92,41 +99,107 @@ def blocks(page: str) -> list[Block]:
         # A main that is free now may show that an article in it is not.
         found, more = cut(page, holders)
         if more:
-            found, _ = cut(page, holders | more)
+            holders |= more
+            found, _ = cut(page, holders)
+    # Names that leave nothing to read, like "form-guide" on the holder of a whole text, are none either; from the outermost inwards.
+    for _ in range(4):
+        misnamed = holder_of_all(found)
+        if misnamed is None:
+            break
+        holders |= {misnamed}
+        found, _ = cut(page, holders)
     return found
 
 
+def holder_of_all(found: list[Block]) -> int | None:
+    """The element that its names set aside although it holds nearly all words that are not set aside by tags."""
+    if any(b.article and not b.aside and not b.heading for b in found):
+        return None
+    held: dict[int, int] = {}
+    free = 0
+    for b in found:
+        n = len("".join(b.pieces).split())
+        if b.named >= 0:
+            held[b.named] = held.get(b.named, 0) + n
+        elif not b.aside:
+            free += max(0, n - len(" ".join(b.linked).split()))
+    if not held or free >= LEAST_SHARE * (free + sum(held.values())):
+        return None
+    return max(held, key=lambda k: (held[k], -k))
+
+
+@dataclass
+class Open:
+    """An open element: what it is in, and whether it is another part by its tag, inside or of its own."""
+
+    name: str
+    article: int
+    aside: int
+    by_tag: bool
+
+
+class Stack:
+    """Open elements, with the places of each name and of the holders, so that a tag is matched without a search."""
+
+    def __init__(self):
+        self.tags: list[Open] = []
+        self.places: dict[str, list[int]] = {}
+        self.holders: list[int] = []
+        self.hints: list[tuple[int, int]] = []  # open elements set aside by their names only: depth and place
+        self.links = self.parts = 0
+
+    def push(self, tag: Open) -> None:
+        self.places.setdefault(tag.name, []).append(len(self.tags))
+        if tag.name in HOLDERS:
+            self.holders.append(len(self.tags))
+        self.links += tag.name == "a"
+        self.parts += tag.by_tag
+        self.tags.append(tag)
+
+    def close(self, name: str) -> None:
+        """Close the last open element of this name and all in it. One that closes itself, like a paragraph, is not looked for outside the element that holds it."""
+        known = self.places.get(name)
+        if not known or (name in SELF_CLOSING and self.holders and self.holders[-1] > known[-1]):
+            return
+        at = known[-1]
+        while len(self.tags) > at:
+            gone = self.tags.pop()
+            self.places[gone.name].pop()
+            self.links -= gone.name == "a"
+            self.parts -= gone.by_tag
+        while self.holders and self.holders[-1] >= at:
+            self.holders.pop()
+        while self.hints and self.hints[-1][0] >= at:
+            self.hints.pop()
+
+    @property
+    def top(self) -> Open:
+        return self.tags[-1] if self.tags else Open("", 0, 0, False)
+
+
 def cut(page: str, holders: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
     """Blocks, if the names of the elements that start at `holders` are no hints, and the elements whose names should be none.
 
     These are the elements round every <main>, or else those round the first <article> if no <main> or <article> has text outside of such elements. Later articles may be comments or
-    related pages. Menus, footers and the like, which the tag says, stay what they are.
+    related pages. Menus, footers and the like, which the tag says, stay what they are. The time is in proportion to the page, whatever is left unclosed.
     """
     found: list[Block] = []
-    open_tags: list[tuple[str, int, int]] = []  # name, inside an article, inside another part
-    hints: list[tuple[int, int]] = []  # open elements set aside by their names only: depth and place
+    stack = Stack()
     round_main: set[int] = set()
     round_article: set[int] | None = None
     current: Block | None = None
-    links = 0
-
-    def close(at: int) -> None:
-        nonlocal links
-        links -= sum(t[0] == "a" for t in open_tags[at:])
-        del open_tags[at:]
-        while hints and hints[-1][0] >= at:
-            hints.pop()
 
     def put(text: str) -> None:
         nonlocal current
         if not text:
             return
         if current is None:
-            _, article, aside = open_tags[-1] if open_tags else ("", 0, 0)
-            current = Block(article, aside, int(any(t[0] in HEADINGS for t in open_tags[-4:])))
+            top = stack.top
+            named = stack.hints[0][1] if stack.hints and not stack.parts else -1
+            current = Block(top.article, top.aside, int(any(t.name in HEADINGS for t in stack.tags[-4:])), named)
             found.append(current)
         current.pieces.append(text)
-        if links:
+        if stack.links:
             current.linked.append(text)
 
     done, size = 0, len(page)
@@ -147,12 +220,7 @@ def cut(page: str, holders: frozenset[int]) -> tuple[list[Block], frozenset[int]
         if name not in INLINE:
             current = None
         if ending:
-            for k in range(len(open_tags) - 1, -1, -1):
-                if open_tags[k][0] == name:
-                    close(k)
-                    break
-                if name in SELF_CLOSING and open_tags[k][0] in HOLDERS:
-                    break
+            stack.close(name)
             continue
         if name in RAW and not attributes.endswith("/"):
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, done)
@@ -161,28 +229,23 @@ def cut(page: str, holders: frozenset[int]) -> tuple[list[Block], frozenset[int]
         if name in VOID or attributes.endswith("/"):
             continue
         if name in SELF_CLOSING:
-            for k in range(len(open_tags) - 1, -1, -1):
-                if open_tags[k][0] == name:
-                    close(k)
-                    break
-                if open_tags[k][0] in HOLDERS:
-                    break
-        _, article, aside = open_tags[-1] if open_tags else ("", 0, 0)
-        if name in ("article", "main"):
-            round_this, by_tag = {place for _, place in hints}, any(t[0] in ASIDE or (t[0] == "header" and not t[1]) for t in open_tags)
-            if round_this and not by_tag:
-                if name == "main":
-                    round_main |= round_this
-                elif round_article is None:
-                    round_article = round_this
-        other = name in ASIDE or (name == "header" and not article)
-        if not other and tag.start() not in holders and hinted(name, attributes, article):
-            hints.append((len(open_tags), tag.start()))
+            stack.close(name)
+        top = stack.top
+        if name in ("article", "main") and stack.hints and not stack.parts:
+            if name == "main":
+                # What is below a hint that was taken before was taken with it.
+                for _, place in reversed(stack.hints):
+                    if place in round_main:
+                        break
+                    round_main.add(place)
+            elif round_article is None:
+                round_article = {place for _, place in stack.hints}
+        by_tag = name in ASIDE or (name == "header" and not top.article)
+        other = by_tag
+        if not other and tag.start() not in holders and hinted(name, attributes, top.article):
+            stack.hints.append((len(stack.tags), tag.start()))
             other = True
-        aside = int(aside or other)
-        article = int(article or name in ("article", "main"))
-        open_tags.append((name, article, aside))
-        links += name == "a"
+        stack.push(Open(name, int(top.article or name in ("article", "main")), int(top.aside or other), by_tag))
     found = [b for b in found if "".join(b.pieces).strip()]
     if round_article and not round_main and not any(b.article and not b.aside and not b.heading for b in found):
         round_main = round_article
@@ -215,6 +278,21 @@ LABELLED = [
     [(5, 0, 1, 0, 1, 1), (1, 0, 1, 0, 0, 1), (4, 0, 1, 0, 0, 1)],
     [(3, 0, 1, 0, 1, 1), (25, 25, 1, 0, 0, 1), (40, 0, 1, 1, 0, 0)],
     [(1, 0, 1, 0, 0, 1), (1, 0, 1, 0, 0, 1), (300, 0, 1, 0, 0, 1), (2, 2, 1, 1, 0, 0), (14, 0, 0, 1, 0, 0)],
+    # Links in articles that are other parts: menus and related pages.
+    [(1, 1, 1, 1, 0, 0), (1, 0, 1, 0, 1, 1), (60, 0, 1, 0, 0, 1), (4, 4, 1, 1, 0, 0), (3, 3, 1, 1, 0, 0)],
+    [(5, 5, 1, 1, 0, 0), (2, 2, 1, 1, 0, 0), (8, 0, 1, 0, 1, 1), (90, 3, 1, 0, 0, 1), (3, 3, 1, 0, 0, 1), (30, 0, 1, 0, 0, 1), (6, 6, 1, 1, 0, 0), (12, 12, 1, 1, 0, 0), (2, 2, 1, 1, 0, 0)],
+    # Texts that end the page.
+    [(1, 1, 1, 1, 0, 0), (1, 0, 1, 0, 1, 1), (42, 0, 1, 0, 0, 1), (21, 0, 1, 0, 0, 1)],
+    [(5, 5, 0, 0, 0, 0), (40, 0, 0, 0, 0, 1), (35, 0, 0, 0, 0, 1)],
+    [(3, 3, 0, 1, 0, 0), (30, 0, 1, 0, 0, 1), (6, 0, 1, 0, 0, 1)],
+    [(7, 0, 0, 0, 1, 1), (25, 0, 0, 0, 0, 1), (80, 2, 0, 0, 0, 1), (14, 0, 0, 0, 0, 1)],
+    # Pages of plain divisions: a short line is text between texts, and is none between lists of links or at the page's end; a list of links inside a text is text.
+    [(3, 3, 0, 0, 0, 0), (4, 0, 0, 0, 0, 0), (6, 6, 0, 0, 0, 0), (5, 5, 0, 0, 0, 0), (42, 1, 0, 0, 0, 1), (4, 0, 0, 0, 0, 1), (55, 0, 0, 0, 0, 1), (6, 6, 0, 0, 0, 0), (3, 0, 0, 0, 0, 0), (5, 5, 0, 0, 0, 0)],
+    [(2, 2, 0, 0, 0, 0), (3, 0, 0, 0, 0, 0), (2, 2, 0, 0, 0, 0), (70, 2, 0, 0, 0, 1), (3, 0, 0, 0, 0, 1), (38, 0, 0, 0, 0, 1), (5, 0, 0, 0, 0, 1), (90, 3, 0, 0, 0, 1), (4, 4, 0, 0, 0, 0), (2, 0, 0, 0, 0, 0), (7, 7, 0, 0, 0, 0)],
+    [(8, 8, 0, 0, 0, 0), (5, 0, 0, 0, 0, 0), (8, 7, 0, 0, 0, 0), (26, 0, 0, 0, 0, 1), (9, 0, 0, 0, 0, 1), (31, 1, 0, 0, 0, 1), (12, 11, 0, 0, 0, 0), (9, 0, 0, 0, 0, 0), (10, 10, 0, 0, 0, 0)],
+    [(4, 4, 0, 0, 0, 0), (4, 4, 0, 0, 0, 0), (120, 4, 0, 0, 0, 1), (6, 0, 0, 0, 0, 1), (64, 0, 0, 0, 0, 1), (80, 2, 0, 0, 0, 1), (3, 3, 0, 0, 0, 0), (4, 0, 0, 0, 0, 0), (3, 3, 0, 0, 0, 0), (6, 0, 0, 0, 0, 0)],
+    [(5, 5, 0, 0, 0, 0), (7, 0, 0, 0, 0, 0), (5, 5, 0, 0, 0, 0), (48, 0, 0, 0, 0, 1), (7, 0, 0, 0, 0, 1), (52, 3, 0, 0, 0, 1), (40, 0, 0, 0, 0, 1), (9, 9, 0, 0, 0, 0), (7, 0, 0, 0, 0, 0), (6, 6, 0, 0, 0, 0)],
+    [(6, 6, 0, 0, 0, 0), (2, 0, 0, 0, 0, 0), (11, 11, 0, 0, 0, 0), (36, 2, 0, 0, 0, 1), (2, 0, 0, 0, 0, 1), (44, 0, 0, 0, 0, 1), (58, 1, 0, 0, 0, 1), (14, 13, 0, 0, 0, 0), (10, 0, 0, 0, 0, 0), (12, 12, 0, 0, 0, 0)],
 ]
 
 
@@ -262,7 +340,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page.as_py(), tree) for page in batch.column("html")]
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
+            for part in ragged.slices(batch, "html"):
+                texts = [main_text(page, tree) for page in part.column("html").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return pages.mapInArrow(run, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")

@@ -300,6 +300,71 @@ def test_articles_beside_the_main_one(spark):
     assert html_extract.main_text(page, tree) == f"{text} So."
 
 
+@pytest.mark.parametrize("names", ["post form-guide", "search-results", "notice-of-award", "widget"])
+def test_names_do_not_empty_a_page(spark, names):
+    body = f"<h1>A title here</h1><p>{'word ' * 40}</p><p>{'more ' * 30}</p>"
+    page = f'<nav><a href="/">x</a></nav><div class="{names}">{body}<div class="comments"><p>{"no " * 30}</p></div></div><div class="footer">foot</div>'
+    assert html_extract.main_text(page, html_extract.train(spark)) == f"A title here {'word ' * 40}{'more ' * 30}".strip()
+
+
+@pytest.mark.parametrize("start, end", [("<div>", "</b>"), ("<p><div><b>", "</p>"), ("<b>", "<p>"), ("<div class=form>", "<main>"), ("<li><ul>", "</li>"), ("<article class=ad>", "<article class=ad>")])
+def test_unclosed_tags_take_linear_time(start, end):
+    import time
+
+    def took(n):
+        begun = time.perf_counter()
+        html_extract.blocks(start * n + end * n + "x")
+        return time.perf_counter() - begun
+
+    took(500)
+    assert took(16_000) < 24 * max(took(2_000), 0.02)
+
+
+def plain_page(k):
+    """A page of divisions without a telling tag or name, and its main text."""
+    import random
+
+    pick = random.Random(k)
+    words = lambda n: " ".join(pick.choice("river stone bridge mill water road house garden field winter".split()) for _ in range(n))
+    link = lambda n: f'<div><a href="#">{words(n)}</a></div>'
+    menu, main, foot = [link(pick.randint(1, 6)) for _ in range(pick.randint(2, 6))], [], [link(pick.randint(2, 9)) for _ in range(pick.randint(2, 5))]
+    if pick.random() < 0.6:
+        menu.insert(pick.randrange(1, len(menu)), f"<div>{words(pick.randint(2, 6))}</div>")  # a short line between links
+    if pick.random() < 0.6:
+        foot.insert(pick.randrange(1, len(foot)), f"<div>{words(pick.randint(2, 8))}</div>")
+    for j in range(pick.randint(3, 8)):
+        main.append(words(pick.randint(25, 90)))
+        if pick.random() < 0.4 and j:
+            main.append(words(pick.randint(2, 8)))  # a short line between texts
+    if len(main[-1].split()) < 20:
+        main.append(words(30))
+    return "<html><body>" + "".join(menu) + "".join(f"<div>{t}</div>" for t in main) + "".join(foot) + "</body></html>", main
+
+
+def test_pages_of_plain_divisions(spark):
+    """Blocks right of those taken, and taken of those right, over 300 pages in which only words, links and neighbours tell them apart."""
+    tree = html_extract.train(spark)
+    used = set()
+
+    def walk(node):
+        if node.feature >= 0:
+            used.add(node.feature)
+            walk(node.left)
+            walk(node.right)
+
+    walk(tree)
+    assert used & {2, 3, 4, 5}  # features of the neighbours
+    taken = right = wanted = 0
+    for k in range(300):
+        page, main = plain_page(k)
+        found = html_extract.blocks(page)
+        texts = [b.text() for b in found]
+        numbers = [html_extract.Numbers(len(t.split()), min(b.linked_words(), len(t.split())), b.article, b.aside, b.heading) for b, t in zip(found, texts)]
+        kept = [t for t, x in zip(texts, html_extract.features(numbers)) if tree.says(x)]
+        taken, right, wanted = taken + len(kept), right + len([t for t in kept if t in main]), wanted + len(main)
+    assert right / taken >= 0.97 and right / wanted >= 0.97, (right / taken, right / wanted)
+
+
 def test_page_without_an_article(spark):
     tree = html_extract.train(spark)
     text = "A paragraph of a good many words that goes on for a while and says what there is to say about it all. " * 3
