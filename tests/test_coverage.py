@@ -7,8 +7,8 @@ from tallyloom.plans.registry import QUERIES
 
 COVERAGE = {
     # scans, sources, sinks
-    "S1": "diner_q01_spend", "S2": "retail_load_csv retail_load", "S3": "retail_head pizza_clean_preview", "S4": "retail_info_schema",
-    "S5": "pizza_e1_new_item", "S6": "pizza_c1_recipes", "S7": "retail_cleaned",
+    "S1": "diner_q01_spend", "S2": "retail_load_csv retail_load retail_load_csv_accepted retail_load_csv_rejected", "S3": "retail_head pizza_clean_preview", "S4": "retail_info_schema",
+    "S5": "pizza_e1_new_item", "S6": "pizza_c1_recipes", "S7": "retail_cleaned pizza_d3_changed_ratings",
     # projections and filters
     "P1": "subs_a_journey", "P2": "retail_load", "P3": "retail_load", "P4": "retail_cleaned", "P5": "subs_b02_monthly_trials",
     "P6": "pizza_clean_orders", "P7": "diner_q10_points_bonus_week", "P8": "retail_with_customer", "P9": "pizza_a07_changes",
@@ -17,23 +17,23 @@ COVERAGE = {
     "P16": "pizza_c4_order_items", "P17": "retail_cleaned", "P18": "retail_top_revenue_per_customer",
     "P19": "retail_top_revenue_per_customer", "P20": "pizza_clean_runs_typed",
     # joins
-    "J1": "diner_q01_spend", "J2": "pizza_a04_deliveries_by_type", "J3": "diner_bonus1_membership_flag", "J4": "diner_q06_first_after_joining",
+    "J1": "diner_q01_spend", "J2": "pizza_a04_deliveries_by_type", "J3": "diner_bonus1_membership_flag", "J4": "diner_q06_first_after_joining retail_last_return retail_next_purchase",
     "J5": "diner_q10_points_bonus_week", "J6": "diner_q03_first_items", "J7": "pizza_c1_recipes", "J8": "pizza_c5_ingredient_lists",
     "J9": "pizza_c4_order_items pizza_c4_order_items_large_dictionary", "J10": "subs_b06_second_plan", "J11": "pizza_d5_net_money",
     "J12": "subs_b09_days_to_annual subs_b10_buckets", "J13": "pizza_b4_distance_per_customer", "J14": "retail_cohort_counts",
     # aggregates
-    "A1": "retail_top_countries", "A2": "diner_q04_item_counts", "A3": "subs_b02_monthly_trials", "A4": "diner_q02_visit_days",
+    "A1": "retail_top_countries", "A2": "diner_q04_item_counts", "A3": "subs_b02_monthly_trials", "A4": "diner_q02_visit_days retail_country_customers_sketched",
     "A5": "pizza_a06_largest_order", "A6": "retail_top_customers_by_mean", "A7": "pizza_b2_minutes_to_arrive", "A8": "pizza_b5_delivery_spread",
     "A9": "diner_q09_points", "A10": "pizza_b7_success_rate", "A11": "subs_b04_churn", "A12": "pizza_a01_pizzas", "A13": "pizza_a06_largest_order",
     "A14": "subs_b04_churn", "A15": "pizza_d2_revenue_with_extras", "A16": "pizza_c1_recipes", "A17": "pizza_a09_by_hour",
     "A18": "pizza_a04_deliveries_by_type", "A19": "diner_q03_first_items", "A20": "retail_rfm_values", "A21": "retail_rfm_values",
-    "A22": "retail_rfm_segment_counts", "A23": "retail_monthly_revenue", "A24": "retail_monthly_revenue", "A25": "retail_cohort_matrix",
-    "A26": "retail_country_revenue_tiers retail_rfm_scores", "A27": "pizza_clean_pair_profile", "A28": "retail_missing_values",
+    "A22": "retail_rfm_segment_counts", "A23": "retail_monthly_revenue retail_monthly_revenue_in_batches", "A24": "retail_monthly_revenue", "A25": "retail_cohort_matrix",
+    "A26": "retail_country_revenue_tiers retail_rfm_scores", "A27": "pizza_clean_pair_profile retail_top_values", "A28": "retail_missing_values",
     "A29": "retail_duplicate_count", "A30": "retail_cancellation_audit",
     # windows
     "W1": "diner_bonus2_membership_rank", "W2": "subs_helper_sequence", "W3": "subs_helper_sequence", "W4": "subs_bonus_payments",
     "W5": "diner_q05_favourites", "W6": "subs_b06_second_plan", "W7": "diner_bonus2_membership_rank", "W8": "subs_b05_churn_after_trial",
-    "W9": "subs_b07_mix_as_of", "W10": "retail_frequency_order retail_rfm_scores", "W11": "retail_cohort_retention",
+    "W9": "subs_b07_mix_as_of subs_b07_mix_by_day", "W10": "retail_frequency_order retail_rfm_scores", "W11": "retail_cohort_retention",
     # sorts and limits
     "O1": "diner_q01_spend", "O2": "pizza_c6_ingredient_usage", "O3": "diner_q04_item_counts", "O4": "subs_helper_preview",
     "O5": "pizza_c2_common_extra", "O6": "retail_top_products", "O7": "retail_top_countries_abroad retail_top_customer_counts_abroad",
@@ -55,17 +55,17 @@ COVERAGE = {
     "C7": "retail_with_customer retail_with_description", "C8": "retail_cancellation_audit retail_cancellation_violators",
     "C9": "retail_cleaned", "C10": "retail_cleaned", "C11": "retail_top_products", "C12": "retail_load",
     # statements that change data
-    "M1": "pizza_clean_runs", "M2": "pizza_d3_ratings pizza_e1_new_item", "M3": "pizza_d3_ratings pizza_d3_rating_violations", "M4": "pizza_e1_new_item",
+    "M1": "pizza_clean_runs pizza_d3_changed_ratings", "M2": "pizza_d3_ratings pizza_e1_new_item", "M3": "pizza_d3_ratings pizza_d3_rating_violations", "M4": "pizza_e1_new_item",
     # analytics
     "G1": "diner_q01_spend", "G2": "diner_q02_visit_days", "G3": "diner_q03_first_items", "G4": "diner_q05_favourites",
-    "G5": "diner_q06_first_after_joining diner_q07_last_before_joining", "G6": "diner_q08_totals_before_joining",
+    "G5": "diner_q06_first_after_joining diner_q07_last_before_joining retail_last_return retail_next_purchase", "G6": "diner_q08_totals_before_joining",
     "G7": "diner_q09_points diner_q10_points_bonus_week", "G8": "diner_bonus1_membership_flag diner_bonus2_membership_rank",
     "G9": "pizza_a09_by_hour pizza_a10_by_weekday pizza_b1_signups_per_week",
     "G10": "pizza_b2_minutes_to_arrive pizza_b3_prep_time pizza_b4_distance_per_customer pizza_b5_delivery_spread pizza_b6_speed pizza_b7_success_rate",
     "G11": "pizza_c1_recipes", "G12": "pizza_c2_common_extra pizza_c3_common_exclusion", "G13": "pizza_c4_order_items",
     "G14": "pizza_c5_ingredient_lists", "G15": "pizza_c6_ingredient_usage", "G16": "pizza_d1_revenue pizza_d2_revenue_with_extras pizza_d5_net_money",
     "G17": "pizza_d4_delivery_summary", "G18": "subs_a_journey subs_helper_sequence", "G19": "subs_b02_monthly_trials", "G20": "subs_b04_churn",
-    "G21": "subs_b05_churn_after_trial subs_b06_second_plan", "G22": "subs_b07_mix_as_of",
+    "G21": "subs_b05_churn_after_trial subs_b06_second_plan", "G22": "subs_b07_mix_as_of subs_b07_mix_by_day",
     "G23": "subs_b03_events_after subs_b08_annual_upgrades subs_b11_downgrades", "G24": "subs_b09_days_to_annual subs_b10_buckets",
     "G25": "subs_bonus_payments", "G26": "retail_monthly_revenue", "G27": "retail_top_products_raw retail_top_products retail_top_products_by_quantity",
     "G28": "retail_top_customers_by_revenue retail_top_customers_by_invoices retail_top_customers_by_mean", "G29": "retail_drilldown_first",
