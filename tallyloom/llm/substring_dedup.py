@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import ragged
-from tallyloom.llm.shared import prepare
+from tallyloom.llm.shared import prepare, stash, with_likely
 
 SIZE = 50
 # Buckets of representatives per partition of the input.
@@ -268,9 +268,12 @@ def repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) of every document; kept words are joined by one space."""
-    found = repeats(docs, size).groupBy(F.col("doc_id").alias("hit_id")).agg(F.collect_list(F.struct("tag", "start", "count")).alias("runs"))
-    texts = docs.select("doc_id", "text")
-    held = texts.join(found, F.col("doc_id") == F.col("hit_id"), "left").select("doc_id", "text", "runs")
+    hits = stash(repeats(docs, size))
+    found = hits.groupBy(F.col("doc_id").alias("hit_id")).agg(F.collect_list(F.struct("tag", "start", "count")).alias("runs"))
+    # Texts that lose nothing stay where they are: only those that may have a run are shuffled.
+    texts = with_likely(docs.select("doc_id", "text", F.col("doc_id").cast("long").alias("_long_id")), "_long_id", hits, "doc_id", "_likely")
+    met = texts.filter("_likely").join(found, F.col("_long_id") == F.col("hit_id"), "left").select("doc_id", "text", "runs")
+    held = met.union(texts.filter("not _likely").select("doc_id", "text", F.lit(None).cast(found.schema["runs"].dataType).alias("runs")))
     names = ["doc_id", "n_words", "n_removed", "kept_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
