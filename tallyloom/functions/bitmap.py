@@ -4,22 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Bits of a bitmap: it has at most SLOTS / 64 words of 64 bits, so every task may be given a copy (4 MB as a hashed table).
-SLOTS = 1 << 23
-WORD = 64
+# Bits of a bitmap, and of a page of it: 256 pages of 4 KiB, so 1 MiB reaches a task at most.
+SLOTS, PAGE = 1 << 23, 1 << 15
 
 
-def words(keys: DataFrame, key: str) -> DataFrame:
-    """(word, bits): the slots of all keys. A task sends each word once, so the shuffle does not grow with the keys of a task beyond the bitmap."""
-    slot = F.pmod(F.col(key), F.lit(SLOTS))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % WORD).cast("int"))
-    return keys.select(F.floor(slot / WORD).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+def _slot(key: Column) -> Column:
+    return F.pmod(key, F.lit(SLOTS))
 
 
-def with_mark(df: DataFrame, key: Column, bitmap: DataFrame, out: str) -> DataFrame:
-    """The rows with a boolean: false where the key is surely none of the bitmap's, true where it is one or shares its slot."""
-    slot = F.pmod(key, F.lit(SLOTS))
-    held = F.broadcast(bitmap.select(F.col("word").alias("_word"), F.col("bits").alias("_bits")))
-    bit = F.call_function("shiftright", F.col("_bits"), (F.col("_slot") % WORD).cast("int")).bitwiseAND(F.lit(1).cast("long"))
-    rows = df.withColumn("_slot", slot).join(held, F.floor(F.col("_slot") / WORD) == F.col("_word"), "left")
-    return rows.withColumn(out, F.coalesce(bit == 1, F.lit(False))).drop("_slot", "_word", "_bits")
+def bitmap_of(keys: DataFrame, key: str) -> Column:
+    """The slots of all keys as a scalar: an array of pages, NULL where a page is empty. A task sends a page once, so neither shuffle nor result grows with the keys beyond the bitmap."""
+    slot = _slot(F.col(key)) + 1  # Spark's bitmaps begin with 1
+    pages = keys.groupBy(F.bitmap_bucket_number(slot).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    held = pages.agg(F.map_from_entries(F.collect_list(F.struct("page", "bits"))).alias("held"))
+    return held.select(F.transform(F.sequence(F.lit(1).cast("long"), F.lit(SLOTS // PAGE).cast("long")), lambda p: F.try_element_at("held", p))).scalar()
+
+
+def with_mark(df: DataFrame, key: Column, bitmap: Column, out: str) -> DataFrame:
+    """The rows with a boolean: false where the key is surely none of the bitmap's, true where it is one or shares its slot. No join and no shuffle."""
+    at = (_slot(key) % PAGE).cast("int")
+    page = F.get(bitmap, F.floor(_slot(key) / PAGE).cast("int"))
+    byte = F.conv(F.hex(F.substring(page, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, at % 8).bitwiseAND(F.lit(1))
+    return df.withColumn(out, F.coalesce(bit == 1, F.lit(False)))

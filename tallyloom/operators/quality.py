@@ -131,7 +131,7 @@ def _seen_twice(df: DataFrame) -> DataFrame:
     Only digests are shuffled, 8 bytes for each that a task holds. Those that occur again set bits in a bitmap of fixed size, by which each task marks its rows.
     """
     counted = df.select(row_digest(df).alias("_digest")).groupBy("_digest").agg(F.count(F.lit(1)).alias("_n"))
-    return bitmap.with_mark(df, row_digest(df), bitmap.words(counted.filter("_n > 1"), "_digest"), "_again")
+    return bitmap.with_mark(df, row_digest(df), bitmap.bitmap_of(counted.filter("_n > 1"), "_digest"), "_again")
 
 
 def duplicate_candidates(df: DataFrame) -> DataFrame:
