@@ -5,9 +5,10 @@ bucket are candidates. In a bucket, signatures are compared batch by batch; afte
 posterior probability that its similarity reaches the threshold is below MISS. What survives groups nodes into clusters, and in every
 cluster the full shingle sets decide which nodes are linked. Both steps search outwards from a node among those not reached yet, so a group of near-alike
 texts costs about its size rather than its square, and give out one link per node reached, never all pairs. A bucket or cluster too large for one task is dealt into parts, twice by different hashes, which joins
-the bulk of it; only what is then outside its largest component is searched against all its parts. Nothing is capped.
+the bulk of it; only what is then outside its largest component is searched against all its parts. If even that is too much for one task, the members are unlike, as texts with
+one header are: the group is split by 35 bands of four hashes, and splits whose members are not joined yet are searched. Nothing is capped.
 
-A pair at the threshold shares no band with probability (1 - 0.8**5)**28 = 1.5e-5; shingles are compared by 64-bit hashes.
+A pair at the threshold shares no band with probability (1 - 0.8**5)**28 = 1.5e-5, and no band of a split with (1 - 0.8**4)**35 = 1e-8; shingles are compared by 64-bit hashes.
 
 Words are lower-cased in A-Z only. A text shorter than a shingle has its whole word sequence as its one shingle. Null text or text without words has an empty set, is linked with nothing and stays. Rows that share a
 doc_id count as one document for the ids reported. Other columns are ignored; an empty table gives an empty result.
@@ -35,6 +36,8 @@ MISS = 1e-5
 # What one task holds at once: signatures of a bucket, shingles of a cluster.
 BUCKET_NODES = 20_000
 CLUSTER_SHINGLES = 4_000_000
+# Bands that split a team too large for one task: four hashes each, from four different bands of the first kind.
+SPLITS = HASHES // 4
 
 _random = np.random.default_rng(20)
 FLIPS = _random.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -174,36 +177,67 @@ def searched(rows: DataFrame, payload: str, find: Callable[[list[bytes]], list[t
     return rows.select("task", "node", payload).repartition("task").sortWithinPartitions("task").mapInArrow(run, "a binary, b binary")
 
 
+def layout(rows: DataFrame, limit: int) -> DataFrame:
+    """(large_team, main_label, parts, rest_parts) of the teams in rows (node, team, own, label): the label of most nodes, and the parts of `limit` that the
+    team and what lies outside that label fill. Teams of one label are left out, because their nodes are joined already."""
+    sizes = rows.groupBy("team", "label").agg(F.count("*").alias("n"), F.sum("own").alias("weight"))
+    teams = sizes.groupBy("team").agg(F.max(F.struct("n", "label", "weight")).alias("main"), F.sum("weight").alias("weight"))
+    parts, rest = F.ceil(F.col("weight") / limit), F.ceil((F.col("weight") - F.col("main.weight")) / limit)
+    found = teams.select(F.col("team").alias("large_team"), F.col("main.label").alias("main_label"), parts.cast("int").alias("parts"), rest.cast("int").alias("rest_parts"))
+    return stash(found.filter("rest_parts > 0"))
+
+
+def part(salt: int, of: str) -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(salt)), F.col(of)).cast("int")
+
+
+def blocks(rows: DataFrame, payload: str) -> DataFrame:
+    """Rows (node, task, payload) in which every node outside its team's main label meets all of the team."""
+    every = rows.withColumn("j", part(3, "parts")).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("rest_parts") - 1)))
+    outside = rows.filter(F.col("label") != F.col("main_label")).withColumn("u", part(4, "rest_parts")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    both = every.select("node", "team", "j", "u", payload).union(outside.select("node", "team", "j", "u", payload))
+    return both.withColumn("task", F.xxhash64("team", "u", "j"))
+
+
+def split_teams(rows: DataFrame) -> DataFrame:
+    """(node, team, own, label, of, total): teams split by SPLITS bands of hashes; those of one label are left out. `of` is the team before."""
+    keys = F.array(*(F.xxhash64(F.lit(k), F.concat(*(F.substring("signature", 1 + 2 * h, 2) for h in range(k, HASHES, SPLITS)))) for k in range(SPLITS)))
+    split = rows.select("node", F.col("team").alias("of"), "own", "label", F.explode(keys).alias("band")).withColumn("team", F.xxhash64("of", "band")).drop("band")
+    mixed = split.groupBy("team").agg(F.sum("own").alias("total"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
+    mixed = stash(mixed.select(F.col("team").alias("mixed_team"), "total"))
+    return stash(split.join(mixed.hint("merge"), F.col("team") == F.col("mixed_team")).drop("mixed_team"))
+
+
 def search_groups(rows: DataFrame, payload: str, limit: int, find: Callable[[list[bytes]], list[tuple[int, np.ndarray]]]) -> DataFrame:
-    """Links (a, b) within every group of rows (node, team, own, total, payload); a task holds payloads of about `limit` at most.
+    """Links (a, b) within every group of rows (node, team, own, total, signature, payload), enough to join all that are linked; a task holds payloads of about `limit` at most.
 
-    `own` is the weight of a row and `total` that of its team. Teams up to the limit are searched whole.
+    `own` is the weight of a row and `total` that of its team. Teams up to the limit are searched whole. Larger ones are dealt into parts twice. What is
+    then outside the largest component meets the whole team, if it fits in one task; if not, the team is split by further bands first, so that members which are
+    unlike part company.
     """
     links = searched(rows.filter(F.col("total") <= limit).withColumn("task", F.xxhash64("team")), payload, find)
-    large = rows.filter(F.col("total") > limit).withColumn("parts", F.ceil(F.col("total") / limit).cast("int"))
+    large = rows.filter(F.col("total") > limit).withColumn("dealt", F.ceil(F.col("total") / limit).cast("int"))
     if large.isEmpty():
         return links
     large = stash(large)
-
-    def part(salt: int, of: str) -> Column:
-        return F.pmod(F.xxhash64("node", F.lit(salt)), F.col(of)).cast("int")
-
-    rounds = [stash(searched(large.withColumn("task", F.xxhash64("team", F.lit(k), part(k, "parts"))), payload, find)) for k in (1, 2)]
+    rounds = [stash(searched(large.withColumn("task", F.xxhash64("team", F.lit(k), part(k, "dealt"))), payload, find)) for k in (1, 2)]
     bulk = rounds[0].union(rounds[1])
     labels = stash(components(bulk)).withColumnRenamed("node", "labelled")
-    marked = stash(large.select("node", "team", "own").join(labels, F.col("node") == F.col("labelled"), "left").select("node", "team", "own", F.coalesce("component", "node").alias("label")))
-    sizes = marked.groupBy("team", "label").agg(F.count("*").alias("n"))
-    main = stash(sizes.groupBy("team").agg(F.max(F.struct("n", "label")).alias("main")).select(F.col("team").alias("main_team"), F.col("main.label").alias("main_label")))
-    rest = marked.join(main, F.col("team") == F.col("main_team")).filter(F.col("label") != F.col("main_label")).select(F.col("node").alias("rest_node"), F.col("team").alias("rest_team"), "own")
-    rest = stash(rest)
-    blocks = stash(rest.groupBy("rest_team").agg(F.ceil(F.sum("own") / limit).cast("int").alias("rest_parts")).withColumnRenamed("rest_team", "block_team"))
-    both = large.join(blocks, F.col("team") == F.col("block_team"))
-    every = both.withColumn("j", part(3, "parts")).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("rest_parts") - 1)))
-    outside = both.join(rest.select("rest_node", "rest_team"), (F.col("node") == F.col("rest_node")) & (F.col("team") == F.col("rest_team")))
-    outside = outside.withColumn("u", part(4, "rest_parts")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    pairs = every.select("node", "team", "j", "u", payload).union(outside.select("node", "team", "j", "u", payload))
-    last = searched(pairs.withColumn("task", F.xxhash64("team", "u", "j")), payload, find)
-    return links.union(bulk).union(last)
+    large = stash(large.drop("total", "dealt").join(labels, F.col("node") == F.col("labelled"), "left").withColumn("label", F.coalesce("component", "node")).drop("labelled", "component"))
+    links = links.union(bulk)
+    # Only teams whose rest fills several tasks are split: beside one task the work is in proportion to the team.
+    placed = large.join(layout(large, limit), F.col("team") == F.col("large_team"))
+    links = links.union(searched(blocks(placed.filter("rest_parts = 1"), payload), payload, find))
+    mixed = placed.filter("rest_parts > 1").drop("large_team", "main_label", "parts", "rest_parts")
+    if mixed.isEmpty():
+        return links
+    members = split_teams(mixed)
+    payloads = mixed.select(F.col("node").alias("held_node"), F.col("team").alias("held_team"), payload)
+    held = members.join(payloads, (F.col("node") == F.col("held_node")) & (F.col("of") == F.col("held_team")))
+    small = searched(held.filter(F.col("total") <= limit).withColumn("task", F.xxhash64("team")), payload, find)
+    still = layout(members.filter(F.col("total") > limit), limit)
+    last = searched(blocks(held.join(still, F.col("team") == F.col("large_team")), payload), payload, find)
+    return links.union(small).union(last)
 
 
 def sketch(docs: DataFrame, words: int) -> DataFrame:
@@ -241,7 +275,7 @@ def candidates(nodes: DataFrame, percent: int) -> DataFrame:
 
 def verified(docs: DataFrame, sketches: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) that the full shingle sets confirm within every cluster."""
-    sized = sketches.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"))
+    sized = sketches.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     sized = sized.join(clusters.withColumnRenamed("node", "member"), F.col("node") == F.col("member")).drop("member")
     total = stash(sized.groupBy("component").agg(F.sum("n_shingles").alias("total")).withColumnRenamed("component", "team"))
     wanted = stash(sized.join(total, F.col("component") == F.col("team")).drop("component").withColumnRenamed("n_shingles", "own"))
@@ -257,7 +291,7 @@ def verified(docs: DataFrame, sketches: DataFrame, clusters: DataFrame, words: i
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], ["set_node", "shingles"])
 
     known = texts.mapInArrow(sets, "set_node binary, shingles binary")
-    rows = wanted.hint("merge").join(known, F.col("node") == F.col("set_node")).select("node", "team", "own", "total", "shingles")
+    rows = wanted.hint("merge").join(known, F.col("node") == F.col("set_node")).select("node", "team", "own", "total", "signature", "shingles")
 
     def find(shingles: list[bytes]) -> list[tuple[int, np.ndarray]]:
         return similar_sets([np.frombuffer(x, np.uint64) for x in shingles], percent)

@@ -198,6 +198,34 @@ def test_large_family_of_near_copies(spark, monkeypatch, parts):
     assert {r.doc_id: r.component_id for r in got} == {i: c for (i, _), (_, c) in want.items()}
 
 
+def test_large_bucket_of_unlike_members(spark, monkeypatch):
+    """Texts that share one band only, and pairs that meet nowhere else: found, in work that grows with the members rather than their square."""
+    monkeypatch.setattr(near_dedup, "BUCKET_NODES", 50)
+    plain_search, held = near_dedup.searched, []
+
+    def counted(rows, payload, find):
+        held[-1] += rows.count()
+        return plain_search(rows, payload, find)
+
+    monkeypatch.setattr(near_dedup, "searched", counted)
+    random = np.random.default_rng(11)
+    near_dedup.prepare(spark)
+    for n in (300, 1200):
+        signatures = random.integers(0, 1 << 16, (n, near_dedup.HASHES)).astype("<u2")
+        signatures[:, : near_dedup.ROWS] = 7
+        pairs = [(i, n - 1 - i) for i in range(0, n // 2, 10)]
+        for i, j in pairs:  # alike but for one hash in each band except the first
+            signatures[j] = signatures[i]
+            signatures[j, [near_dedup.ROWS * b + random.integers(near_dedup.ROWS) for b in range(1, near_dedup.BANDS)]] += 1
+        held.append(0)
+        nodes = spark.createDataFrame([(k.to_bytes(4, "big"), x.tobytes()) for k, x in enumerate(signatures)], "node binary, signature binary")
+        links = near_dedup.candidates(nodes, 80).collect()
+        met = {tuple(sorted(int.from_bytes(x, "big") for x in (r.a, r.b))) for r in links}
+        assert met == set(pairs)
+    # Two rounds over all members, and what shares a second band.
+    assert held[0] < 4 * 300 and held[1] < 4 * 1200
+
+
 def test_groups_cross_batches():
     keys = [1, 1, 1, 2, 3, 3, 3, 3, 3, 4, 4, 9]
     batches = [pa.RecordBatch.from_arrays([pa.array(keys[a : a + 2])], ["k"]) for a in range(0, 12, 2)]
