@@ -226,6 +226,21 @@ def test_large_bucket_of_unlike_members(spark, monkeypatch):
     assert held[0] < 4 * 300 and held[1] < 4 * 1200
 
 
+def test_large_clusters_are_split(spark, monkeypatch):
+    """Clusters whose members are mostly not linked, with tasks of a few texts only: split by further bands, and the components stay exact."""
+    from tests.llm import plain
+
+    monkeypatch.setattr(near_dedup, "BUCKET_NODES", 12)
+    monkeypatch.setattr(near_dedup, "CLUSTER_SHINGLES", 1200)
+    plain_split, split = near_dedup.split_teams, []
+    monkeypatch.setattr(near_dedup, "split_teams", lambda rows: split.append(rows.columns) or plain_split(rows))
+    rows = family(110, 5, edits=16)
+    want = plain.components(rows, 5)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: c for (i, _), (_, c) in want.items()}
+    assert any("shingles" in columns for columns in split)
+
+
 def test_groups_cross_batches():
     keys = [1, 1, 1, 2, 3, 3, 3, 3, 3, 4, 4, 9]
     batches = [pa.RecordBatch.from_arrays([pa.array(keys[a : a + 2])], ["k"]) for a in range(0, 12, 2)]
