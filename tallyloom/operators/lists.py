@@ -62,18 +62,27 @@ def most_common_list_item(df: DataFrame, list_col: str, dictionary: DataFrame, t
     return list_item_counts(df, list_col, dictionary, dict_name=dict_name).orderBy(F.col("times").desc(), F.col(dict_name)).limit(top)
 
 
+# Keys that rows without a list are dealt over.
+SPREAD = 1 << 12
+
+
 def with_list_names(
     df: DataFrame, columns: dict[str, str], dictionary: DataFrame, dict_id: str = "topping_id", dict_name: str = "topping_name"
 ) -> DataFrame:
     """Add, per list column, the ordered names of its ids. `columns` maps the new column to the list column.
 
     Distinct list texts of all columns are looked up once, whatever the size of the dictionary, and joined back by their text. No name at all gives NULL.
+    Rows without a list are dealt over SPREAD keys that no list has. The key of a list is not its text alone, so names are shuffled apart from their grouping
+    and adaptive execution can also split the rows of a frequent list.
     """
     text = F.explode(F.array(*columns.values())).alias("_list")
     lists = df.select(text).filter(F.col("_list").isNotNull()).distinct()
     labels = explode_list_lookup(lists, ["_list"], "_list", dictionary, dict_id, dict_name, "_names")
+    anywhere = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SPREAD)).cast("string")
+    named = labels.select(F.concat(F.lit("="), "_list").alias("_key"), "_names")
     for out, src in columns.items():
-        df = df.join(labels.select(F.col("_list").alias(f"_{out}"), F.col("_names").alias(out)), F.col(src) == F.col(f"_{out}"), "left").drop(f"_{out}")
+        key = F.coalesce(F.concat(F.lit("="), src), anywhere)
+        df = df.withColumn("_own", key).join(named.withColumnsRenamed({"_names": out}), F.col("_own") == F.col("_key"), "left").drop("_own", "_key")
     return df
 
 

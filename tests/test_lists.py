@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.operators import lists as L
 
@@ -73,6 +74,32 @@ def test_any_dictionary(frame, spark, rows, names, recipes):
     assert [r[0] for r in df.select(L.split_ids("exclusions")).collect()] == [[3_000_000_000, 1], None, [10007]]
 
 
+def test_rows_without_a_list_are_dealt_out(spark, toppings):
+    """Most rows have no list: no task of the joins by list holds them all."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        i = F.col("id")
+        df = spark.range(20_000).select(i.alias("order_id"), F.when(i % 10 == 0, "3, 1").alias("exclusions"), F.when(i % 20 == 0, "2").alias("extras"))
+        named = L.with_list_names(df, {"out": "exclusions", "more": "extras"}, toppings)
+        got = named.groupBy("out", "more").count().collect()
+        sizes = [r["n"] for r in named.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.count("out"), F.count("more")).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert {tuple(r) for r in got} == {(None, None, 18_000), ("bacon, cheese", None, 1_000), ("bacon, cheese", "apple", 1_000)}
+    assert max(sizes) < 20_000 / 2
+
+
+def test_a_list_that_looks_like_a_key(frame, toppings, rows):
+    """Texts that a key without a list might be are looked up as lists."""
+    df = frame([(k, str(k) if k % 2 else None) for k in range(50)] + [(50, ""), (51, "=1"), (52, "1, 1")], "order_id int, extras string")
+    got = dict(rows(L.with_list_names(df, {"out": "extras"}, toppings), "order_id", "out"))
+    assert {k: v for k, v in got.items() if v} == {1: "bacon", 3: "cheese", 52: "bacon, bacon"} and len(got) == 53
+
+
 def test_ingredient_rows_are_placed_once(spark, frame, names, recipes, toppings):
     """Expanding, counting and listing follow one placement of the order rows."""
     plan = L.effective_ingredients(orders(frame), names, recipes, toppings)._jdf.queryExecution().executedPlan().toString()
