@@ -144,11 +144,12 @@ def _text(items: Column) -> Column:
 def effective_ingredients(orders: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """Ingredient text per (order, customer, pizza name); equal pizzas of one order are counted together.
 
-    The order rows are placed by their key before they are expanded, so expanding, counting and listing need no further shuffle.
+    The order rows are placed by ranges of their key before they are expanded, so expanding, counting, listing and sorting by order and customer need no further shuffle,
+    and the bounds of the ranges are drawn from rows that are not expanded yet.
     """
     keys = ["order_id", "customer_id", "pizza_name"]
     narrow = orders.select("order_id", "customer_id", *COMBINATION)
-    placed = _with_items(narrow, combinations(orders, names, recipes, toppings)).select(*keys, "items").repartition(*keys)
+    placed = _with_items(narrow, combinations(orders, names, recipes, toppings)).select(*keys, "items").repartitionByRange("order_id", "customer_id")
     counted = placed.select(*keys, F.inline("items")).groupBy(*keys, "topping_name").agg(F.sum("topping_count").alias("topping_count"))
     listed = counted.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("topping_name", "topping_count"))).alias("items"))
     return listed.select("order_id", "customer_id", _text(F.col("items")).alias("ingredient_list"))

@@ -100,6 +100,16 @@ def test_a_list_that_looks_like_a_key(frame, toppings, rows):
     assert {k: v for k, v in got.items() if v} == {1: "bacon", 3: "cheese", 52: "bacon, bacon"} and len(got) == 53
 
 
+def test_ingredient_texts_are_sorted_where_they_are(frame, names, recipes, toppings):
+    """Sorting by order, customer and text shuffles no text: the rows were placed by ranges of order and customer."""
+    texts = L.effective_ingredients(orders(frame), names, recipes, toppings).withColumnRenamed("order_id", "order_no")
+    df = texts.orderBy("order_no", "customer_id", "ingredient_list")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan[: plan.index("REPARTITION_BY_COL")].count("Exchange") == 1
+    got = [tuple(r) for r in df.collect()]
+    assert got == sorted(got) and len(got) == 7
+
+
 def test_ingredient_rows_are_placed_once(spark, frame, names, recipes, toppings):
     """Expanding, counting and listing follow one placement of the order rows."""
     plan = L.effective_ingredients(orders(frame), names, recipes, toppings)._jdf.queryExecution().executedPlan().toString()
