@@ -131,7 +131,9 @@ def _seen_twice(df: DataFrame) -> DataFrame:
     Only digests are shuffled, 8 bytes for each that a task holds. Those that occur again set bits in a bitmap of fixed size, by which each task marks its rows.
     """
     counted = df.select(row_digest(df).alias("_digest")).groupBy("_digest").agg(F.count(F.lit(1)).alias("_n"))
-    return bitmap.with_mark(df, row_digest(df), bitmap.bitmap_of(counted.filter("_n > 1"), "_digest"), "_again")
+    # Exploded, the digest is computed once a row; as a plain column each use of it in a filter would compute all columns again.
+    digested = df.withColumn("_digest", F.explode(F.array(row_digest(df))))
+    return bitmap.with_mark(digested, F.col("_digest"), bitmap.bitmap_of(counted.filter("_n > 1"), "_digest"), "_again").drop("_digest")
 
 
 def duplicate_candidates(df: DataFrame) -> DataFrame:

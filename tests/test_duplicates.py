@@ -43,3 +43,11 @@ def test_a_bitmap_misses_nothing(spark, n):
     marked = bitmap.with_mark(spark.range(10_000).select("id", F.xxhash64("id").alias("k")), F.col("k"), bitmap.bitmap_of(keys, "k"), "m")
     got = {r.id: r.m for r in marked.collect()}
     assert len(got) == 10_000 and all(got[i] for i in range(n)) and sum(got.values()) <= n + 30
+
+
+def test_a_digest_is_computed_once_a_row(frame):
+    """The filters by the bitmap use a digest that is there, however costly the columns are."""
+    df = frame(ROWS, SCHEMA).withColumn("c", F.col("c").cast("decimal(10,2)"))
+    plan = Q.drop_duplicates(df)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any("xxhash64" in line for line in filters)
